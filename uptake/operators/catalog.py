@@ -37,16 +37,18 @@ def _matches(keyword: str | None) -> Column:
     return F.col("vendor_name").ilike(pattern) | F.col("asset_name").ilike(pattern)
 
 
-def _has_selected_tag(tags: DataFrame, kind: str, tag_ids: Sequence[int]) -> Column:
-    """The app's tag of this kind is selected, or no tag of this kind is."""
+def _with_selected_tag(
+    apps: DataFrame, tags: DataFrame, kind: str, tag_ids: Sequence[int]
+) -> DataFrame:
+    """Apps whose tag of this kind is selected; all apps if no tag of this kind is."""
     column, other_id, _ = TAG_KINDS[kind]
     selected = tags.where(F.col("id").isin(*tag_ids) & (F.col("tag") == kind))
-    named = selected.select(F.col("name").alias("_selected"))
+    names = selected.select(F.col("name").alias(column), F.lit(True).alias("_chosen")).distinct()
     untagged = F.lit(other_id in tag_ids) & F.col(column).isNull()
     return (
-        ~selected.exists()
-        | untagged
-        | named.where(F.col("_selected") == F.col(column).outer()).exists()
+        apps.join(names, column, "left")
+        .where(~selected.exists() | untagged | F.col("_chosen").isNotNull())
+        .drop("_chosen")
     )
 
 
@@ -68,7 +70,7 @@ def catalog_search(
     apps = catalog.where(wanted)
     if tag_ids is not None:
         for kind in TAG_KINDS:
-            apps = apps.where(_has_selected_tag(tags, kind, tag_ids))
+            apps = _with_selected_tag(apps, tags, kind, tag_ids)
     for kind, (column, _, _) in TAG_KINDS.items():
         ids = tags.where(F.col("tag") == kind).select(
             F.col("name").alias(column), F.col("id").alias(f"{column}_id")

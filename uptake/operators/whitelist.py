@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from uptake.functions.constants import LEVELS
@@ -27,13 +27,33 @@ def wl_by_offer(
     extract_date: date | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Distinct targeted and distinct delivered subscribers per offer."""
+    """Distinct targeted and distinct delivered subscribers per offer.
+
+    A message normally goes to the subscriber it was meant for, so a row gives one record of a
+    subscriber who was targeted and maybe delivered, and only a row delivered to someone else
+    gives two. Two ``count(DISTINCT)`` would double every row before the shuffle.
+    """
+    keys = [*by, "strmonth", "offer_id"]
+    targeted, delivered = F.col("msisdn_wl"), F.col("msisdn_delivered")
+
+    def record(msisdn: Column, wl: Column, got: Column) -> Column:
+        return F.struct(msisdn.alias("msisdn"), wl.alias("wl"), got.alias("got"))
+
+    yes, no = F.lit(True), F.lit(False)
+    records = F.when(
+        delivered.isNull() | delivered.eqNullSafe(targeted),
+        F.array(record(targeted, yes, delivered.isNotNull())),
+    ).otherwise(F.array(record(targeted, yes, no), record(delivered, no, yes)))
+    known = F.col("msisdn").isNotNull()
     reach = (
         _offered(wl, month)
-        .groupBy(*by, "strmonth", "offer_id")
+        .select(*keys, F.inline(records))
+        .groupBy(*keys, "msisdn")
+        .agg(F.max("wl").alias("wl"), F.max("got").alias("got"))
+        .groupBy(*keys)
         .agg(
-            F.countDistinct("msisdn_wl").alias("msisdn_wl"),
-            F.countDistinct("msisdn_delivered").alias("msisdn_delivered"),
+            F.count_if(known & F.col("wl")).alias("msisdn_wl"),
+            F.count_if(known & F.col("got")).alias("msisdn_delivered"),
         )
     )
     return tagged(reach, extract_date)

@@ -165,10 +165,12 @@ def daily_snapshots(
     had happened by its data day, and is extracted two days later.
     """
     month_end = F.last_day("strmonth")
-    data_days = F.array(*[F.date_add(month_end, n) for n in days])
-    taken = F.filter(data_days, lambda day: F.col(happened) <= day)
-    tagged = df.withColumn(data_name, F.explode(taken))
-    return tagged.withColumn("extract_date", F.date_add(data_name, 2))
+    data_day = F.explode(F.array(*[F.date_add(month_end, n) for n in days]))
+    return (
+        df.withColumn(data_name, data_day)
+        .where(F.col(happened) <= F.col(data_name))
+        .withColumn("extract_date", F.date_add(data_name, 2))
+    )
 
 
 def campaign_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ from uptake.operators import (
     whitelist,
 )
 from uptake.plans import lens
+from uptake.plans.extracts import extracts
 from uptake.sources.files import read_csv, scratch_path, write_csv
 from uptake.sources.schemas import EXTRACTS
 
@@ -168,22 +169,15 @@ def taker_los(spark, d):
 # KPIs
 
 
-def _offer_tables(spark, d):
-    return (
-        lens.campaign_snapshots(spark, d),
-        lens.wl_offer_snapshots(spark, d),
-        lens.taker_offer_snapshots(spark, d),
-    )
-
-
 def _kpi(operator, spark, d, **options):
-    tables = _offer_tables(spark, d)
-    return operator(*tables, tur.tur_formulation(*tables), **options)
+    run = extracts(spark, d)
+    return operator(run.summary, run.wl_offer, run.taker_offer, run.tur, **options)
 
 
 @query
 def tur_formulation(spark, d):
-    return tur.tur_formulation(*_offer_tables(spark, d))
+    run = extracts(spark, d)
+    return tur.tur_formulation(run.summary, run.wl_offer, run.taker_offer)
 
 
 @query
@@ -212,13 +206,9 @@ def summary_product_mtd(spark, d):
 
 
 def _kabupaten(spark, d, mtd):
-    tables = _offer_tables(spark, d)
+    run = extracts(spark, d)
     return summary.summary_kabupaten(
-        tables[0],
-        lens.wl_border_snapshots(spark, d),
-        lens.taker_border_snapshots(spark, d),
-        tur.tur_formulation(*tables),
-        mtd=mtd,
+        run.summary, run.wl_border, run.taker_border, run.tur, mtd=mtd
     )
 
 
@@ -254,35 +244,32 @@ def top_main_level_l1_mtd(spark, d):
 
 @query
 def border_taker(spark, d):
-    return border.border_taker(
-        lens.campaign_snapshots(spark, d), lens.taker_border_snapshots(spark, d)
-    )
+    run = extracts(spark, d)
+    return border.border_taker(run.summary, run.taker_border)
 
 
 @query
 def border_taker_mtd(spark, d):
-    return border.border_taker(
-        lens.campaign_snapshots(spark, d), lens.taker_border_snapshots(spark, d), mtd=True
-    )
+    run = extracts(spark, d)
+    return border.border_taker(run.summary, run.taker_border, mtd=True)
 
 
 @query
 def border_wl(spark, d):
-    return border.border_wl(lens.campaign_snapshots(spark, d), lens.wl_border_snapshots(spark, d))
+    run = extracts(spark, d)
+    return border.border_wl(run.summary, run.wl_border)
 
 
 @query
 def border_wl_mtd(spark, d):
-    return border.border_wl(
-        lens.campaign_snapshots(spark, d), lens.wl_border_snapshots(spark, d), mtd=True
-    )
+    run = extracts(spark, d)
+    return border.border_wl(run.summary, run.wl_border, mtd=True)
 
 
 @query
 def border_wl_all_snapshots(spark, d):
-    return border.border_wl(
-        lens.campaign_snapshots(spark, d), lens.wl_border_snapshots(spark, d), all_snapshots=True
-    )
+    run = extracts(spark, d)
+    return border.border_wl(run.summary, run.wl_border, all_snapshots=True)
 
 
 # Snapshots and loads
@@ -298,23 +285,21 @@ def run_dates(spark, d):
 
 @query
 def latest_snapshot(spark, d):
-    return snapshots.latest_snapshot(lens.campaign_snapshots(spark, d)).select(
+    return snapshots.latest_snapshot(extracts(spark, d).summary).select(
         *lens.SNAPSHOT, "strmonth", "offer_id", "communication_channel"
     )
 
 
 @query
 def latest_snapshot_tolerant(spark, d):
-    return snapshots.latest_snapshot_tolerant(
-        lens.taker_offer_snapshots(spark, d), lens.campaign_snapshots(spark, d), late_days=2
-    )
+    run = extracts(spark, d)
+    return snapshots.latest_snapshot_tolerant(run.taker_offer, run.summary, late_days=2)
 
 
 @query
 def lagged_snapshot(spark, d):
-    return snapshots.lagged_snapshot(
-        lens.wl_offer_snapshots(spark, d), lens.campaign_snapshots(spark, d)
-    )
+    run = extracts(spark, d)
+    return snapshots.lagged_snapshot(run.wl_offer, run.summary)
 
 
 def _yearly_usage(spark, d):
@@ -395,7 +380,7 @@ def sync_upsert(spark, d):
 
 @query
 def available_dates(spark, d):
-    return load.available_dates(lens.campaign_snapshots(spark, d), "extract_date")
+    return load.available_dates(extracts(spark, d).summary, "extract_date")
 
 
 @query

@@ -31,18 +31,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/uptake/{name}-{uuid.uuid4().hex}"
 
 
+# Cells as they are: spaces at either end kept, quotes doubled inside quotes.
+_CSV = {
+    "header": True,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "quote": '"',
+    "escape": '"',
+}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """A directory of CSV files with a header each, written in parallel."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**_CSV).csv(path)
+
 
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False
+) -> DataFrame:
+    """CSV with a header and a known schema. An empty unquoted field is null.
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and a known schema. An empty unquoted field is null."""
+    ``multiline`` allows line breaks inside quotes, at the cost of one task per file.
+    """
     return (
         spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
+        .options(**_CSV, enforceSchema=False, mode="FAILFAST", multiLine=multiline)
         .csv(path)
     )
 
@@ -58,12 +71,7 @@ def read_sheet(spark: SparkSession, path: str, multiline: bool = False) -> DataF
     extension = os.path.splitext(path.rstrip("/"))[1].lower()
     if extension != ".csv":
         raise ValueError(f"unsupported file format {extension!r}: save the sheet as .csv")
-    sheet = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("multiLine", multiline)
-        .csv(path)
-    )
+    sheet = spark.read.options(**_CSV, inferSchema=False, multiLine=multiline).csv(path)
     blanks = {c: " " * (i + 1) for i, c in enumerate(sheet.columns) if re.fullmatch(r"_c\d+", c)}
     return sheet.select(
         *[F.col(f"`{c}`").alias(blanks.get(c, c)) for c in sheet.columns],
