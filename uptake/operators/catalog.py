@@ -16,7 +16,7 @@ from uptake.functions.constants import (
     TAG_RENAMES,
     TOP_10_CONTEXT,
 )
-from uptake.sources.schemas import CATALOGUE_ADDED_COLUMNS
+from uptake.sources.schemas import APPLICATION_PORTFOLIO, CATALOGUE_ADDED_COLUMNS
 
 APP_COLUMNS = [
     "id",
@@ -27,6 +27,8 @@ APP_COLUMNS = [
     "tag_function_application",
     "tag_db_system",
 ]
+# By vendor and asset; the id breaks ties, so that equal names do not end up in one task.
+APP_ORDER = ["vendor_name", "asset_name", "id"]
 
 
 def _matches(keyword: str | None) -> Column:
@@ -80,7 +82,7 @@ def catalog_search(
     shown += ["is_deleted", "deleted_at"]
     if live_only:
         shown += ["status", "decline_time"]
-    return apps.select(*shown).distinct().orderBy("vendor_name", "asset_name")
+    return apps.select(*shown).distinct().orderBy(*APP_ORDER)
 
 
 def catalog_review(
@@ -102,7 +104,7 @@ def catalog_review(
             "decline_time",
         )
         .distinct()
-        .orderBy("vendor_name", "asset_name")
+        .orderBy(*APP_ORDER)
     )
 
 
@@ -282,7 +284,7 @@ def filters_by_context(filters: DataFrame, context: str) -> DataFrame:
     return (
         filters.where(F.col("context") == context)
         .select("name", "display_name")
-        .orderBy("display_name")
+        .orderBy("display_name", "name")
     )
 
 
@@ -291,6 +293,11 @@ def top10_filters(filters: DataFrame) -> DataFrame:
     return filters_by_context(filters, TOP_10_CONTEXT)
 
 
+def portfolio_listing(portfolio: DataFrame) -> DataFrame:
+    """The applications with their attributes."""
+    return portfolio.select(*APPLICATION_PORTFOLIO.fieldNames())
+
+
 def usage_listing(portfolio: DataFrame, usage: DataFrame) -> DataFrame:
     """Monthly active users with the name of the application."""
     names = portfolio.select(

@@ -362,6 +362,8 @@ _BODIES = {
     "replace_partition": f"""SELECT * REPLACE (CAST(active_user_count
             + CASE WHEN year IN (1996, 1997) THEN 1 ELSE 0 END AS INTEGER) AS active_user_count)
         FROM ({USAGE_YEARS}) WHERE year <> 1998""",
+    "border_tables": f"""SELECT * EXCLUDE (level, border), border AS kabupaten
+        FROM ({borders("", "taker_border", BORDER_TAKER)}) WHERE level = 'kabupaten'""",
     "stage_and_replace": f"""SELECT DATE '2001-09-02' AS extract_date,
                DATE '2001-08-31' AS data_date, strmonth, offer_id, {TAKER_SUMS}
         FROM taker WHERE tower_name IN {CORE} GROUP BY strmonth, offer_id
@@ -429,6 +431,10 @@ _BODIES = {
         FROM customer WHERE c_mktsegment = 'HOUSEHOLD'""",
     "distinct_manufacturers": """SELECT DISTINCT manufacturer FROM portfolio
         WHERE manufacturer IS NOT NULL""",
+    "portfolio_listing": """SELECT f.*, CASE WHEN p_retailprice < 950 THEN 'Business App'
+            ELSE 'Infrastructure' END AS application_type,
+        split_part(p_name, ' ', 1) AS business_process, split_part(p_name, ' ', 2) AS business_unit
+        FROM portfolio f JOIN part ON p_partkey = id""",
     "usage_listing": """SELECT CAST(application_portfolio_id AS BIGINT) * 10000 + year(date) * 12
         - 23900 + month(date) AS id, application_portfolio_id, p_name AS application_name,
         active_user_count, date FROM usage JOIN part ON p_partkey = application_portfolio_id""",

@@ -322,6 +322,15 @@ def replace_partition(spark, d):
     return spark.read.parquet(path)
 
 
+@query
+def border_tables(spark, d):
+    """All levels written at once, partitioned by level; one level read back by its own name."""
+    path = scratch_path(spark, "border_taker")
+    run = extracts(spark, d)
+    load.replace_partitions(border.border_taker(run.summary, run.taker_border), path, ["level"])
+    return border.border_of_level(spark.read.parquet(path), "kabupaten")
+
+
 @query
 def stage_and_replace(spark, d):
     """Hand over an extract as CSV and load it twice next to an older one."""
@@ -497,6 +506,11 @@ def distinct_manufacturers(spark, d):
     return catalog.distinct_manufacturers(lens.portfolio(spark, d))
 
 
+@query
+def portfolio_listing(spark, d):
+    return catalog.portfolio_listing(lens.portfolio(spark, d))
+
+
 @query
 def usage_listing(spark, d):
     return catalog.usage_listing(lens.portfolio(spark, d), lens.usage(spark, d))
