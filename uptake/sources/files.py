@@ -49,7 +49,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False
 ) -> DataFrame:
-    """CSV with a header and a known schema. An empty unquoted field is null.
+    """CSV with a header and a known schema. An empty field is null.
 
     ``multiline`` allows line breaks inside quotes, at the cost of one task per file.
     """
