@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from uptake.functions.constants import CORE_TOWERS, LEVELS
@@ -23,6 +23,21 @@ def _newest(summary: DataFrame, mtd: bool) -> DataFrame:
     return latest_dates_by_data_day(summary) if mtd else latest_dates(summary)
 
 
+def _weighted_campaigns(rows: DataFrame, day: list[str]) -> DataFrame:
+    """Distinct campaign attributes per offer with the number of campaign rows behind them.
+
+    An offer with many campaign rows then meets its geography values once, not once per row.
+    """
+    attributes = [*OFFER, *day, *CELL[1:]]
+    return (
+        campaign_rows(rows, CORE_TOWERS).groupBy(*attributes).agg(F.count("*").alias("campaigns"))
+    )
+
+
+def _weighted_sum(column: str, name: str) -> Column:
+    return F.sum(F.col(column) * F.col("campaigns")).alias(name)
+
+
 def _at_levels(border: DataFrame, newest: DataFrame) -> DataFrame:
     return at_dates(border.where(F.col("level").isin(*LEVELS)), newest)
 
@@ -35,8 +50,7 @@ def border_taker(
     newest = _newest(summary, mtd)
     day = ["d_date"] if mtd else []
     return (
-        campaign_rows(at_dates(summary, newest), CORE_TOWERS)
-        .select(*OFFER, *day, *CELL[1:])
+        _weighted_campaigns(at_dates(summary, newest), day)
         .join(
             _at_levels(taker_border, newest).select(
                 *OFFER, "level", "border", "total_msisdn", "trx", "revenue"
@@ -45,9 +59,9 @@ def border_taker(
         )
         .groupBy("level", *day, "strmonth", *CELL)
         .agg(
-            F.sum("revenue").alias("revenue"),
-            F.sum("trx").alias("trx"),
-            F.sum("total_msisdn").alias("unique_taker"),
+            _weighted_sum("revenue", "revenue"),
+            _weighted_sum("trx", "trx"),
+            _weighted_sum("total_msisdn", "unique_taker"),
         )
     )
 
@@ -69,8 +83,7 @@ def border_wl(
     day = ["d_date"] if mtd else []
     rows = summary if all_snapshots else at_dates(summary, newest)
     return (
-        campaign_rows(rows, CORE_TOWERS)
-        .select(*OFFER, *day, *CELL[1:])
+        _weighted_campaigns(rows, day)
         .join(
             _at_levels(wl_border, newest).select(
                 *OFFER, "level", "border", "total_msisdn", "msisdn_delivered"
@@ -79,8 +92,8 @@ def border_wl(
         )
         .groupBy("level", *day, "strmonth", *CELL)
         .agg(
-            F.sum("total_msisdn").alias("total_target"),
-            F.sum("msisdn_delivered").alias("total_delivered"),
+            _weighted_sum("total_msisdn", "total_target"),
+            _weighted_sum("msisdn_delivered", "total_delivered"),
         )
     )
 

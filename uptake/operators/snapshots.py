@@ -1,9 +1,10 @@
 """Choosing among daily snapshots.
 
 Every daily extract appends a full copy of the month tagged with its extract date. The chosen
-dates form a table with one to two rows per campaign month, so its size is bounded by the
-calendar (1,200 months in a century), whatever the size of the snapshots: it is broadcast, and
-the snapshots are filtered where they are read, without a shuffle.
+dates form a table of at most two rows per campaign month, so the calendar bounds its size,
+not the data: 2,400 rows in a century of months, and 7 million for every day a date can hold.
+It is broadcast, and the snapshots are filtered where they are read. A shuffle instead would
+put each snapshot into one task.
 """
 
 from __future__ import annotations

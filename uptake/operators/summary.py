@@ -167,15 +167,24 @@ def summary_kabupaten(
 ) -> DataFrame:
     """Takers, revenue, delivery rate and take-up rate per kabupaten.
 
-    Rows are (campaign, kabupaten) pairs with targets; delivery is a percentage of targets,
-    and the take-up rate is the mean over the offers targeted in the kabupaten.
+    Every campaign counts with the kabupaten its offer has targets in; delivery is a percentage
+    of targets, and the take-up rate is the mean over the offers targeted in the kabupaten.
+    Campaign rows that agree in offer, tower and type are one row with a weight before the join.
     """
     summary, wl_border, taker_border = (
         in_month(t, month) for t in (summary, wl_border, taker_border)
     )
-    campaigns = campaign_rows(latest_snapshot(summary), CORE_TOWERS)
+    day = ["d_date"] if mtd else []
+    campaigns = (
+        campaign_rows(latest_snapshot(summary), CORE_TOWERS)
+        .groupBy(*OFFER, *day, "tower", "wltype")
+        .agg(F.count("*").alias("campaigns"))
+    )
     cell = [*OFFER, "border"]
 
+    def weighted(column: str) -> Column:
+        return F.sum(F.col(column) * F.col("campaigns"))
+
     def here(snapshots: DataFrame) -> DataFrame:
         return latest_snapshot(snapshots, summary).where(F.col("level") == "kabupaten")
 
@@ -188,10 +197,11 @@ def summary_kabupaten(
         .groupBy(*OFFER)
         .agg(
             F.count("tur").alias("tur_known"),
-            F.sum(F.col("tur").cast("decimal(18,12)")).alias("tur_sum"),
+            F.sum(F.col("tur").cast("decimal(18,12)")).cast("decimal(24,12)").alias("tur_sum"),
         )
     )
-    day = ["d_date"] if mtd else []
+    # Narrow enough for the product to keep all twelve digits.
+    weight = F.col("campaigns").cast("decimal(12,0)")
     return rollup_sets(
         campaigns.join(targets, OFFER)
         .join(takers, cell, "left")
@@ -200,10 +210,10 @@ def summary_kabupaten(
         [*day, "strmonth", "kabupaten"],
         TOWER_WLTYPE_SETS,
         {
-            "total_taker": F.sum("taker"),
-            "revenue": F.sum("revenue"),
-            "delivery_rate": percent(F.sum("delivered"), F.sum("target")),
-            "tur": ratio(F.sum("tur_sum"), F.sum("tur_known")),
+            "total_taker": weighted("taker"),
+            "revenue": weighted("revenue"),
+            "delivery_rate": percent(weighted("delivered"), weighted("target")),
+            "tur": ratio(F.sum(F.col("tur_sum") * weight), weighted("tur_known")),
         },
     ).select(
         *day,
