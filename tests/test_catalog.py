@@ -163,6 +163,14 @@ def test_matrix_is_dense(portfolio):
     ]
 
 
+def test_summary_views(spark, portfolio):
+    C.create_summary_views(portfolio)
+    assert spark.table("install_type_summary").first().total_apps == 5
+    rows = spark.sql("SELECT total_apps FROM category_manufacturer_summary WHERE category = 'Finance'")
+    assert [r.total_apps for r in rows.collect()] == [2]
+    assert spark.table("category_version_status_summary").count() == 4
+
+
 def test_top_and_counts(portfolio):
     top = [tuple(r) for r in C.top10_active_users(portfolio, "category").collect()]
     assert top == [("Finance", 15), ("HR", 14), ("IT", 1)]

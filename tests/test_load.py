@@ -78,6 +78,19 @@ def test_sync_strategies(spark, path):
     assert dates == [MAY, APRIL]
 
 
+def test_sync_table_takes_the_key_from_the_table(spark, path):
+    source = kpi(spark, (MAY, "A", 1), (APRIL, "A", 2))
+    for _ in range(2):
+        load.sync_table(source, "summary_channel", path, MAY)
+    assert stored(spark, path) == [(MAY, "A", 1)]
+    load.sync_table(source, "summary_channel", path, MAY, "append")
+    assert len(stored(spark, path)) == 2
+    load.sync_table(source, "summary_channel", path, MAY, "upsert", ["tower"])
+    assert stored(spark, path) == [(MAY, "A", 1)]
+    with pytest.raises(ValueError):
+        load.sync_table(source, "summary_channel", path, MAY, "merge")
+
+
 def test_upsert_law(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "k int, v string")
     new = spark.createDataFrame([(2, "x"), (3, "y")], "k int, v string")
@@ -195,7 +208,7 @@ def test_jdbc_options_come_from_the_caller(write, mode):
 
 
 def test_scratch_is_shared_folder(spark):
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None)
     one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert one != two
     if root:

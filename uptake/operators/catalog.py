@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from uptake.functions.constants import (
     DECLINED,
@@ -31,6 +32,12 @@ APP_COLUMNS = [
 APP_ORDER = ["vendor_name", "asset_name", "id"]
 
 
+def _time(now: datetime | None, dtype: T.DataType) -> Column:
+    """A wall-clock time, or the current one, as the type of the column it meets."""
+    clock = F.current_timestamp() if now is None else F.lit(now.isoformat(sep=" "))
+    return clock.cast(dtype)
+
+
 def _matches(keyword: str | None) -> Column:
     """Vendor or asset name contains the keyword, in any case. ``%`` and ``_`` are wildcards."""
     if keyword is None:
@@ -89,7 +96,7 @@ def catalog_review(
     catalog: DataFrame, keyword: str | None = None, now: datetime | None = None
 ) -> DataFrame:
     """Applications on review, and those declined within the last 24 hours."""
-    now_column = F.current_timestamp() if now is None else F.lit(now)
+    now_column = _time(now, catalog.schema["decline_time"].dataType)
     pending = F.col("status").isNull() | (F.col("status") == ON_REVIEW)
     fresh = (F.col("status") == DECLINED) & (
         F.col("decline_time") >= now_column - F.expr("INTERVAL 24 HOURS")
@@ -209,8 +216,7 @@ def normalize_tags(
 def soft_delete(table: DataFrame, row_id: int, now: datetime | None = None) -> DataFrame:
     """Mark one row as deleted."""
     hit = F.col("id") == row_id
-    now_column = F.current_timestamp() if now is None else F.lit(now)
-    deleted_at = now_column.cast(table.schema["deleted_at"].dataType)
+    deleted_at = _time(now, table.schema["deleted_at"].dataType)
     return table.withColumns(
         {
             "is_deleted": F.when(hit, F.lit(True)).otherwise(F.col("is_deleted")),
@@ -228,6 +234,16 @@ def category_summary(portfolio: DataFrame, column: str) -> DataFrame:
     return portfolio.groupBy("category", column).agg(F.count("*").alias("total_apps"))
 
 
+def create_summary_views(portfolio: DataFrame) -> None:
+    """The three summaries as temporary views for SQL users."""
+    install_type_summary(portfolio).createOrReplaceTempView("install_type_summary")
+    for name, column in (
+        ("category_manufacturer_summary", "manufacturer"),
+        ("category_version_status_summary", "version_age_status"),
+    ):
+        category_summary(portfolio, column).createOrReplaceTempView(name)
+
+
 def category_matrix(portfolio: DataFrame, column: str) -> DataFrame:
     """Applications for each category and each known value of a column, 0 where there are none.
 

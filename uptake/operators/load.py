@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from uptake.sources.files import read_csv
+from uptake.sources.schemas import SYNC_KEYS
 
 KeyValue = Mapping[str, date | str | int]
 
@@ -113,6 +114,25 @@ def sync_upsert(source: DataFrame, path: str, key: str, value, row_keys: Sequenc
     return _write(upsert(stored.select(*rows.columns), rows, row_keys), path, [key], "overwrite")
 
 
+def sync_table(
+    source: DataFrame,
+    table: str,
+    path: str,
+    value,
+    strategy: str = "replace",
+    row_keys: Sequence[str] = (),
+) -> int:
+    """Sync a served table by the key it is known to be selected by."""
+    key = SYNC_KEYS[table]
+    if strategy == "replace":
+        return sync_by_key(source, path, key, value)
+    if strategy == "append":
+        return sync_append(source, path, key, value)
+    if strategy == "upsert":
+        return sync_upsert(source, path, key, value, row_keys)
+    raise ValueError(f"unknown strategy {strategy!r}")
+
+
 def available_dates(df: DataFrame, key: str) -> DataFrame:
     """Key values that have rows, newest first."""
     return df.select(key).distinct().orderBy(F.desc(key))

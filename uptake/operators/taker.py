@@ -17,14 +17,6 @@ def _taken(taker: DataFrame, month: date | None) -> DataFrame:
     return in_month(taker, month).where(F.col("offer_id").isNotNull())
 
 
-def _totals() -> dict:
-    return {
-        "total_msisdn": F.countDistinct("msisdn"),
-        "trx": F.sum("trx"),
-        "revenue": F.sum("revenue"),
-    }
-
-
 def taker_by_tower(
     taker: DataFrame,
     month: date | None = None,
@@ -82,15 +74,23 @@ def taker_by_offer(
     extract_date: date | None = None,
     towers: Sequence[str] = CORE_TOWERS,
     by: Sequence[str] = (),
+    data_name: str = "data_date",
 ) -> DataFrame:
-    """Distinct takers, transactions and revenue per offer."""
+    """Distinct takers, transactions and revenue per offer.
+
+    The forecast extract is the same table with the data day named ``d_date``.
+    """
     totals = (
         _taken(taker, month)
         .where(F.col("tower_name").isin(*towers))
         .groupBy(*by, "strmonth", "offer_id")
-        .agg(*[agg.alias(name) for name, agg in _totals().items()])
+        .agg(
+            F.countDistinct("msisdn").alias("total_msisdn"),
+            F.sum("trx").alias("trx"),
+            F.sum("revenue").alias("revenue"),
+        )
     )
-    return tagged(totals, extract_date, data_name="data_date")
+    return tagged(totals, extract_date, data_name=data_name)
 
 
 def taker_border(

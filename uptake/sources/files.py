@@ -23,7 +23,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     Only a local session may do without the setting; it then uses Spark's warehouse folder.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
