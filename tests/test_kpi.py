@@ -8,11 +8,14 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as PT
 
+from uptake.functions.dates import in_month
 from uptake.functions.grouping import rollup_sets
 from uptake.functions.kpi import clamp_take_up_rate, exact_mean, ratio, take_up_rate, wltype_bucket
 from uptake.operators import border, snapshots, summary, top_level
+from uptake.operators.load import replace_partitions
 from uptake.operators.tur import tur_formulation
 from uptake.plans.queries import QUERIES
+from uptake.sources.files import scratch_path
 from uptake.sources.schemas import EXTRACTS
 
 MAY, D = date(2026, 5, 1), date(2026, 5, 20)
@@ -215,3 +218,15 @@ def test_subtotals_are_sums_of_leaves(spark, sf_dir, name):
     assert both.count() > 0
     assert both.where("total_target <> target OR NOT (total_taker <=> taker)").isEmpty()
     assert both.where("total_campaign < campaign").isEmpty()
+
+
+def test_snapshot_dates_prune_partitions(spark, tables):
+    """With a month, only the chosen extract dates of a stored snapshot table are read."""
+    summary, wl = (scratch_path(spark, n) for n in ("summary", "wl"))
+    replace_partitions(tables[0], summary, ["strmonth", "extract_date"])
+    replace_partitions(tables[1], wl, ["strmonth", "extract_date"])
+    month = in_month(spark.read.parquet(summary), MAY)
+    lagged = snapshots.lagged_snapshot(in_month(spark.read.parquet(wl), MAY), month)
+    plan = lagged._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpru" in plan and "BroadcastHashJoin" in plan
+    assert [r.msisdn_wl for r in lagged.collect()] == [80]

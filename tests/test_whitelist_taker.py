@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from uptake.operators import taker as T
 from uptake.operators import whitelist as W
+from uptake.operators.load import replace_partitions
+from uptake.sources.files import scratch_path
 from uptake.sources.schemas import SUBSCRIBER, TAKER, WHITELIST
 
 MAY = date(2026, 5, 1)
@@ -157,3 +159,21 @@ def test_taker_border_equals_join_and_distinct(taker, dim):
         assert rows(ours, "offer_id", level, "total_msisdn", "trx", "revenue") == rows(
             plain, "offer_id", level, "n", "t", "r"
         )
+
+
+def test_length_of_stay_as_a_level_of_the_same_pass(wl, dim):
+    one = W.wl_border(wl, dim, dim_date=MAY, levels=("area_sales", "los"))
+    alone = W.wl_los(wl, dim, dim_date=MAY)
+    assert rows(
+        one.where("level = 'los'"), "offer_id", "border", "total_msisdn", "msisdn_delivered"
+    ) == rows(alone, "offer_id", "los", "total_msisdn", "msisdn_delivered")
+
+
+def test_month_reaches_the_scan(spark, wl):
+    """A stored fact is read for the month and the needed columns only."""
+    path = scratch_path(spark, "wl")
+    replace_partitions(wl, path, ["strmonth"])
+    plan = W.wl_by_offer(spark.read.parquet(path), MAY)._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    assert "(strmonth" in text.split("PartitionFilters: [")[1].split("]")[0]
+    assert "start_date" not in text.split("ReadSchema: ")[1].split("\n")[0]

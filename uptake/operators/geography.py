@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from uptake.functions.dates import in_month
@@ -16,24 +16,34 @@ def at_date(dim: DataFrame, dim_date: date | None) -> DataFrame:
     return in_month(dim, dim_date, "event_date")
 
 
-def _places(levels: Sequence[str], border_of) -> list[Column]:
-    return [F.struct(F.lit(c).alias("level"), border_of(c).alias("border")) for c in levels]
+def spread_over_levels(facts: DataFrame, dim: DataFrame, levels: Sequence[str]) -> DataFrame:
+    """Left-join facts (with an ``msisdn``) to the dimension, one row per level and dimension row.
+
+    Subscribers unknown to the dimension get a null border on every level.
+    """
+    homes = dim.select("msisdn", *[F.col(c).cast("string").alias(c) for c in levels])
+    return facts.join(homes, "msisdn", "left").unpivot(
+        facts.columns, list(levels), "level", "border"
+    )
 
 
 def subscriber_levels(dim: DataFrame, levels: Sequence[str]) -> DataFrame:
     """One row per subscriber with an array of (level, border, copies).
 
     A dimension snapshot should hold a subscriber once. If it does not, a left join repeats
-    the facts; ``copies`` keeps that multiplicity while the subscriber stays a single row, so
-    that distinct subscribers can be counted after the join without a second shuffle of the
-    facts. The array is at most as long as the list of geography values.
+    the facts; ``copies`` keeps that multiplicity while the subscriber stays a single row. The
+    array is at most as long as the list of geography values.
     """
-    spread = dim.where(F.col("msisdn").isNotNull()).select(
-        "msisdn",
-        F.inline(F.array(*_places(levels, lambda c: F.col(c).cast("string")))),
+    places = F.array(
+        *[
+            F.struct(F.lit(c).alias("level"), F.col(c).cast("string").alias("border"))
+            for c in levels
+        ]
     )
     return (
-        spread.groupBy("msisdn", "level", "border")
+        dim.where(F.col("msisdn").isNotNull())
+        .select("msisdn", F.inline(places))
+        .groupBy("msisdn", "level", "border")
         .agg(F.count("*").alias("copies"))
         .groupBy("msisdn")
         .agg(F.collect_list(F.struct("level", "border", "copies")).alias("places"))
@@ -41,9 +51,10 @@ def subscriber_levels(dim: DataFrame, levels: Sequence[str]) -> DataFrame:
 
 
 def place_on_levels(facts: DataFrame, dim: DataFrame, levels: Sequence[str]) -> DataFrame:
-    """Left-join facts (with an ``msisdn``) to the dimension, one row per level and border.
+    """``spread_over_levels`` with one row per level and border, and the number of copies.
 
-    Subscribers unknown to the dimension get a null border on every level.
+    If the facts hold a subscriber once per group, counting rows per border then counts
+    distinct subscribers, without a second shuffle of the facts by subscriber.
     """
     nowhere = F.array(
         *[

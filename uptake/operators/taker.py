@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from uptake.functions.constants import ALL, CORE_TOWERS, LEVELS
+from uptake.functions.constants import CORE_TOWERS, LEVELS
 from uptake.functions.dates import in_month, tagged
+from uptake.functions.grouping import rollup_sets
 from uptake.operators.geography import at_date, place_on_levels
 
 
@@ -26,44 +27,17 @@ def taker_by_tower(
     """Distinct takers, transactions and revenue per tower, and for all towers together.
 
     The total counts subscribers anew: someone who took offers of two towers is one taker.
-    Facts are summed to one row per subscriber with a place for each tower, which a
-    ``count(DISTINCT)`` over two grouping sets would shuffle twice.
     """
     core = _taken(taker, month).where(F.col("tower_name").isin(*towers))
-
-    def sums(name: str, mine: Column) -> Column:
-        return F.struct(
-            F.count_if(mine).alias("rows"),
-            F.sum(F.when(mine, F.col("trx"))).alias("trx"),
-            F.sum(F.when(mine, F.col("revenue"))).alias("revenue"),
-        ).alias(name)
-
-    per_subscriber = core.groupBy("strmonth", "msisdn").agg(
-        *[sums(tower, F.col("tower_name") == tower) for tower in towers], sums(ALL, F.lit(True))
-    )
-    totals = (
-        per_subscriber.select(
-            "strmonth",
-            "msisdn",
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(name).alias("tower_name"),
-                            *[F.col(name)[c].alias(c) for c in ("rows", "trx", "revenue")],
-                        )
-                        for name in (*towers, ALL)
-                    ]
-                )
-            ),
-        )
-        .where("rows > 0")
-        .groupBy("strmonth", "tower_name")
-        .agg(
-            F.count("msisdn").alias("total_msisdn"),
-            F.sum("trx").alias("trx"),
-            F.sum("revenue").alias("revenue"),
-        )
+    totals = rollup_sets(
+        core,
+        ["strmonth"],
+        [["tower_name"], []],
+        {
+            "total_msisdn": F.countDistinct("msisdn"),
+            "trx": F.sum("trx"),
+            "revenue": F.sum("revenue"),
+        },
     )
     return tagged(totals, extract_date, data_name="data_date")
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from uptake.functions.constants import LEVELS
 from uptake.functions.dates import in_month, tagged
-from uptake.operators.geography import at_date, place_on_levels
+from uptake.operators.geography import at_date, spread_over_levels
 
 
 def _offered(wl: DataFrame, month: date | None) -> DataFrame:
@@ -86,7 +86,8 @@ def wl_border(
     """Targeted and delivered subscribers per offer and geography value, for each level.
 
     Subscribers are made distinct before the join with the dimension: that also limits a
-    subscriber who holds a large part of the rows to one row per offer.
+    subscriber who holds a large part of the rows to one row per offer. Further attributes,
+    such as ``los``, can be levels of the same pass.
     """
     keys = [*by, "strmonth", "offer_id"]
     targeted = (
@@ -94,12 +95,13 @@ def wl_border(
         .groupBy(*keys, F.col("msisdn_wl").alias("msisdn"))
         .agg(F.max("msisdn_delivered").alias("msisdn_delivered"))
     )
-    placed = place_on_levels(targeted, at_date(dim, dim_date), levels)
-    reach = placed.groupBy("level", *keys, "border").agg(
-        F.sum("copies").alias("total_msisdn"),
-        F.sum(F.when(F.col("msisdn_delivered").isNotNull(), F.col("copies")).otherwise(0)).alias(
-            "msisdn_delivered"
-        ),
+    reach = (
+        spread_over_levels(targeted, at_date(dim, dim_date), levels)
+        .groupBy("level", *keys, "border")
+        .agg(
+            F.count("*").alias("total_msisdn"),
+            F.count("msisdn_delivered").alias("msisdn_delivered"),
+        )
     )
     return tagged(reach, extract_date)
 
