@@ -183,7 +183,11 @@ def test_top_and_counts(portfolio):
 
 def test_filters(spark):
     filters = spark.createDataFrame(
-        [(1, "b", "Second", "FILTER_TOP_10_BY_TOTAL_USER"), (2, "a", "First", "FILTER_TOP_10_BY_TOTAL_USER"), (3, "c", "x", "y")],
+        [
+            (1, "b", "Second", "FILTER_TOP_10_BY_TOTAL_USER"),
+            (2, "a", "First", "FILTER_TOP_10_BY_TOTAL_USER"),
+            (3, "c", "x", "y"),
+        ],
         FILTER_REFERENCE,
     )
     assert [r.name for r in C.top10_filters(filters).collect()] == ["a", "b"]

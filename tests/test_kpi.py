@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as PT
 
 from uptake.functions.dates import in_month
 from uptake.functions.grouping import rollup_sets
@@ -50,9 +50,9 @@ def targets(spark, rows):
 
 def takers(spark, rows):
     """(offer, takers, transactions, revenue, extract day of May)."""
-    schema = "extract_date date, data_date date, strmonth date, offer_id long, total_msisdn long, trx long, revenue double"
     return spark.createDataFrame(
-        [(day(e), day(e - 2), MAY, o, n, t, float(r)) for o, n, t, r, e in rows], schema
+        [(day(e), day(e - 2), MAY, o, n, t, Decimal(r)) for o, n, t, r, e in rows],
+        EXTRACTS["taker_offer"],
     )
 
 
@@ -184,10 +184,13 @@ def test_empty_month(tables):
 
 
 def test_border_snapshots(spark, tables):
-    schema = PT.StructType([f for f in EXTRACTS["wl_border"].fields])
-    cells = [("kabupaten", D, DAY, MAY, 1, "K1", 10, 5), ("kabupaten", D, DAY, MAY, 1, None, 1, 0),
-             ("los", D, DAY, MAY, 1, "x", 9, 9), ("kabupaten", day(19), day(17), MAY, 1, "K1", 7, 7)]
-    wl = spark.createDataFrame(cells, schema)
+    cells = [
+        ("kabupaten", D, DAY, MAY, 1, "K1", 10, 5),
+        ("kabupaten", D, DAY, MAY, 1, None, 1, 0),
+        ("los", D, DAY, MAY, 1, "x", 9, 9),
+        ("kabupaten", day(19), day(17), MAY, 1, "K1", 7, 7),
+    ]
+    wl = spark.createDataFrame(cells, EXTRACTS["wl_border"])
     one = border.border_wl(tables[0], wl).collect()
     assert {(r.border, r.total_target, r.total_delivered) for r in one} == {("K1", 20, 10), (None, 2, 0)}
     # Offer 1 is in two snapshots with three campaign rows.

@@ -169,6 +169,30 @@ def test_every_sync_key_is_a_date_column():
         assert SYNC_KEYS[table] in EXTRACTS[table].fieldNames()
 
 
+def test_jdbc_slice_has_columns_and_predicate(spark):
+    class Reader(dict):
+        def format(self, name):
+            return self
+
+        def options(self, **options):
+            self.update(options)
+            return self
+
+        def option(self, key, value):
+            self[key] = value
+            return self
+
+        def load(self):
+            return kpi(spark, (MAY, "A", 1), (APRIL, "A", 2))
+
+    class Session:
+        read = Reader()
+
+    got = jdbc.read_slice(Session(), {"url": "u"}, "kpi", ["tower", "n"], "strmonth", MAY)
+    assert [tuple(r) for r in got.collect()] == [("A", 1)]
+    assert Session.read == {"url": "u", "dbtable": "kpi"}
+
+
 class FakeWriter:
     def __init__(self):
         self.options_set, self.done = {}, []

@@ -28,6 +28,9 @@ APP_COLUMNS = [
     "tag_function_application",
     "tag_db_system",
 ]
+# Parallel slots of the cells of a matrix.
+MATRIX_SLOTS = 64
+
 # By vendor and asset; the id breaks ties, so that equal names do not end up in one task.
 APP_ORDER = ["vendor_name", "asset_name", "id"]
 
@@ -247,19 +250,24 @@ def create_summary_views(portfolio: DataFrame) -> None:
 def category_matrix(portfolio: DataFrame, column: str) -> DataFrame:
     """Applications for each category and each known value of a column, 0 where there are none.
 
-    The list of values (a label list, as long as the matrix is wide) is read as one array and
-    unfolded per category; applications are counted before they meet it.
+    The result is dense by definition. Its cells are made in parallel: the values are dealt
+    into slots, and every category is joined to the values slot by slot. Applications are
+    counted before and meet the cells as one row per non-empty cell.
     """
     counts = portfolio.groupBy("category", column).agg(F.count("*").alias("count"))
-    labels = portfolio.agg(F.collect_set(column).alias("labels"))
-    cells = (
-        portfolio.select("category")
+    values = (
+        portfolio.select(column)
+        .where(F.col(column).isNotNull())
         .distinct()
-        .withColumn("labels", labels.scalar())
-        .select("category", F.explode("labels").alias(column))
+        .withColumn("slot", F.pmod(F.xxhash64(column), F.lit(MATRIX_SLOTS)))
+    )
+    slots = F.sequence(F.lit(0), F.lit(MATRIX_SLOTS - 1)).cast("array<long>")
+    categories = (
+        portfolio.select("category").distinct().withColumn("slot", F.explode(slots))
     )
     return (
-        cells.join(counts, ["category", column], "left")
+        categories.join(values, "slot")
+        .join(counts, ["category", column], "left")
         .select("category", column, F.coalesce("count", F.lit(0)).alias("count"))
         .orderBy("category", column)
     )

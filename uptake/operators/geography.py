@@ -27,12 +27,13 @@ def spread_over_levels(facts: DataFrame, dim: DataFrame, levels: Sequence[str])
     )
 
 
-def subscriber_levels(dim: DataFrame, levels: Sequence[str]) -> DataFrame:
-    """One row per subscriber with an array of (level, border, copies).
+def place_on_levels(facts: DataFrame, dim: DataFrame, levels: Sequence[str]) -> DataFrame:
+    """``spread_over_levels`` with one row per level and border, and the number of copies.
 
     A dimension snapshot should hold a subscriber once. If it does not, a left join repeats
-    the facts; ``copies`` keeps that multiplicity while the subscriber stays a single row. The
-    array is at most as long as the list of geography values.
+    the facts, and ``copies`` says how often. If the facts hold a subscriber once per group,
+    counting rows per border then counts distinct subscribers, without another shuffle of the
+    facts by subscriber.
     """
     places = F.array(
         *[
@@ -40,32 +41,18 @@ def subscriber_levels(dim: DataFrame, levels: Sequence[str]) -> DataFrame:
             for c in levels
         ]
     )
-    return (
+    homes = (
         dim.where(F.col("msisdn").isNotNull())
         .select("msisdn", F.inline(places))
         .groupBy("msisdn", "level", "border")
         .agg(F.count("*").alias("copies"))
-        .groupBy("msisdn")
-        .agg(F.collect_list(F.struct("level", "border", "copies")).alias("places"))
-    )
-
-
-def place_on_levels(facts: DataFrame, dim: DataFrame, levels: Sequence[str]) -> DataFrame:
-    """``spread_over_levels`` with one row per level and border, and the number of copies.
-
-    If the facts hold a subscriber once per group, counting rows per border then counts
-    distinct subscribers, without a second shuffle of the facts by subscriber.
-    """
-    nowhere = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("level"),
-                F.lit(None).cast("string").alias("border"),
-                F.lit(1).cast("long").alias("copies"),
-            )
-            for c in levels
-        ]
     )
-    return facts.join(subscriber_levels(dim, levels), "msisdn", "left").select(
-        *facts.columns, F.inline(F.coalesce("places", nowhere))
+    # Only subscribers unknown to the dimension have no level yet: they get all of them.
+    known = F.col("level").isNotNull()
+    every = F.when(known, F.array("level")).otherwise(F.array(*[F.lit(c) for c in levels]))
+    return facts.join(homes, "msisdn", "left").select(
+        *facts.columns,
+        F.explode(every).alias("level"),
+        "border",
+        F.coalesce("copies", F.lit(1)).alias("copies"),
     )
