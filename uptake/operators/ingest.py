@@ -65,7 +65,8 @@ def fold_rows(
     """Merge rows with a blank key into the row with a key above them.
 
     The values of a column are joined by line breaks in row order; the key and the ``skip``
-    columns keep the value of the keyed row. Rows above the first key stay as they are.
+    columns keep the value of the keyed row. Rows above the first key stay as they are. A merged
+    cell is one value of the result, so a record has to fit in a row.
     """
     place = F.struct(position.chunk, position.row)
     rows = carry_forward(
