@@ -9,6 +9,24 @@ from pyspark.sql import functions as F
 
 from uptake.llm.common import read
 from uptake.llm.jaccard_join import near_duplicate_classes
+from uptake.llm.packing import pack, tokenised_pieces
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read(spark, sf_dir, "documents")
+    pieces = tokenised_pieces(
+        docs,
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        keep_ids=False,
+    )
+    packed = pack(pieces, docs.count())
+    return packed.select(
+        F.col("id").alias("doc_id"),
+        *["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
+    )
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,5 +35,6 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op7_jaccard_join": op7_jaccard_join,
 }
