@@ -28,6 +28,71 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(b) AS component_id
 FROM sets JOIN reached ON doc_id = a GROUP BY doc_id, s
 """
 
+TOPK = """
+WITH usable AS (
+    SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+        CAST(list_sum(list_transform(list_zip(q.v, c.v),
+            lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))) AS BIGINT) AS score
+    FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+    FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
+"""
+
+WARC = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages
+), firsts AS (
+    SELECT payload, max(page_id) AS response FROM payloads GROUP BY payload
+)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+    array_to_string([
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+            ('0x' || substr(digest, 5 * (i // 4) + 1, 5))::BIGINT // (32 ** (3 - i % 4))::BIGINT % 32
+            AS INTEGER), 1)
+        FOR i IN range(32)], '') AS payload_digest,
+    CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> response THEN response END AS refers_to
+FROM payloads JOIN firsts USING (payload)
+"""
+
+# The check sum is computed byte by byte; its table of 256 numbers follows from the polynomial.
+SHARDING = """
+WITH crc_table AS (
+    SELECT list_transform(range(256), lambda b: list_reduce([CAST(b AS BIGINT)] || range(8)::BIGINT[],
+        lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), sums AS (
+    SELECT doc_id, xor(list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(
+            range(1, 2 * strlen(coalesce(text, '')) + 1, 2),
+            lambda i: CAST(('0x' || substr(hex(coalesce(text, '')), i, 2)) AS BIGINT)),
+        lambda c, b: xor(c >> 8, t[1 + xor(c & 255, b)])), 4294967295) AS text_crc32,
+        CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size
+    FROM documents, crc_table
+), scores AS (
+    SELECT doc_id, size, text_crc32, s, -ln((CAST('0x' || substr(md5(
+        coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || s), 1, 13) AS BIGINT) + 0.5::DOUBLE)
+        / 4503599627370496::DOUBLE) AS score
+    FROM sums, range(17) r(s)
+), placed AS (
+    SELECT doc_id, size, text_crc32, arg_min(s, score) FILTER (s < 16) AS shard,
+        arg_min(s, score) AS grown_shard
+    FROM scores GROUP BY ALL
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+    row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot,
+    CAST(grown_shard AS INTEGER) AS grown_shard
+FROM placed
+"""
+
 ORACLES: dict[str, str] = {
+    "op2_topk": TOPK,
+    "op3_warc": WARC,
+    "op5_sharding": SHARDING,
     "op7_jaccard_join": JACCARD_JOIN,
 }

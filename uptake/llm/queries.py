@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from uptake.llm.common import read
 from uptake.llm.jaccard_join import near_duplicate_classes
 from uptake.llm.packing import pack, tokenised_pieces
+from uptake.llm.sharding import shard_documents
+from uptake.llm.topk import top_k
+from uptake.llm.warc import read_archive, write_archive
+from uptake.sources.files import scratch_path
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +33,29 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "archive")
+    write_archive(read(spark, sf_dir, "pages"), folder)
+    return read_archive(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weights = {shard: 1.0 for shard in range(17)}
+    rows = shard_documents(
+        read(spark, sf_dir, "documents"), {s: weights[s] for s in range(16)}, weights
+    )
+    return rows.select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"),
+        "shard", "slot", "grown_shard",
+    )
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_duplicate_classes(read(spark, sf_dir, "documents"))
     return rows.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
@@ -36,5 +63,8 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_topk": op2_topk,
+    "op3_warc": op3_warc,
+    "op5_sharding": op5_sharding,
     "op7_jaccard_join": op7_jaccard_join,
 }
