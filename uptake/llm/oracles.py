@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uptake.llm.licenses import TEMPLATES
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 JACCARD_JOIN = rf"""
@@ -90,9 +92,45 @@ SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
 FROM placed
 """
 
+_TEMPLATE_ROWS = ", ".join(
+    f"('{name}', {i}, '{text}')" for name, own in TEMPLATES.items() for i, text in enumerate(own)
+)
+LICENSE_SCAN = rf"""
+WITH parts AS (
+    SELECT doc_id, 0 AS line, text AS part FROM documents WHERE contains(text, chr(10))
+    UNION ALL
+    SELECT doc_id, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line,
+        unnest(string_split(text, chr(10))) AS part
+    FROM documents WHERE text IS NOT NULL
+), templates(license, variant, text) AS (VALUES {_TEMPLATE_ROWS}
+), units AS (
+    SELECT doc_id, line, NULL AS license, NULL AS variant, part AS text FROM parts
+    UNION ALL SELECT NULL, NULL, license, variant, text FROM templates
+), split AS (
+    SELECT * EXCLUDE text, list_filter(string_split_regex({_LOWER}, '[\x00-/:-`\{{-\x7F]+'),
+        lambda w: w <> '') AS w
+    FROM units
+), sets AS (
+    SELECT * EXCLUDE w, CASE WHEN len(w) = 1 THEN w
+        ELSE list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) END AS s
+    FROM split WHERE len(w) > 0
+), scored AS (
+    SELECT d.doc_id, d.line, t.license, t.variant,
+        len(list_intersect(d.s, t.s)) AS shared, len(d.s) + len(t.s) AS together
+    FROM sets d JOIN sets t ON d.doc_id IS NOT NULL AND t.license IS NOT NULL
+        AND 2 * least(len(d.s), len(t.s)) >= 0.8::DOUBLE * (len(d.s) + len(t.s)) - 1e-6::DOUBLE
+)
+SELECT doc_id, CAST(line AS INTEGER) AS line, license, variant, CAST(shared AS INTEGER) AS shared,
+    2 * shared::DOUBLE / together AS dice
+FROM scored WHERE 2 * shared >= 0.8::DOUBLE * together
+QUALIFY row_number() OVER (PARTITION BY doc_id, scored.line
+    ORDER BY 2 * shared::DOUBLE / together DESC, license, variant) = 1
+"""
+
 ORACLES: dict[str, str] = {
     "op2_topk": TOPK,
     "op3_warc": WARC,
+    "op4_license_scan": LICENSE_SCAN,
     "op5_sharding": SHARDING,
     "op7_jaccard_join": JACCARD_JOIN,
 }

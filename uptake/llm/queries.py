@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from uptake.llm.common import read
 from uptake.llm.jaccard_join import near_duplicate_classes
+from uptake.llm.licenses import license_matches, templates
 from uptake.llm.packing import pack, tokenised_pieces
 from uptake.llm.sharding import shard_documents
 from uptake.llm.topk import top_k
@@ -45,6 +46,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_matches(read(spark, sf_dir, "documents"), templates(spark), best=True)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = {shard: 1.0 for shard in range(17)}
     rows = shard_documents(
@@ -65,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_topk": op2_topk,
     "op3_warc": op3_warc,
+    "op4_license_scan": op4_license_scan,
     "op5_sharding": op5_sharding,
     "op7_jaccard_join": op7_jaccard_join,
 }
