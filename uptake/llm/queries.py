@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uptake.llm.common import read
+from uptake.llm.html_extraction import main_text
 from uptake.llm.jaccard_join import near_duplicate_classes
 from uptake.llm.licenses import license_matches, templates
 from uptake.llm.packing import pack, tokenised_pieces
@@ -62,6 +63,13 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = main_text(read(spark, sf_dir, "pages"))
+    return texts.select(
+        F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_duplicate_classes(read(spark, sf_dir, "documents"))
     return rows.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
@@ -73,5 +81,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op4_license_scan": op4_license_scan,
     "op5_sharding": op5_sharding,
+    "op6_html_extraction": op6_html_extraction,
     "op7_jaccard_join": op7_jaccard_join,
 }
