@@ -91,7 +91,7 @@ def _pieces(
                     ids.append(part if keep_ids else None)
             if not place:
                 continue
-            taken = batch.take(pa.array(place))
+            taken = batch.select(["id", "row"]).take(pa.array(place))
             numbers = (start, length, total, sums)
             columns = [
                 *[taken.column(c) for c in ("id", "row")],
