@@ -37,6 +37,22 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def text_slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 4 << 20
+) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to some megabytes of text each, one row at least."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ends = text_bytes(batch.column(column))[1][1:]
+        a = 0
+        while a < len(ends):
+            before = ends[a - 1] if a else 0
+            b = max(a + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield batch.slice(a, b - a)
+            a = b
+
+
 def runs(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First place and length of every run of equal values."""
     if not len(sorted_values):

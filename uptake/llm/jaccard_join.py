@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from uptake.llm.common import power_of_two, runs, stored, text_bytes
+from uptake.llm.common import power_of_two, runs, stored, text_bytes, text_slices
 from uptake.llm.components import components
 from uptake.llm.shingles import shingle_sets
 
@@ -103,7 +103,7 @@ def _blocks(bucket_bits: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sets, held = [], [], 0
         seen: set[int] = set()
-        for batch in batches:
+        for batch in text_slices(batches):
             own = batch.column("key").to_numpy(zero_copy_only=False)
             new = np.array([k not in seen and not seen.add(k) for k in own.tolist()], bool)
             batch = batch.filter(pa.array(new))

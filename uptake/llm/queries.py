@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uptake.llm.common import read
+from uptake.llm.decontamination import leaks
 from uptake.llm.html_extraction import main_text
 from uptake.llm.jaccard_join import near_duplicate_classes
 from uptake.llm.licenses import license_matches, templates
@@ -75,6 +76,11 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.drop("row").withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_topk": op2_topk,
@@ -83,4 +89,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": op5_sharding,
     "op6_html_extraction": op6_html_extraction,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_decontamination": op8_decontamination,
 }

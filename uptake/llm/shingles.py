@@ -27,7 +27,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Powers:
+class Powers:
     """Powers of the base and of its inverse, as many as the longest block has needed."""
 
     def __init__(self):
@@ -43,7 +43,7 @@ class _Powers:
         return self.up[:n], self.down[:n]
 
 
-_powers = _Powers()
+powers = Powers()
 
 
 def _hash_block(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -51,7 +51,7 @@ def _hash_block(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside = ~_IS_SEPARATOR[data]
     edges = np.flatnonzero(np.diff(np.r_[False, inside, False].view(np.int8)))
     starts, ends = edges[::2], edges[1::2]
-    up, down = _powers(len(data) + 1)
+    up, down = powers(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
     return starts, mix((total[ends] - total[starts]) * down[starts])
