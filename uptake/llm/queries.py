@@ -11,6 +11,7 @@ from uptake.llm.common import read
 from uptake.llm.decontamination import leaks
 from uptake.llm.html_extraction import main_text
 from uptake.llm.jaccard_join import near_duplicate_classes
+from uptake.llm.language_id import fit, held_out, identify
 from uptake.llm.licenses import license_matches, templates
 from uptake.llm.packing import pack, tokenised_pieces
 from uptake.llm.sharding import shard_documents
@@ -81,6 +82,14 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("row").withColumnRenamed("id", "doc_id")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = fit(docs.where(~held_out("doc_id")))
+    return identify(docs, model).select(
+        F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "lang_pred", "score"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_topk": op2_topk,
@@ -90,4 +99,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_html_extraction": op6_html_extraction,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_decontamination": op8_decontamination,
+    "op9_language_id": op9_language_id,
 }
