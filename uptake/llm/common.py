@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from uptake.sources.files import scratch_path
 
@@ -53,15 +54,35 @@ def text_slices(
             a = b
 
 
+BITMAP_BITS = 1 << 22
+
+
+def bitmap_of(df: DataFrame, column: str) -> np.ndarray:
+    """A bit for the lower bits of every hash of a column, half a megabyte at any size.
+
+    It is gathered in blocks of 4 KB. A word that is not in the bitmap is not in the column.
+    """
+    bit = F.col(column).bitwiseAND(BITMAP_BITS - 1) + 1
+    blocks = (
+        df.groupBy(F.bitmap_bucket_number(bit).alias("block"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+        .collect()
+    )
+    whole = np.zeros(BITMAP_BITS // 8, np.uint8)
+    for r in blocks:
+        size = len(r["bits"])
+        whole[(r["block"] - 1) * size : r["block"] * size] = np.frombuffer(r["bits"], np.uint8)
+    return whole
+
+
+def bits_set(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bit = (hashes & np.uint64(BITMAP_BITS - 1)).astype(np.int64)
+    return bitmap[bit >> 3] >> (bit & 7) & 1 > 0
+
+
 def runs(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First place and length of every run of equal values."""
     if not len(sorted_values):
         return np.empty(0, np.int64), np.empty(0, np.int64)
     first = np.flatnonzero(np.r_[True, sorted_values[1:] != sorted_values[:-1]])
     return first, np.diff(np.r_[first, len(sorted_values)])
-
-
-def table_rows(columns: dict[str, list], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """The columns as one Arrow batch, nothing if they are empty."""
-    if len(next(iter(columns.values()))):
-        yield pa.RecordBatch.from_pydict(columns, schema=schema)

@@ -20,14 +20,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from uptake.llm.common import stored, text_bytes, text_slices
+from uptake.llm.common import bitmap_of, bits_set, stored, text_bytes, text_slices
 from uptake.llm.shingles import BLOCK_BYTES, mix, powers
 
 WIDTH = 8
 LEAST_WIDTH = 3  # shorter items cannot be told from ordinary text
 LEAST_WORDS = 5  # words, not placeholders, in a template window of full width
 COVERAGE = 0.5
-BITMAP_BITS = 1 << 22
 MOST_BROADCAST_WINDOWS = 1 << 20
 PLAIN, TEMPLATE = 0, 1
 
@@ -198,8 +197,7 @@ def _cut(ids: list[str], widths: list[int] | None, bitmap: np.ndarray | None) ->
                         # Without a slot the plain windows say the same.
                         chosen &= (kind == PLAIN) | has_slots[text]
                     else:
-                        bit = (hashes & np.uint64(BITMAP_BITS - 1)).astype(np.int64)
-                        chosen = bitmap[bit >> 3] >> (bit & 7) & 1 > 0
+                        chosen = bits_set(bitmap, hashes)
                     at, hashes, text = at[chosen], hashes[chosen], text[chosen]
                     if not len(at):
                         continue
@@ -229,21 +227,6 @@ def _windows(texts: DataFrame, ids: list[str], widths=None, bitmap=None) -> Data
     return texts.mapInArrow(_cut(ids, widths, bitmap), schema)
 
 
-def _bitmap(items: DataFrame) -> np.ndarray:
-    """A bit for every benchmark window, gathered in blocks of 4 KB: half a megabyte in all."""
-    bit = F.col("window").bitwiseAND(BITMAP_BITS - 1) + 1
-    blocks = (
-        items.groupBy(F.bitmap_bucket_number(bit).alias("block"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
-        .collect()
-    )
-    whole = np.zeros(BITMAP_BITS // 8, np.uint8)
-    for r in blocks:
-        size = len(r["bits"])
-        whole[(r["block"] - 1) * size : r["block"] * size] = np.frombuffer(r["bits"], np.uint8)
-    return whole
-
-
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -284,7 +267,7 @@ def leaks(
         ),
         ["id", "row"],
         widths or [WIDTH],
-        _bitmap(items),
+        bitmap_of(items, "window"),
     ).drop("tokens")
     found = found.withColumnsRenamed({"place": "at", "slots": "doc_slots"})
     pairs = F.arrays_zip(F.col("slots").alias("item"), F.col("doc_slots").alias("doc"))

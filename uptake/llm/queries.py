@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uptake.llm.common import read
@@ -14,6 +14,7 @@ from uptake.llm.jaccard_join import near_duplicate_classes
 from uptake.llm.language_id import fit, held_out, identify
 from uptake.llm.licenses import license_matches, templates
 from uptake.llm.packing import pack, tokenised_pieces
+from uptake.llm.sanitisation import KINDS, disclosing_terms, find_spans
 from uptake.llm.sharding import shard_documents
 from uptake.llm.topk import top_k
 from uptake.llm.warc import read_archive, write_archive
@@ -90,6 +91,26 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    rows = find_spans(docs, disclosing_terms(docs))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        *[number(kind) for kind in KINDS],
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        joined(F.concat("base", "terms")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_topk": op2_topk,
@@ -100,4 +121,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_jaccard_join": op7_jaccard_join,
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
+    "op10_pii": op10_pii,
 }
