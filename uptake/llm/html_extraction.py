@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from uptake.llm.common import stored
+from uptake.llm.common import stored, text_slices
 from uptake.llm.html_blocks import Block, blocks
 
 TABLE_BITS = 1 << 28  # of one alignment table; larger ones are split
@@ -92,20 +92,27 @@ def _last(a: Sequence, b: Sequence) -> int:
     return state
 
 
-def main_lines(page: Sequence[Block], shared: Sequence[int]) -> list[str]:
-    """The lines that stay, given the places of those shared with the nearest page.
+def candidate_lines(page: Sequence[Block]) -> tuple[bool, list[tuple[int, str]]]:
+    """Whether a page marks its article, and its lines that may stay with their places: those of
+    the article or, without one, all that are not in a menu, a footer or the like."""
+    own = [(i, b) for i, b in enumerate(page) if not b.aside]
+    marked = any(b.article for _, b in own)
+    return marked, [(i, b.text) for i, b in own if b.article or not marked]
+
+
+def kept_text(marked: Column, lines: Column, shared: Column) -> Column:
+    """The candidate lines without those shared with the nearest page, by line feeds.
 
-    A page that shares all its lines is a copy, which tells nothing about its site: all stay.
+    A page that marks its article keeps all of them, and so does one that shares them all: it
+    is a copy, which tells nothing about its site.
     """
-    own = [(i, b) for i, b in enumerate(page) if not b.aside]
-    if any(b.article for _, b in own):
-        return [b.text for _, b in own if b.article]
-    of_site = set(shared)
-    return [b.text for i, b in own if i not in of_site] or [b.text for _, b in own]
+    own = F.filter(lines, lambda b: ~F.coalesce(F.array_contains(shared, b["place"]), F.lit(False)))
+    stays = F.when(marked | (F.size(own) == 0), lines).otherwise(own)
+    return F.array_join(F.transform(stays, lambda b: b["text"]), "\n")
 
 
 def _line_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in text_slices(batches, "html"):
         lines = [
             [xxhash.xxh64_intdigest(b.text) - (1 << 63) for b in blocks(html)]
             for html in batch.column("html").to_pylist()
@@ -208,20 +215,26 @@ def main_text(
         .mapInArrow(_align, "key string, shared array<int>")
     )
 
-    id_field = T.StructField("id", rows.schema["id"].dataType)
-    schema = T.StructType([id_field, *(T.StructField(c, T.StringType()) for c in ("url", "text"))])
+    line = T.StructType([T.StructField("place", T.IntegerType()), T.StructField("text", T.StringType())])
+    kept = ["key", "id", "url"]
+    schema = T.StructType(
+        [
+            *rows.select(*kept).schema.fields,
+            T.StructField("marked", T.BooleanType()),
+            T.StructField("lines", T.ArrayType(line)),
+        ]
+    )
+    kind = pa.list_(pa.struct([("place", pa.int32()), ("text", pa.string())]))
 
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = zip(
-                batch.column("html").to_pylist(), batch.column("shared").to_pylist(), strict=True
-            )
-            texts = ["\n".join(main_lines(blocks(html), shared or ())) for html, shared in found]
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "html"):
+            found = [candidate_lines(blocks(html)) for html in batch.column("html").to_pylist()]
+            own = [[{"place": i, "text": t} for i, t in lines] for _, lines in found]
+            columns = [pa.array([m for m, _ in found], pa.bool_()), pa.array(own, kind)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("url"), pa.array(texts, pa.string())],
-                names=["id", "url", "text"],
+                [*(batch.column(c) for c in kept), *columns], names=[*kept, "marked", "lines"]
             )
 
-    return rows.join(shared, "key", "left").select("id", "url", "html", "shared").mapInArrow(
-        extract, schema
-    )
+    parsed = rows.mapInArrow(parse, schema)
+    text = kept_text(F.col("marked"), F.col("lines"), F.col("shared"))
+    return parsed.join(shared, "key", "left").select("id", "url", text.alias("text"))
