@@ -52,6 +52,13 @@ def test_against_brute_force(spark):
     assert "Python" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_many_templates_need_no_anchors(spark):
+    known = {f"L{i}": [f"terms of licence number {i} apply"] for i in range(300)}
+    docs = spark.createDataFrame([(1, "Terms of licence number 7 apply.", "", "")], SCHEMA)
+    got = license_matches(docs, templates(spark, known), best=True).collect()
+    assert [(r["license"], r["dice"]) for r in got] == [("L7", 1.0)]
+
+
 def test_best_match_only(spark):
     rows = [(i, "This work is licensed under the GNU General Public License, version 3.", "", "")
             for i in (1, 1, None)]

@@ -55,6 +55,10 @@ def has_words(text: Column) -> Column:
     return F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
 
 
+def _key(text: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), text)
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Each row's id and the key of its text, null without words. Keys of different texts differ:
     if a 64-bit hash has a collision, the next seed is taken."""
@@ -62,7 +66,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         text = F.col(text_col)
         rows = docs.select(
             F.col(id_col).alias("id"),
-            F.when(has_words(text), F.xxhash64(F.lit(seed), text)).alias("key"),
+            F.when(has_words(text), _key(text, seed)).alias("key"),
             F.when(has_words(text), F.sha2(text, 256)).alias("digest"),
         )
         rows = stored(rows, "keys")
@@ -338,24 +342,16 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return _with_sets(bounded, sets, ["n", "numbers"]).mapInArrow(_exact, "a long, b long")
 
 
-def near_duplicate_classes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``id``, ``key`` of the text, ``n_shingles`` and ``component_id`` of every row.
-
-    Columns other than the two are not looked at. Null, empty and blank texts have no key and
-    no shingles and are their own component. Equal texts share a key. Rows that repeat an id
-    stay separate rows. A null id never names a component unless all its ids are null. An empty
-    table gives no rows. Texts are processed whole, whatever their length.
-    """
+def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, int]:
+    """Rows with the key of their text, the texts with their component, and the seed of the keys."""
     rows = _keyed(docs, id_col, text_col)
     total = docs.agg(F.sum(F.octet_length(F.col(text_col)).cast("long"))).first()[0] or 0
     buckets = max(64, power_of_two(total / BUCKET_TEXT_BYTES))
-    seed = rows.select("seed").limit(1).first()
+    first = rows.select("seed").limit(1).first()
+    seed = first[0] if first else 0
     text = F.col(text_col)
     texts = docs.where(has_words(text)).select(
-        F.xxhash64(F.lit(seed[0] if seed else 0), text).alias("key"),
-        F.concat(text, F.lit(" ")).alias("text"),
+        _key(text, seed).alias("key"), F.concat(text, F.lit(" ")).alias("text")
     )
     sets = (
         texts.mapInArrow(
@@ -380,6 +376,20 @@ def near_duplicate_classes(
         .join(labels.withColumnRenamed("node", "key"), "key", "left")
         .withColumn("root", F.coalesce("root", "key"))
     )
+    return rows, classes, seed
+
+
+def near_duplicate_classes(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``id``, ``key`` of the text, ``n_shingles`` and ``component_id`` of every row.
+
+    Columns other than the two are not looked at. Null, empty and blank texts have no key and
+    no shingles and are their own component. Equal texts share a key. Rows that repeat an id
+    stay separate rows. A null id never names a component unless all its ids are null. An empty
+    table gives no rows. Texts are processed whole, whatever their length.
+    """
+    rows, classes, _ = _classes(docs, id_col, text_col)
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = classes.join(least, "root").select("key", "n", "component_id")
     return rows.join(named, "key", "left").select(
@@ -390,3 +400,19 @@ def near_duplicate_classes(
             "component_id"
         ),
     )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of every component, all columns: that with the smallest id, nulls last.
+
+    Of repeated rows with that id and text any one stays. Rows without words are all kept.
+    """
+    rows, classes, seed = _classes(docs, id_col, text_col)
+    order = F.struct(F.col("least").isNull(), "least", "key")
+    kept = classes.groupBy("root").agg(F.min_by(F.struct("key", "least"), order).alias("kept"))
+    kept = stored(kept.select(F.col("kept.key").alias("_key"), F.col("kept.least").alias("_id")), "kept")
+    keyed = docs.withColumns({"_key": _key(F.col(text_col), seed), "_id": F.col(id_col)})
+    words = has_words(F.col(text_col))
+    same = (keyed["_key"] == kept["_key"]) & keyed["_id"].eqNullSafe(kept["_id"])
+    chosen = keyed.where(words).join(kept, same, "left_semi").dropDuplicates(["_key", "_id"])
+    return chosen.unionByName(keyed.where(~words)).select(docs.columns)

@@ -53,7 +53,7 @@ def fit(
     return train(*text_bytes(texts), [r["lang"] for r in sample])
 
 
-def _predict(model: Model, segments: bool, schema: T.StructType) -> Callable:
+def _predict(model: Model, segments: bool, schema: T.StructType, kept: list[str]) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             data, offsets = text_bytes(batch.column("text"))
@@ -66,7 +66,7 @@ def _predict(model: Model, segments: bool, schema: T.StructType) -> Callable:
             names = np.array([*model.labels, UNDETERMINED])
             known = batch.column("letters").to_numpy(zero_copy_only=False).astype(bool) & (count > 0)
             columns = [
-                batch.column("id"),
+                *[batch.column(c) for c in kept],
                 pa.array(names[np.where(known, best, -1)].tolist(), pa.string()),
                 pa.array(np.where(known, np.clip(score, 0, 1), 0.0)),
             ]
@@ -95,10 +95,16 @@ def _predict(model: Model, segments: bool, schema: T.StructType) -> Callable:
 
 
 def identify(
-    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", segments: bool = False
+    docs: DataFrame,
+    model: Model,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    segments: bool = False,
+    carry: bool = False,
 ) -> DataFrame:
     """``id``, ``lang_pred`` and ``score`` of every row; with ``segments`` also the runs of words
-    of one language, as byte ranges of the text.
+    of one language, as byte ranges of the text; with ``carry`` also ``row``, a structure with
+    all columns of the row.
 
     The score is the mean probability of the predicted language over the words; ties go to the
     first language in order. A null text, one without letters, and any text if nothing was
@@ -111,9 +117,11 @@ def identify(
         F.col(id_col).alias("id"),
         letters.alias("letters"),
         F.concat(F.coalesce(F.when(letters, text), F.lit("")), F.lit("\n")).alias("text"),
+        *([F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")] if carry else []),
     )
+    kept = ["id", "row"] if carry else ["id"]
     fields = [
-        T.StructField("id", rows.schema["id"].dataType),
+        *rows.select(*kept).schema.fields,
         T.StructField("lang_pred", T.StringType()),
         T.StructField("score", T.DoubleType()),
     ]
@@ -123,8 +131,8 @@ def identify(
     schema = T.StructType(fields)
     if not model.labels:
         undetermined = rows.select(
-            "id", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score")
+            *kept, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score")
         )
         none = F.array().cast(fields[-1].dataType).alias("segments")
         return undetermined.select("*", none) if segments else undetermined
-    return rows.mapInArrow(_predict(model, segments, schema), schema)
+    return rows.mapInArrow(_predict(model, segments, schema, kept), schema)
