@@ -5,15 +5,24 @@ punctuation and turned into its distinct word bigrams. Two sets of sizes a and b
 coefficient of at most 2 min(a, b) / (a + b), so a template admits only sizes from
 t b / (2 - t) to (2 - t) b / t for a threshold t. A template is listed under every size that it
 admits: an equality join on the size finds the candidates and prunes all other templates before
-any bigram is compared. Everything is built-in functions; only matches are ever shuffled.
+any bigram is compared. A match also has one of a few bigrams of its template, as no more than
+the others may be missing; a text or line without any of their words is left out before it is
+split. Everything is built-in functions; only matches are ever shuffled.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
+MOST_NEEDLES = 256
+SHORT_WORD = 4  # letters; words up to it are in too many texts to be good needles
 MOST_BROADCAST_ROWS = 1 << 20  # templates by admitted size; more are joined by a shuffle
 
 # Short licence notices in the wording that files carry.
@@ -92,6 +101,36 @@ def _admitted(size: Column, threshold: float) -> tuple[Column, Column]:
     return least, F.floor(size * ((2 - threshold) / threshold) + 1e-9)
 
 
+def needles(known: DataFrame, threshold: float) -> list[str] | None:
+    """Words of which every text that reaches the threshold has one; None if there are too many.
+
+    A match has t b / (2 - t) or more of a template's b bigrams, so it has one of any set with
+    one more than may be missing. Words are chosen greedily until they are in that many bigrams
+    of every template: the word that is in most of those still needed, long words first. Only
+    ASCII words are chosen, as a text is searched for them in lower case.
+    """
+    rows = known.select("template").limit(MOST_NEEDLES + 1).collect()
+    if len(rows) > MOST_NEEDLES:
+        return None
+    left = [{frozenset(pair.split(" ")) for pair in r["template"]} for r in rows]
+    need = [len(own) - math.ceil(len(own) * threshold / (2 - threshold) - 1e-9) + 1 for own in left]
+    chosen: list[str] = []
+    while any(n > 0 for n in need):
+        gain: Counter[str] = Counter()
+        for own, n in zip(left, need, strict=True):
+            here = Counter(w for pair in own for w in pair if w.isascii()) if n > 0 else {}
+            for w, count in here.items():
+                gain[w] += min(count, n)
+        if not gain or len(chosen) == MOST_NEEDLES:
+            return None
+        word = max(gain, key=lambda w: (len(w) > SHORT_WORD, gain[w], len(w), w))
+        chosen.append(word)
+        for i, own in enumerate(left):
+            hit = {pair for pair in own if word in pair}
+            left[i], need[i] = own - hit, need[i] - len(hit)
+    return chosen
+
+
 def license_matches(
     docs: DataFrame,
     known: DataFrame,
@@ -118,17 +157,24 @@ def license_matches(
     if admitted.count() <= MOST_BROADCAST_ROWS:
         admitted = F.broadcast(admitted)
 
+    anchors = needles(known, threshold)
+
+    def may_match(text: Column) -> Column:
+        if anchors is None:
+            return text.isNotNull()
+        lower = F.lower(text)
+        return reduce(or_, [F.contains(lower, F.lit(w)) for w in anchors], F.lit(False))
+
     text = F.col(text_col)
     lines = F.split(text, "\n", -1)
     whole = F.when(F.size(lines) > 1, text)
-    parts = docs.where(text.isNotNull()).select(
+    parts = docs.where(may_match(text)).select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).alias("id"),
         F.posexplode(F.concat(F.array(whole), lines)).alias("line", "part"),
     )
-    own = parts.where("part IS NOT NULL").select(
-        "row", "id", "line", bigrams(words(F.col("part"))).alias("own")
-    )
+    split = parts.where(may_match(F.col("part"))).withColumn("words", words(F.col("part")))
+    own = split.select("row", "id", "line", bigrams(F.col("words")).alias("own"))
     together = F.size("own") + F.size("template")
     matches = (
         own.withColumn("size", F.size("own"))
