@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -19,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from uptake.plans.extracts import Extracts, extracts  # noqa: E402
 from uptake.plans.queries import QUERIES  # noqa: E402
+from uptake.sources.files import drop_scratch  # noqa: E402
 
 HEADLINES = """
 campaign_summary_extract
@@ -54,6 +56,7 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -78,6 +81,7 @@ def main() -> None:
             }
         )
     )
+    drop_scratch(spark)
     spark.stop()
 
 

@@ -3,6 +3,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import SparkSession
 
+from uptake.sources.files import drop_scratch
+
 SF_DIR = "/root/testdata/sf0.001"
 
 
@@ -15,10 +17,12 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_scratch(session)
     session.stop()
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from uptake.functions.ordered import carry_forward, chunk_of, consecutive_ids
 from uptake.functions.text import clean_cell, snake_case
 from uptake.operators import ingest as I
+from uptake.plans import lens
 from uptake.sources.files import read_sheet, scratch_path
 
 
@@ -193,6 +194,32 @@ def test_ingest_rejects_long_values(spark):
         I.catalog_ingest(long).collect()
 
 
+def test_a_failed_load_leaves_the_old_rows(spark):
+    path = scratch_path(spark, "table")
+    I.recreate_table(spark.range(3), path)
+    long = sheet(spark, [("x" * 256, "y")], "name string, description string")
+    with pytest.raises(PySparkException):
+        I.recreate_table(I.catalog_ingest(long), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_a_table_can_be_updated_from_itself(spark):
+    path = scratch_path(spark, "table")
+    I.recreate_table(spark.range(3), path)
+    for _ in range(2):
+        I.update_table(spark, path, lambda t: t.withColumn("id", F.col("id") + 10))
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [20, 21, 22]
+
+
+def test_chunks_of_the_sheet_follow_its_rows(spark, sf_dir):
+    rows = lens.sheet(spark, sf_dir).count()
+    assert lens.sheet(spark, sf_dir).select("source_block").distinct().count() == 1
+    chunks = lens.sheet(spark, sf_dir, 10).select("source_block").distinct().count()
+    assert rows / 20 < chunks <= rows / 10 + 1
+    numbered = I.surrogate_id(lens.keyed_sheet(spark, sf_dir))
+    assert sorted(r.id for r in numbered.collect()) == list(range(1, rows + 1))
+
+
 def test_other_formats_are_rejected(spark):
     with pytest.raises(ValueError):
         read_sheet(spark, "/nowhere/book.xlsx")

@@ -164,12 +164,15 @@ def test_product_cost_and_inner_assembly(tables):
     assert {(r["product"], r.tower): r.cost for r in everything.collect()}["voice", "ALL"] is None
 
 
-def test_l1_rows_of_unknown_initiatives_have_targets_only(tables):
+def test_l1_rows_of_unknown_initiatives(tables):
+    """They keep their measures in the full month, and have targets only month-to-date."""
     tur = tur_formulation(*tables)
     l1 = top_level.top_main_level_l1(*tables, tur).where("tower = 'HALO'")
     got = {(r.wltype, r.initiatives): (r.total_target, r.total_uni_taker) for r in l1.collect()}
-    assert got == {("ALL", "ALL"): (50, 5), ("REGULER", "ALL"): (50, 5), ("REGULER", None): (50, None)}
+    assert got == {("ALL", "ALL"): (50, 5), ("REGULER", "ALL"): (50, 5), ("REGULER", None): (50, 5)}
     mtd = top_level.top_main_level_l1(*tables, tur, mtd=True)
+    unknown = mtd.where("initiatives IS NULL").collect()
+    assert unknown and all(r.total_target and r.total_uni_taker is None for r in unknown)
     assert mtd.where("tower = 'ALL' OR initiatives = 'ALL'").isEmpty()
     assert {r.d_date for r in mtd.collect()} == {DAY}
 

@@ -4,9 +4,13 @@ from datetime import date
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from uptake.functions.dates import run_dates
-from uptake.operators import load
+from uptake.operators import load, taker, whitelist
+from uptake.operators.extract import campaign_summary_extract
+from uptake.plans import lens
+from uptake.plans.queries import RUN_DATE
 from uptake.sources import jdbc
 from uptake.sources.files import read_csv, read_table, scratch_path, write_csv
 from uptake.sources.schemas import EXTRACTS, SYNC_KEYS
@@ -100,6 +104,68 @@ def test_upsert_law(spark):
     assert again == merged
 
 
+def test_upsert_treats_nulls_as_equal_and_fails_on_repeated_keys(spark, path):
+    rows = spark.createDataFrame(
+        [(MAY, "A", 1), (MAY, None, 2)], "strmonth date, tower string, n int"
+    )
+    for _ in range(2):  # the first one finds no table
+        assert load.sync_upsert(rows, path, "strmonth", MAY, ["tower"]) == 2
+    assert spark.read.parquet(path).count() == 2
+    with pytest.raises(PySparkException, match="several new rows"):
+        load.sync_upsert(rows.unionByName(rows), path, "strmonth", MAY, ["tower"])
+    assert spark.read.parquet(path).count() == 2
+
+
+@pytest.mark.parametrize("value", ["a/b:c", None, "x y%=", "plain"])
+def test_emptying_a_slice_of_any_value(spark, path, value):
+    rows = spark.createDataFrame([(value, 1), ("other", 2)], "k string, n int")
+    load.replace_partitions(rows, path, ["k"])
+    assert load.replace_slice(rows.where("n = 3"), path, {"k": value}) == 0
+    assert [tuple(r) for r in spark.read.parquet(path).select("k", "n").collect()] == [("other", 2)]
+    assert load.replace_slice(rows.where("n = 3"), path, {"k": "absent"}) == 0
+    assert spark.read.parquet(path).select("k").distinct().count() == 1
+
+
+def test_replace_month_to_date_takes_the_newest_day(spark, path):
+    schema = "strmonth date, d_date date, n int"
+    days = [date(2026, 5, 2), date(2026, 5, 3)]
+    old = spark.createDataFrame([(MAY, d, i) for i, d in enumerate(days)], schema)
+    load.replace_partitions(old, path, ["strmonth", "d_date"])
+    new = spark.createDataFrame([(MAY, days[1], 9), (APRIL, date(2026, 5, 1), 8)], schema)
+    assert load.replace_month_to_date(new, path, MAY) == 1
+    got = sorted((r.d_date, r.n) for r in spark.read.parquet(path).collect())
+    assert got == [(days[0], 0), (days[1], 9)]
+    assert load.replace_month_to_date(new.limit(0), path, MAY, days[0]) == 0
+    assert spark.read.parquet(path).count() == 1
+    with pytest.raises(ValueError):
+        load.replace_month_to_date(new.limit(0), path, MAY)
+
+
+def test_every_extract_can_be_handed_over(spark, sf_dir):
+    wl, taken = lens.whitelist(spark, sf_dir), lens.taker(spark, sf_dir)
+    dim, day = lens.subscribers(spark, sf_dir), {"extract_date": RUN_DATE}
+    made = {
+        "campaign_summary": campaign_summary_extract(
+            lens.campaigns(spark, sf_dir), RUN_DATE, all_months=True
+        ),
+        "wl_offer": whitelist.wl_by_offer(wl, **day),
+        "wl_border": whitelist.wl_border(wl, dim, **day),
+        "wl_recurring": whitelist.wl_recurring(wl, **day),
+        "wl_recurring_kabupaten": whitelist.wl_recurring_kabupaten(wl, dim, **day),
+        "wl_los": whitelist.wl_los(wl, dim, **day),
+        "taker_offer": taker.taker_by_offer(taken, **day),
+        "taker_border": taker.taker_border(taken, dim, **day),
+    }
+    assert set(made) == set(EXTRACTS)
+    for name, rows in made.items():
+        csv, path = scratch_path(spark, "csv"), scratch_path(spark, name)
+        rows = rows.where("strmonth = '1997-03-01'")
+        if name == "campaign_summary":
+            rows = rows.withColumn("email_user", F.lit("user"))  # line breaks are cleaned elsewhere
+        write_csv(rows, csv)
+        assert load.stage_and_replace(spark, csv, path, EXTRACTS[name], RUN_DATE) == rows.count() > 0
+
+
 def test_sync_reads_one_partition(spark, path):
     load.replace_partitions(kpi(spark, (APRIL, "A", 1), (MAY, "A", 2)), path, ["strmonth"])
     slice_ = load.slice_by_key(spark.read.parquet(path), "strmonth", MAY)

@@ -6,9 +6,8 @@ import pytest
 
 import __spark_entry__ as entry_point
 from tests.compare import connect, difference
-
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+from uptake.plans.oracles import ORACLES
+from uptake.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -30,5 +29,11 @@ def test_query_equals_sql(spark, con, sf_dir, name):
     assert "Python" not in plan
 
 
+def test_entry_point_has_every_query():
+    assert QUERIES.items() <= entry_point.queries().items()
+    assert ORACLES.items() <= entry_point.oracle_sql().items()
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
+
+
 def test_entry(spark):
     assert not entry_point.entry(spark).isEmpty()

@@ -28,8 +28,8 @@ APP_COLUMNS = [
     "tag_function_application",
     "tag_db_system",
 ]
-# Parallel slots of the cells of a matrix.
-MATRIX_SLOTS = 64
+# Cells of a matrix that one slot makes.
+SLOT_CELLS = 1_000_000
 
 # By vendor and asset; the id breaks ties, so that equal names do not end up in one task.
 APP_ORDER = ["vendor_name", "asset_name", "id"]
@@ -49,19 +49,26 @@ def _matches(keyword: str | None) -> Column:
     return F.col("vendor_name").ilike(pattern) | F.col("asset_name").ilike(pattern)
 
 
-def _with_selected_tag(
-    apps: DataFrame, tags: DataFrame, kind: str, tag_ids: Sequence[int]
+def _with_tag_ids(
+    apps: DataFrame, tags: DataFrame, kind: str, tag_ids: Sequence[int] | None
 ) -> DataFrame:
-    """Apps whose tag of this kind is selected; all apps if no tag of this kind is."""
+    """Apps with the id of their tag of this kind; if tags of it are selected, apps with one.
+
+    One join gives the ids and whether one of them is selected.
+    """
     column, other_id, _ = TAG_KINDS[kind]
-    selected = tags.where(F.col("id").isin(*tag_ids) & (F.col("tag") == kind))
-    names = selected.select(F.col("name").alias(column), F.lit(True).alias("_chosen")).distinct()
-    untagged = F.lit(other_id in tag_ids) & F.col(column).isNull()
-    return (
-        apps.join(names, column, "left")
-        .where(~selected.exists() | untagged | F.col("_chosen").isNotNull())
-        .drop("_chosen")
+    own = tags.where(F.col("tag") == kind)
+    selection = tag_ids is not None
+    chosen = F.max("chosen") if selection else F.lit(True)
+    names = own.groupBy(F.col("name").alias(column)).agg(
+        F.collect_set("id").alias("_ids"), chosen.alias("_chosen")
     )
+    apps = apps.join(names, column, "left")
+    if selection:
+        untagged = F.lit(other_id in tag_ids) & F.col(column).isNull()
+        any_chosen = own.where("chosen").exists()
+        apps = apps.where(~any_chosen | untagged | F.coalesce("_chosen", F.lit(False)))
+    return apps.withColumn(f"{column}_id", F.explode_outer("_ids")).drop("_ids", "_chosen")
 
 
 def catalog_search(
@@ -81,13 +88,9 @@ def catalog_search(
         wanted = wanted & (F.col("status") == LIVE)
     apps = catalog.where(wanted)
     if tag_ids is not None:
-        for kind in TAG_KINDS:
-            apps = _with_selected_tag(apps, tags, kind, tag_ids)
-    for kind, (column, _, _) in TAG_KINDS.items():
-        ids = tags.where(F.col("tag") == kind).select(
-            F.col("name").alias(column), F.col("id").alias(f"{column}_id")
-        )
-        apps = apps.join(ids, column, "left")
+        tags = tags.withColumn("chosen", F.col("id").isin(*tag_ids))
+    for kind in TAG_KINDS:
+        apps = _with_tag_ids(apps, tags, kind, tag_ids)
     shown = [*APP_COLUMNS, *[f"{column}_id" for column, _, _ in TAG_KINDS.values()]]
     shown += ["is_deleted", "deleted_at"]
     if live_only:
@@ -250,21 +253,19 @@ def create_summary_views(portfolio: DataFrame) -> None:
 def category_matrix(portfolio: DataFrame, column: str) -> DataFrame:
     """Applications for each category and each known value of a column, 0 where there are none.
 
-    The result is dense by definition. Its cells are made in parallel: the values are dealt
-    into slots, and every category is joined to the values slot by slot. Applications are
-    counted before and meet the cells as one row per non-empty cell.
+    The result is dense by definition, a cross product of the categories and the values. Its
+    cells are made in parallel: the values are dealt into slots, as many as the number of cells
+    asks for, and every category is joined to the values slot by slot. Applications are counted
+    first; categories, values and non-empty cells all come from the counts.
     """
     counts = portfolio.groupBy("category", column).agg(F.count("*").alias("count"))
-    values = (
-        portfolio.select(column)
-        .where(F.col(column).isNotNull())
-        .distinct()
-        .withColumn("slot", F.pmod(F.xxhash64(column), F.lit(MATRIX_SLOTS)))
-    )
-    slots = F.sequence(F.lit(0), F.lit(MATRIX_SLOTS - 1)).cast("array<long>")
-    categories = (
-        portfolio.select("category").distinct().withColumn("slot", F.explode(slots))
-    )
+    values = counts.where(F.col(column).isNotNull()).select(column).distinct()
+    categories = counts.select("category").distinct()
+    sizes = (df.agg(F.count(F.lit(1))).scalar() for df in (categories, values))
+    slots = F.ceil(next(sizes) * next(sizes) / F.lit(float(SLOT_CELLS)))
+    slots = F.greatest(slots, F.lit(1)).cast("long")
+    values = values.withColumn("slot", F.pmod(F.xxhash64(column), slots))
+    categories = categories.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), slots - 1)))
     return (
         categories.join(values, "slot")
         .join(counts, ["category", column], "left")

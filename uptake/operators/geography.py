@@ -16,6 +16,11 @@ def at_date(dim: DataFrame, dim_date: date | None) -> DataFrame:
     return in_month(dim, dim_date, "event_date")
 
 
+def level_first(df: DataFrame) -> DataFrame:
+    """The column order of the extracts per level."""
+    return df.select("level", *[c for c in df.columns if c != "level"])
+
+
 def spread_over_levels(facts: DataFrame, dim: DataFrame, levels: Sequence[str]) -> DataFrame:
     """Left-join facts (with an ``msisdn``) to the dimension, one row per level and dimension row.
 

@@ -6,16 +6,18 @@ of it, and the row inside the chunk.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from uptake.functions.constants import TEXT_COLUMNS, VARCHAR_LENGTH
 from uptake.functions.ordered import carry_forward, consecutive_ids
 from uptake.functions.text import clean_cell, is_blank, snake_case
+from uptake.sources.files import put_in_place
 
 
 class Position(NamedTuple):
@@ -176,5 +178,18 @@ def _bounded(column: str) -> Column:
 
 
 def recreate_table(df: DataFrame, path: str) -> None:
-    """Drop and load a whole table."""
-    df.write.mode("overwrite").parquet(path)
+    """Drop and load a whole table.
+
+    The rows are written next to the table and take its place when they are complete: a load
+    that fails leaves the old rows, and ``df`` may read the table it replaces.
+    """
+    staged = f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    put_in_place(df.sparkSession, staged, path)
+
+
+def update_table(
+    spark: SparkSession, path: str, change: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Store the changed rows of a table in its place, such as a soft delete or new columns."""
+    recreate_table(change(spark.read.parquet(path)), path)

@@ -11,14 +11,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from uptake.sources.files import read_csv
+from uptake.sources.files import path_exists, read_csv, scratch_path
 from uptake.sources.schemas import SYNC_KEYS
 
-KeyValue = Mapping[str, date | str | int]
+KeyValue = Mapping[str, date | str | int | None]
 
 
 def _write(df: DataFrame, path: str, keys: Sequence[str], mode: str) -> int:
@@ -49,12 +49,40 @@ def replace_slice(df: DataFrame, path: str, slice_of: KeyValue, allow_empty: boo
     if rows == 0:
         if not allow_empty:
             raise ValueError(f"no rows for {dict(slice_of)}")
-        directory = "/".join([path, *[f"{key}={value}" for key, value in slice_of.items()]])
-        schema = df.drop(*slice_of).schema
-        df.sparkSession.createDataFrame([], schema).write.mode("overwrite").parquet(directory)
+        _empty_slice(df, path, slice_of)
     return rows
 
 
+def _empty_slice(df: DataFrame, path: str, slice_of: KeyValue) -> None:
+    """Overwrite the folder of a slice by no rows. Spark names it, as it escapes the values."""
+    spark = df.sparkSession
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    folders = [
+        names.getPartitionPathString(key, None if value is None else str(value))
+        for key, value in slice_of.items()
+    ]
+    directory = "/".join([path.rstrip("/"), *folders])
+    if path_exists(spark, directory):
+        none = spark.createDataFrame([], df.drop(*slice_of).schema)
+        none.write.mode("overwrite").parquet(directory)
+
+
+def replace_month_to_date(
+    df: DataFrame, path: str, month: date, data_day: date | None = None
+) -> int:
+    """Replace a month's rows of the newest data day (``d_date``) and leave its other days.
+
+    The newest day is that of the rows unless it is given, as it must be to empty a day.
+    """
+    rows = df.where(F.col("strmonth") == F.lit(month))
+    if data_day is None:
+        data_day = rows.agg(F.max("d_date")).first()[0]
+        if data_day is None:
+            raise ValueError(f"no data day in {month}")
+    rows = rows.where(F.col("d_date") == F.lit(data_day))
+    return replace_slice(rows, path, {"strmonth": month, "d_date": data_day})
+
+
 def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> int:
     """Replace every partition that has rows in ``df`` and leave the others alone.
 
@@ -66,10 +94,16 @@ def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> int:
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:
-    """Fail on an empty extract."""
-    if df.isEmpty():
+    """Fail on an empty extract.
+
+    The rows are counted while they are written to the shared folder, and what is returned
+    reads them from there: they are computed once.
+    """
+    spark, path, seen = df.sparkSession, scratch_path(df.sparkSession, "checked"), Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    if seen.get["rows"] == 0:
         raise ValueError(f"no rows in {what}")
-    return df
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def stage_and_replace(
@@ -99,19 +133,33 @@ def sync_append(source: DataFrame, path: str, key: str, value) -> int:
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """New rows, and the old rows whose key has no new row."""
-    return old.join(new.select(*keys), list(keys), "left_anti").unionByName(new)
+    """New rows, and the old rows whose key has no new row. Nulls are equal.
+
+    New rows that share a key fail the job, as each old row can become one new row only.
+    """
+    alike = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    repeated = F.raise_error(F.lit(f"several new rows have one key {list(keys)}")).cast("boolean")
+    single = new.withColumn("_alike", alike).where(
+        F.when(F.col("_alike") == 1, F.lit(True)).otherwise(repeated)
+    )
+    single = single.drop("_alike")
+    same = [old[k].eqNullSafe(single[k]) for k in keys]
+    return old.join(single, same, "left_anti").unionByName(single)
 
 
 def sync_upsert(source: DataFrame, path: str, key: str, value, row_keys: Sequence[str]) -> int:
     """Update or insert the rows of one key value, matched by ``row_keys`` inside it.
 
     Only the partition of that value is read and rewritten, and its old files stay in place
-    until the merged ones are complete.
+    until the merged ones are complete. Without a table yet, the rows are the table.
     """
     rows = slice_by_key(source, key, value)
-    stored = slice_by_key(source.sparkSession.read.parquet(path), key, value)
-    return _write(upsert(stored.select(*rows.columns), rows, row_keys), path, [key], "overwrite")
+    if path_exists(source.sparkSession, path):
+        stored = slice_by_key(source.sparkSession.read.parquet(path), key, value)
+    else:
+        stored = rows.where(F.lit(False))
+    old = stored.select(*[F.col(c).alias(c) for c in rows.columns])
+    return _write(upsert(old, rows, row_keys), path, [key], "overwrite")
 
 
 def sync_table(

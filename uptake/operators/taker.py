@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from uptake.functions.constants import CORE_TOWERS, LEVELS
 from uptake.functions.dates import in_month, tagged
 from uptake.functions.grouping import rollup_sets
-from uptake.operators.geography import at_date, place_on_levels
+from uptake.operators.geography import at_date, level_first, place_on_levels
 
 
 def _taken(taker: DataFrame, month: date | None) -> DataFrame:
@@ -27,8 +27,14 @@ def taker_by_tower(
     """Distinct takers, transactions and revenue per tower, and for all towers together.
 
     The total counts subscribers anew: someone who took offers of two towers is one taker.
+    Facts are summed per subscriber first, so the two grouping sets double these rows only.
     """
-    core = _taken(taker, month).where(F.col("tower_name").isin(*towers))
+    core = (
+        _taken(taker, month)
+        .where(F.col("tower_name").isin(*towers))
+        .groupBy("strmonth", "tower_name", "msisdn")
+        .agg(F.sum("trx").alias("trx"), F.sum("revenue").alias("revenue"))
+    )
     totals = rollup_sets(
         core,
         ["strmonth"],
@@ -95,7 +101,7 @@ def taker_border(
         F.sum(F.col("trx") * F.col("copies")).alias("trx"),
         F.sum(F.col("revenue") * F.col("copies")).alias("revenue"),
     )
-    return tagged(totals, extract_date, data_name=data_name)
+    return level_first(tagged(totals, extract_date, data_name=data_name))
 
 
 def taker_by_attribute(

@@ -89,8 +89,10 @@ def top_main_level_l1(
 ) -> DataFrame:
     """Headline KPIs down to the initiative.
 
-    The full month has the subtotals too; month-to-date has only the initiative rows, takes
-    all tables at the same extract date and carries the data day.
+    The full month has the subtotals too, and its initiative rows sum to them: campaigns
+    without an initiative are a row of their own. Month-to-date has only the initiative rows,
+    takes all tables at the same extract date and carries the data day; there an unknown
+    initiative equals no other, so such rows have a target and nothing else.
     """
     if mtd:
         inputs = same_day_inputs(summary, wl_offer, taker_offer, CORE_TOWERS, month)
@@ -122,11 +124,11 @@ def top_main_level_l1(
     rates = rollup_sets(
         initiatives(_core_rates(tur, month)), fixed, sets, {"tur": exact_mean(F.col("tur"))}
     )
-    # An unknown initiative equals no other: such rows have a target and nothing else.
-    known = F.col("initiatives").isNotNull()
-    return totals.join(rates, [*fixed, *INITIATIVE_SET], "left").select(
-        *fixed,
-        *INITIATIVE_SET,
+    keys = [*fixed, *INITIATIVE_SET]
+    same = [totals[c].eqNullSafe(rates[c]) for c in keys]
+    known = totals["initiatives"].isNotNull() if mtd else F.lit(True)
+    return totals.join(rates, same, "left").select(
+        *[totals[c] for c in keys],
         "total_target",
         *[
             F.when(known, F.col(c)).alias(c)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from uptake.functions.constants import LEVELS
 from uptake.functions.dates import in_month, tagged
-from uptake.operators.geography import at_date, spread_over_levels
+from uptake.operators.geography import at_date, level_first, spread_over_levels
 
 
 def _offered(wl: DataFrame, month: date | None) -> DataFrame:
@@ -103,7 +103,7 @@ def wl_border(
             F.count("msisdn_delivered").alias("msisdn_delivered"),
         )
     )
-    return tagged(reach, extract_date)
+    return level_first(tagged(reach, extract_date))
 
 
 def wl_by_attribute(

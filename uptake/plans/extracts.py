@@ -15,6 +15,8 @@ from uptake.operators.tur import tur_formulation
 from uptake.plans import lens
 from uptake.sources.files import scratch_path
 
+SNAPSHOT = ("strmonth", "extract_date")
+
 _runs: dict[tuple[str, str], Extracts] = {}
 
 
@@ -25,42 +27,67 @@ class Extracts:
         self._spark, self._sf_dir = spark, sf_dir
         self._stored: dict[str, DataFrame] = {}
 
-    def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def _table(
+        self, name: str, build: Callable[[], DataFrame], partitions: tuple[str, ...] = SNAPSHOT
+    ) -> DataFrame:
+        """Partitioned by what the KPIs select, so that they read the snapshots they need."""
         if name not in self._stored:
             rows = build()
             path = scratch_path(self._spark, name)
-            rows.write.parquet(path)
-            self._stored[name] = self._spark.read.schema(rows.schema).parquet(path)
+            clustered = rows.hint("rebalance", *partitions) if partitions else rows
+            clustered.write.partitionBy(*partitions).parquet(path)
+            table = self._spark.read.schema(rows.schema).parquet(path)
+            self._stored[name] = table.select(*rows.columns)
         return self._stored[name]
 
-    def _lens(self, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
-        return self._table(build.__name__, lambda: build(self._spark, self._sf_dir))
+    # The facts are joined once; all extracts follow from one row per subscriber, offer and day.
+
+    @property
+    def _facts(self) -> DataFrame:
+        return self._table("facts", lambda: lens.daily_facts(self._spark, self._sf_dir), ())
+
+    @property
+    def _target_days(self) -> DataFrame:
+        return self._table("target_days", lambda: lens.target_days(self._facts), ())
+
+    @property
+    def _taker_days(self) -> DataFrame:
+        return self._table("taker_days", lambda: lens.taker_days(self._facts), ())
+
+    @property
+    def _subscribers(self) -> DataFrame:
+        return lens.subscribers(self._spark, self._sf_dir)
 
     @property
     def summary(self) -> DataFrame:
-        return self._lens(lens.campaign_snapshots)
+        return self._table("summary", lambda: lens.campaign_snapshots(self._spark, self._sf_dir))
 
     @property
     def wl_offer(self) -> DataFrame:
-        return self._lens(lens.wl_offer_snapshots)
+        return self._table("wl_offer", lambda: lens.wl_offer_snapshots(self._target_days))
 
     @property
     def taker_offer(self) -> DataFrame:
-        return self._lens(lens.taker_offer_snapshots)
+        return self._table("taker_offer", lambda: lens.taker_offer_snapshots(self._taker_days))
 
     @property
     def wl_border(self) -> DataFrame:
-        return self._lens(lens.wl_border_snapshots)
+        return self._table(
+            "wl_border", lambda: lens.wl_border_snapshots(self._target_days, self._subscribers)
+        )
 
     @property
     def taker_border(self) -> DataFrame:
-        return self._lens(lens.taker_border_snapshots)
+        return self._table(
+            "taker_border", lambda: lens.taker_border_snapshots(self._taker_days, self._subscribers)
+        )
 
     @property
     def tur(self) -> DataFrame:
         return self._table(
             "tur_formulation",
             lambda: tur_formulation(self.summary, self.wl_offer, self.taker_offer),
+            ("strmonth",),
         )
 
     def store_all(self) -> None:

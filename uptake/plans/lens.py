@@ -2,9 +2,9 @@
 
 Every row of the source tables takes part. ``lens_sql`` holds the same derivations in SQL.
 
-- offers are suppliers, live in every month of the order calendar;
+- offers are suppliers, live in every month from the first order to the last;
 - a line item targets the customer of its order for the offer of its supplier;
-- accepted, finished line items are takers, up to a week after the order day;
+- finished line items are takers, up to a week after the order day;
 - subscribers are customers, their geography is nation and region;
 - parts are the applications of the catalogue, conversations the rows of a hand-kept sheet.
 """
@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from uptake.functions.constants import TAG_KINDS, TOWERS
 from uptake.functions.dates import month_of
+from uptake.functions.ordered import CHUNK_ROWS
 from uptake.operators.taker import taker_border, taker_by_offer
 from uptake.operators.whitelist import wl_border, wl_by_offer
 
-FIRST_MONTH, LAST_MONTH = "1995-01-01", "2001-08-01"
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 SNAPSHOT = ["extract_date", "d_date"]
 
@@ -47,7 +47,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with the customer, day and month of their order."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
@@ -63,8 +63,16 @@ def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the extracts need of the facts."""
+    return facts(spark, sf_dir).select(
+        "strmonth", "offer_id", "msisdn", "day", "o_orderpriority", "l_returnflag",
+        "l_linestatus", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+    )
+
+
 def whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _facts(spark, sf_dir).select(
+    return facts(spark, sf_dir).select(
         "strmonth",
         "offer_id",
         F.col("msisdn").alias("msisdn_wl"),
@@ -74,14 +82,17 @@ def whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def taker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return takers(facts(spark, sf_dir))
+
+
+def takers(facts: DataFrame) -> DataFrame:
     tower = F.lit(None).cast("string")
     for priority, name in zip(PRIORITIES, TOWERS, strict=True):
         tower = F.when(F.col("o_orderpriority") == priority, F.lit(name)).otherwise(tower)
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     share = (1 - F.col("l_discount")).cast("decimal(4,2)")
     return (
-        _facts(spark, sf_dir)
-        .where((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "A"))
+        facts.where(F.col("l_linestatus") == "F")
         .select(
             "strmonth",
             tower.alias("tower_name"),
@@ -129,9 +140,9 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(balance < 8000, F.array(F.lit("APP")))
         .otherwise(F.array(F.lit(None).cast("string")))
     )
-    months = F.sequence(
-        F.lit(FIRST_MONTH).cast("date"), F.lit(LAST_MONTH).cast("date"), F.expr("INTERVAL 1 MONTH")
-    )
+    days = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("day"))
+    first, last = (days.agg(month_of(f("day"))).scalar() for f in (F.min, F.max))
+    months = F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))
     nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey")
     return (
         table(spark, sf_dir, "supplier")
@@ -175,6 +186,26 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def taker_days(facts: DataFrame) -> DataFrame:
+    """What each subscriber took of an offer on a day, one row for each."""
+    return (
+        takers(facts)
+        .groupBy("strmonth", "offer_id", "msisdn", "tower_name", "take_date")
+        .agg(F.sum("trx").alias("trx"), F.sum("revenue").cast("decimal(18,4)").alias("revenue"))
+    )
+
+
+def target_days(facts: DataFrame) -> DataFrame:
+    """The first day each subscriber was targeted for an offer, and first got the message.
+
+    Every snapshot of a month follows from these rows, one per subscriber and offer.
+    """
+    return facts.groupBy("strmonth", "offer_id", F.col("msisdn").alias("msisdn_wl")).agg(
+        F.min("day").alias("start_date"),
+        F.min(F.when(F.col("l_returnflag") != "R", F.col("day"))).alias("delivered_date"),
+    )
+
+
 def daily_snapshots(
     df: DataFrame, happened: str, *days: int, data_name: str = "d_date"
 ) -> DataFrame:
@@ -192,30 +223,32 @@ def daily_snapshots(
     )
 
 
+def whitelist_snapshots(days: DataFrame) -> DataFrame:
+    copies = daily_snapshots(days, "start_date", -2, 0)
+    got = F.when(F.col("delivered_date") <= F.col("d_date"), F.col("msisdn_wl"))
+    return copies.withColumn("msisdn_delivered", got)
+
+
 def campaign_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_snapshots(campaigns(spark, sf_dir), "start_date", -2, 0)
 
 
-def wl_offer_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    copies = daily_snapshots(whitelist(spark, sf_dir), "start_date", -2, 0)
-    return wl_by_offer(copies, by=SNAPSHOT)
+def wl_offer_snapshots(days: DataFrame) -> DataFrame:
+    return wl_by_offer(whitelist_snapshots(days), by=SNAPSHOT)
 
 
-def taker_offer_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    copies = daily_snapshots(
-        taker(spark, sf_dir), "take_date", -2, 0, 1, 2, data_name="data_date"
-    )
+def taker_offer_snapshots(takers: DataFrame) -> DataFrame:
+    copies = daily_snapshots(takers, "take_date", -2, 0, 1, 2, data_name="data_date")
     return taker_by_offer(copies, towers=TOWERS, by=["extract_date", "data_date"])
 
 
-def wl_border_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    copies = daily_snapshots(whitelist(spark, sf_dir), "start_date", -2, 0)
-    return wl_border(copies, subscribers(spark, sf_dir), by=SNAPSHOT)
+def wl_border_snapshots(days: DataFrame, dim: DataFrame) -> DataFrame:
+    return wl_border(whitelist_snapshots(days), dim, by=SNAPSHOT)
 
 
-def taker_border_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    copies = daily_snapshots(taker(spark, sf_dir), "take_date", -2, 0, data_name="data_date")
-    return taker_border(copies, subscribers(spark, sf_dir), by=["extract_date", "data_date"])
+def taker_border_snapshots(takers: DataFrame, dim: DataFrame) -> DataFrame:
+    copies = daily_snapshots(takers, "take_date", -2, 0, data_name="data_date")
+    return taker_border(copies, dim, by=["extract_date", "data_date"])
 
 
 def _word(column: str, position: int) -> Column:
@@ -344,13 +377,22 @@ def store_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sheet(
+    spark: SparkSession, sf_dir: str, rows_per_chunk: int = CHUNK_ROWS
+) -> DataFrame:
     """Conversations as a sheet: the first turn has the key, later turns continue it.
 
-    Conversations come in blocks of 16, as a file comes in splits.
+    The sheet is cut into chunks of ``rows_per_chunk`` rows on average, as a file comes in
+    splits of some bytes; a conversation is in one chunk.
     """
     conv, turn = F.col("conv_id"), F.col("turn")
-    return table(spark, sf_dir, "conversations").select(
+    conversations = table(spark, sf_dir, "conversations")
+    first, last, rows = (
+        conversations.agg(f).scalar()
+        for f in (F.min("conv_id"), F.max("conv_id"), F.count(F.lit(1)))
+    )
+    ids_per_chunk = (last - first + 1) * F.lit(float(rows_per_chunk)) / rows
+    return conversations.select(
         F.when(turn == 0, F.concat(F.lit("Division "), conv.cast("string"))).alias(
             "Status Division"
         ),
@@ -362,8 +404,8 @@ def sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.lit("no header").alias(" "),
         F.lit("sheet").alias("source_file"),
-        F.floor(conv / 16).alias("source_block"),
-        (conv * 1000 + turn).alias("source_row"),
+        F.floor((conv - first) / ids_per_chunk).alias("source_block"),
+        F.struct(conv, turn).alias("source_row"),
     )
 
 

@@ -23,7 +23,7 @@ CTES = {
                CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(1 - l_discount AS DECIMAL(4,2))
                     AS DECIMAL(18,4)) AS revenue,
                day + l_linenumber AS take_date
-        FROM facts WHERE l_linestatus = 'F' AND l_returnflag = 'A'""",
+        FROM facts WHERE l_linestatus = 'F'""",
     "dim": """
         SELECT c_custkey AS msisdn, n_name AS kabupaten, r_name AS region_sales,
                CASE WHEN r_regionkey < 2 THEN 'WEST' ELSE 'EAST' END AS area_sales,
@@ -38,8 +38,10 @@ CTES = {
                    AS communication_channel
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "months": """
-        SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-08-01',
-                                           INTERVAL 1 MONTH)) AS DATE) AS strmonth""",
+        SELECT CAST(unnest(generate_series(date_trunc('month', MIN(o_orderdate)),
+                                           date_trunc('month', MAX(o_orderdate)),
+                                           INTERVAL 1 MONTH)) AS DATE) AS strmonth
+        FROM orders""",
     "campaign": """
         SELECT strmonth, s_suppkey AS offer_id, 'C' || s_suppkey AS campaign_id,
                ['SIMPATI', 'HALO', 'AREA', 'OTHERS', 'BYU'][n_regionkey + 1] AS tower,
@@ -177,7 +179,7 @@ CTES = {
                CASE WHEN role <> 'system' THEN role END AS asset_owner_role, text AS description,
                CASE turn WHEN 1 THEN '-' WHEN 2 THEN '  ' ELSE 'a ' || chr(9) || ' b' END
                    AS remark_2_g_4_g,
-               conv_id * 1000 + turn AS place
+               [conv_id, turn] AS place
         FROM conversations""",
     "records": """
         SELECT *, SUM(CASE WHEN status_division IS NULL THEN 0 ELSE 1 END)

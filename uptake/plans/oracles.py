@@ -96,8 +96,15 @@ def top_level(core: bool, day: str, wl: str, takers: str) -> str:
              LEFT JOIN tracked USING ({keys})"""
 
 
-def top_level_l1(fixed: str, sets, wl: str, takers: str) -> str:
+def top_level_l1(fixed: str, sets, wl: str, takers: str, nulls_equal: bool) -> str:
     keys = f"{fixed}, tower, wltype, initiatives"
+    same = "IS NOT DISTINCT FROM" if nulls_equal else "="
+
+    def on(table: str) -> str:
+        equal = " AND ".join(f"targets.{c.strip()} {same} {table}.{c.strip()}" for c in keys.split(","))
+        return f"LEFT JOIN {table} ON {equal}"
+
+    shown = ", ".join(f"targets.{c.strip()}" for c in keys.split(","))
     named = "* RENAME (campaign_initiatives AS initiatives)"
     return f"""WITH {sources(True, wl, takers, named)},
         targets AS ({grouped(fixed, big("SUM(msisdn_wl)", "total_target"),
@@ -114,10 +121,9 @@ def top_level_l1(fixed: str, sets, wl: str, takers: str) -> str:
             "SELECT * FROM taker_pairs", sets)}),
         rates AS ({grouped(fixed, MEAN_TUR, f"SELECT {named} FROM tur WHERE tower IN {CORE}",
                            sets)})
-        SELECT {keys}, total_target, total_revenue, total_transaction, total_uni_taker, tur,
+        SELECT {shown}, total_target, total_revenue, total_transaction, total_uni_taker, tur,
                rev_taker, rev_trx, trx_taker, delivery_rate, delivered
-        FROM targets LEFT JOIN delivery USING ({keys}) LEFT JOIN taken USING ({keys})
-             LEFT JOIN rates USING ({keys})"""
+        FROM targets {on("delivery")} {on("taken")} {on("rates")}"""
 
 
 def channel(day: str, wl: str, takers: str, known: bool) -> str:
@@ -284,7 +290,30 @@ INGESTED = f"""SELECT CAST(row_number() OVER (ORDER BY place) AS INTEGER) AS id,
                ("status_division", "asset_owner_role", "description", "remark_2_g_4_g"))}
     FROM ({FOLDED})"""
 
+PLACED = "* REPLACE (place[1] || ':' || place[2] AS place)"
+TOP_MTD = top_level(True, "d_date, ", *MTD_FACTS)
+WL_BORDER = all_levels(
+    lambda level: f"SELECT '{level}' AS level, * RENAME ({level} AS border) FROM "
+    f"({wl_by_attribute(level, RUN_D_DATE + ',')})"
+)
+TAKER_BORDER = all_levels(
+    lambda level: taker_by_attribute(level, "border", f"'{level}' AS level, {RUN_DATA_DATE},")
+)
+
 _BODIES = {
+    "replace_mtd": f"SELECT * FROM ({TOP_MTD}) WHERE strmonth <> DATE '1998-05-01'",
+    "sync_summary_channel": f"""SELECT * FROM ({channel("", WL_NOW, TAKER_LATE.format(1), False)})
+        WHERE strmonth = DATE '1997-03-01'""",
+    "sync_top_main_level_mtd": f"""SELECT * FROM ({TOP_MTD})
+        WHERE d_date IN (DATE '1997-03-31', DATE '1997-04-30')""",
+    "load_wl_border": WL_BORDER,
+    "load_taker_border": TAKER_BORDER,
+    "soft_delete_stored": """SELECT id, is_deleted OR id = 99 AS is_deleted,
+        CASE WHEN id = 99 THEN TIMESTAMP '2001-08-20 12:00:00' ELSE deleted_at END AS deleted_at,
+        COALESCE(CASE tag_category WHEN 'ECONOMY' THEN 'Economy' WHEN 'SMALL' THEN 'Small'
+                 ELSE tag_category END, 'Other Category') AS tag_category,
+        COALESCE(tag_db_system, 'Other DB System') AS tag_db_system, false AS is_public_facing
+        FROM app""",
     "campaign_summary_extract": f"SELECT {RUN_D_DATE}, {RAW_CAMPAIGN} FROM campaign",
     "campaign_summary_clean": f"SELECT {FLAT_CAMPAIGN} FROM campaign",
     "campaign_month_listing": f"SELECT {RAW_CAMPAIGN} FROM campaign",
@@ -293,10 +322,7 @@ _BODIES = {
         FROM wl GROUP BY strmonth, offer_id""",
     "wl_total_by_offer": f"""SELECT {RUN_DATA_DATE}, strmonth, offer_id,
         COUNT(DISTINCT msisdn_wl) AS total_wl FROM wl GROUP BY strmonth, offer_id""",
-    "wl_border": all_levels(
-        lambda level: f"SELECT '{level}' AS level, * RENAME ({level} AS border) FROM "
-        f"({wl_by_attribute(level, RUN_D_DATE + ',')})"
-    ),
+    "wl_border": WL_BORDER,
     "wl_kabupaten": wl_by_attribute("kabupaten"),
     "wl_region": wl_by_attribute("region_sales"),
     "wl_los": wl_by_attribute("los", RUN_D_DATE + ","),
@@ -320,11 +346,7 @@ _BODIES = {
         WHERE tower_name IN {CORE} GROUP BY strmonth""",
     "taker_by_offer": f"""SELECT {RUN_DATA_DATE}, strmonth, offer_id, {TAKER_SUMS} FROM taker
         WHERE tower_name IN {CORE} GROUP BY strmonth, offer_id""",
-    "taker_border": all_levels(
-        lambda level: taker_by_attribute(
-            level, "border", f"'{level}' AS level, {RUN_DATA_DATE},"
-        )
-    ),
+    "taker_border": TAKER_BORDER,
     "taker_kabupaten": taker_by_attribute("kabupaten", "kabupaten"),
     "taker_region": taker_by_attribute("region_sales", "region_sales"),
     "taker_los": taker_by_attribute("los", "los", RUN_D_DATE + ","),
@@ -341,8 +363,12 @@ _BODIES = {
     "summary_kabupaten_mtd": kabupaten("d_date, "),
     "top_main_level": top_level(False, "", WL_NOW, TAKER_LATE.format(2)),
     "top_main_level_mtd": top_level(True, "d_date, ", *MTD_FACTS),
-    "top_main_level_l1": top_level_l1("strmonth", (*SETS, LEAF), WL_NOW, TAKER_LATE.format(2)),
-    "top_main_level_l1_mtd": top_level_l1("d_date, strmonth", (LEAF,), WL_NOW, TAKER_NOW),
+    "top_main_level_l1": top_level_l1(
+        "strmonth", (*SETS, LEAF), WL_NOW, TAKER_LATE.format(2), nulls_equal=True
+    ),
+    "top_main_level_l1_mtd": top_level_l1(
+        "d_date, strmonth", (LEAF,), WL_NOW, TAKER_NOW, nulls_equal=False
+    ),
     "border_taker": borders("", "taker_border", BORDER_TAKER),
     "border_taker_mtd": borders("d_date, ", "taker_border", BORDER_TAKER),
     "border_wl": borders("", "wl_border", BORDER_WL),
@@ -455,18 +481,18 @@ _BODIES = {
     "next_ids": """SELECT (SELECT MAX(p_partkey) FROM part)
             + row_number() OVER (ORDER BY conv_id, turn) AS id,
         CASE WHEN turn = 0 THEN 'Division ' || conv_id END AS no,
-        CASE WHEN role <> 'system' THEN role END AS role, text, conv_id * 1000 + turn AS place
+        CASE WHEN role <> 'system' THEN role END AS role, text, conv_id || ':' || turn AS place
         FROM conversations""",
-    "snake_case_columns": "SELECT * FROM sheet",
+    "snake_case_columns": f"SELECT {PLACED} FROM sheet",
     "clean_nulls": f"""SELECT CAST(doc_id AS INTEGER) AS id, {clean("text")} AS text,
         {clean("lang")} AS lang, {clean("source")} AS source FROM documents""",
-    "fold_rows_status_division": FOLDED,
-    "fold_rows_no": """SELECT MAX(status_division) AS no,
+    "fold_rows_status_division": f"SELECT {PLACED} FROM ({FOLDED})",
+    "fold_rows_no": f"""SELECT {PLACED} FROM (SELECT MAX(status_division) AS no,
         string_agg(asset_owner_role, chr(10) ORDER BY place) AS role,
         string_agg(description, chr(10) ORDER BY place) AS text, MIN(place) AS place
-        FROM records GROUP BY record""",
-    "surrogate_id": """SELECT row_number() OVER (ORDER BY place) AS id, status_division AS no,
-        asset_owner_role AS role, description AS text, place FROM sheet""",
+        FROM records GROUP BY record)""",
+    "surrogate_id": f"""SELECT {PLACED} FROM (SELECT row_number() OVER (ORDER BY place) AS id, status_division AS no,
+        asset_owner_role AS role, description AS text, place FROM sheet)""",
     "column_lengths": """SELECT column_name, max_length, max_length > 255 AS too_long
         FROM (UNPIVOT (SELECT CAST(MAX(length(text)) AS INTEGER) AS text,
                               CAST(MAX(length(lang)) AS INTEGER) AS lang,
@@ -480,6 +506,7 @@ _BODIES = {
               ON status_division, asset_owner_role, description, remark_2_g_4_g
               INTO NAME column_name VALUE max_length)""",
     "catalog_ingest": INGESTED,
+    "catalog_reload": INGESTED,
 }
 
 ORACLES = {name: with_ctes(body) for name, body in _BODIES.items()}

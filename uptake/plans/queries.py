@@ -26,7 +26,7 @@ from uptake.operators import (
 )
 from uptake.plans import lens
 from uptake.plans.extracts import extracts
-from uptake.sources.files import read_csv, scratch_path, write_csv
+from uptake.sources.files import read_csv, read_sheet, scratch_path, write_csv
 from uptake.sources.schemas import EXTRACTS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -310,6 +310,68 @@ def _one_more(df):
     return df.withColumn("active_user_count", F.col("active_user_count") + 1)
 
 
+MARCH, MAY = date(1997, 3, 1), date(1998, 5, 1)
+
+
+@query
+def replace_mtd(spark, d):
+    """Replace a month's newest data day twice, and another month's by nothing."""
+    path, run = scratch_path(spark, "kpi_mtd"), extracts(spark, d)
+    rows = _kpi(top_level.top_main_level, spark, d, mtd=True)
+    load.replace_partitions(rows, path, ["strmonth", "d_date"])
+    for _ in range(2):
+        load.replace_month_to_date(rows, path, MARCH)
+    days = run.summary.where(F.col("strmonth") == F.lit(MAY)).agg(F.max("d_date"))
+    load.replace_month_to_date(rows.where(F.lit(False)), path, MAY, days.first()[0])
+    return spark.read.parquet(path)
+
+
+@query
+def sync_summary_channel(spark, d):
+    """Upsert a month of a KPI table with null channels, first into no table, then over itself."""
+    path = scratch_path(spark, "summary_channel")
+    rows = _kpi(summary.summary_channel, spark, d)
+    keys = ["tower", "wltype", "communication_channel"]
+    for _ in range(2):
+        load.sync_table(rows, "summary_channel", path, MARCH, "upsert", keys)
+    return spark.read.parquet(path)
+
+
+@query
+def sync_top_main_level_mtd(spark, d):
+    """Copy two data days of a KPI table, one of them twice."""
+    path = scratch_path(spark, "top_main_level_mtd")
+    rows = _kpi(top_level.top_main_level, spark, d, mtd=True)
+    for day in (date(1997, 3, 31), date(1997, 4, 30), date(1997, 3, 31)):
+        load.sync_table(rows, "top_main_level_mtd", path, day)
+    return spark.read.parquet(path)
+
+
+def _handed_over(spark, table, rows):
+    """Write an extract as CSV and load it twice."""
+    path, csv = scratch_path(spark, table), scratch_path(spark, f"{table}_csv")
+    write_csv(rows, csv)
+    for _ in range(2):
+        load.stage_and_replace(spark, csv, path, EXTRACTS[table], RUN_DATE)
+    return spark.read.parquet(path)
+
+
+@query
+def load_wl_border(spark, d):
+    rows = whitelist.wl_border(
+        lens.whitelist(spark, d), lens.subscribers(spark, d), extract_date=RUN_DATE
+    )
+    return _handed_over(spark, "wl_border", rows)
+
+
+@query
+def load_taker_border(spark, d):
+    rows = taker.taker_border(
+        lens.taker(spark, d), lens.subscribers(spark, d), extract_date=RUN_DATE
+    )
+    return _handed_over(spark, "taker_border", rows)
+
+
 @query
 def replace_partition(spark, d):
     """Load all years, replace two of them, and replace another one by nothing."""
@@ -456,6 +518,20 @@ def soft_delete(spark, d):
     return deleted.select("id", "is_deleted", "deleted_at")
 
 
+@query
+def soft_delete_stored(spark, d):
+    """Delete a row, unify tags and add columns in a stored catalogue."""
+    path = scratch_path(spark, "catalogue")
+    renames = {"tag_category": {"ECONOMY": "Economy", "SMALL": "Small"}}
+    ingest.recreate_table(lens.catalogue(spark, d), path)
+    ingest.update_table(spark, path, lambda t: catalog.soft_delete(t, 99, NOW))
+    ingest.update_table(spark, path, lambda t: catalog.normalize_tags(t, renames))
+    ingest.update_table(spark, path, catalog.schema_evolve)
+    return spark.read.parquet(path).select(
+        "id", "is_deleted", "deleted_at", "tag_category", "tag_db_system", "is_public_facing"
+    )
+
+
 @query
 def install_type_summary(spark, d):
     return catalog.install_type_summary(lens.portfolio(spark, d))
@@ -540,7 +616,8 @@ def fk_check(spark, d):
 
 
 def _placed(df):
-    return df.drop("source_file", "source_block").withColumnRenamed("source_row", "place")
+    place = F.concat_ws(":", "source_row.conv_id", "source_row.turn")
+    return df.withColumn("place", place).drop("source_file", "source_block", "source_row")
 
 
 @query
@@ -596,9 +673,29 @@ def column_types(spark, d):
     )
 
 
+def _sheet_file(spark, d):
+    """The sheet as CSV files in order, a conversation in one file."""
+    path = scratch_path(spark, "sheet") + ".csv"
+    rows = lens.sheet(spark, d)
+    ordered = rows.repartitionByRange("source_row.conv_id").sortWithinPartitions("source_row")
+    write_csv(ordered.drop(*ingest.POSITION), path)
+    return path
+
+
 @query
 def catalog_ingest(spark, d):
-    path = scratch_path(spark, "sheet")
+    path = scratch_path(spark, "table")
+    sheet = read_sheet(spark, _sheet_file(spark, d), multiline=True)
+    ingest.recreate_table(ingest.catalog_ingest(sheet, "status_division", drop=["no"]), path)
+    return spark.read.parquet(path)
+
+
+@query
+def catalog_reload(spark, d):
+    """Load the first rows of a table, replace them by all, and reload it from itself."""
+    path = scratch_path(spark, "reload")
     table = ingest.catalog_ingest(lens.sheet(spark, d), "status_division", drop=["no"])
+    ingest.recreate_table(table.where("id < 3"), path)
     ingest.recreate_table(table, path)
+    ingest.recreate_table(spark.read.parquet(path), path)
     return spark.read.parquet(path)

@@ -19,16 +19,56 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new directory in the shared folder of the cluster (``spark.checkpoint.dir``).
+    """A new directory in the folder that all executors share.
 
-    Only a local session may do without the setting; it then uses Spark's warehouse folder.
+    That is ``spark.checkpoint.dir`` or, in a session that does not set it, Spark's warehouse,
+    which holds tables and so is shared as well. Directories are grouped by application, and
+    ``drop_scratch`` removes those of the application that calls it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/uptake/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/uptake/{spark.sparkContext.applicationId}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it names it."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, location = _file_system(spark, path)
+    return files.exists(location)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application. Results that read them end with it."""
+    files, location = _file_system(spark, _scratch_root(spark))
+    files.delete(location, True)
+
+
+def put_in_place(spark: SparkSession, staged: str, path: str) -> None:
+    """Make a complete staged directory the table at ``path``.
+
+    The old directory is moved aside and removed last, so that at every moment one complete
+    copy exists.
+    """
+    files, new = _file_system(spark, staged)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}-replaced-{uuid.uuid4().hex}")
+    old = files.exists(target)
+    files.mkdirs(target.getParent())
+    if old and not files.rename(target, aside):
+        raise OSError(f"cannot move {path} aside")
+    if not files.rename(new, target):
+        if old:
+            files.rename(aside, target)
+        raise OSError(f"cannot put {staged} in place of {path}")
+    if old:
+        files.delete(aside, True)
 
 
 # Cells as they are: spaces at either end kept, quotes doubled inside quotes.
@@ -64,18 +104,24 @@ def read_sheet(spark: SparkSession, path: str, multiline: bool = False) -> DataF
     """A sheet with unknown columns, all read as text, with the position of every row.
 
     Adds ``source_file``, ``source_block`` (the start of the input split) and ``source_row``;
-    together they give the order of the rows without sorting the file. ``multiline`` allows
-    line breaks inside quotes, at the cost of one task per file. A column without a header
-    gets a blank name.
+    together they give the order of the rows without sorting the file. The rows are written to
+    the shared folder with their positions, which so are given once whatever reads them.
+    ``multiline`` allows line breaks inside quotes, at the cost of one task per file. A column
+    without a header gets a blank name.
     """
     extension = os.path.splitext(path.rstrip("/"))[1].lower()
     if extension != ".csv":
         raise ValueError(f"unsupported file format {extension!r}: save the sheet as .csv")
+    stored = scratch_path(spark, "sheet")
     sheet = spark.read.options(**_CSV, inferSchema=False, multiLine=multiline).csv(path)
     blanks = {c: " " * (i + 1) for i, c in enumerate(sheet.columns) if re.fullmatch(r"_c\d+", c)}
-    return sheet.select(
+    placed = sheet.select(
         *[F.col(f"`{c}`").alias(blanks.get(c, c)) for c in sheet.columns],
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("source_block"),
         F.monotonically_increasing_id().alias("source_row"),
     )
+    names = placed.columns
+    plain = placed.toDF(*[f"c{i}" for i in range(len(names))])  # any header makes a column name
+    plain.write.parquet(stored)
+    return spark.read.schema(plain.schema).parquet(stored).toDF(*names)
