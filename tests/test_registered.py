@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from tests.compare import connect, difference
+from uptake.plans.extracts import extracts
 from uptake.plans.oracles import ORACLES
 from uptake.plans.queries import QUERIES
 
@@ -37,3 +39,34 @@ def test_entry_point_has_every_query():
 
 def test_entry(spark):
     assert not entry_point.entry(spark).isEmpty()
+
+
+@pytest.mark.parametrize(
+    "name", ["top_main_level", "top_main_level_l1_mtd", "summary_channel_mtd", "border_wl"]
+)
+def test_kpis_read_the_snapshots_they_need(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
+
+def test_extracts_follow_from_facts_joined_once(spark, sf_dir):
+    run = extracts(spark, sf_dir)
+    run.store_all()
+    for table in (run.summary, run.wl_offer, run.taker_offer, run.wl_border, run.taker_border):
+        assert {"strmonth", "extract_date"} <= set(table.columns)
+        assert "extract_date=" in table.inputFiles()[0]
+    for days in (run._target_days, run._taker_days):
+        assert not any("lineitem" in f or "orders" in f for f in days.inputFiles())
+
+
+def test_initiatives_sum_to_the_total(spark):
+    """Campaigns without an initiative included."""
+    rows = QUERIES["top_main_level_l1"](spark, "/root/testdata/sf0.01").persist()
+    sums = ["total_revenue", "delivered", "total_uni_taker", "total_target"]
+    whole = rows.where("tower = 'ALL' AND wltype = 'ALL' AND initiatives = 'ALL'")
+    leaves = rows.where("tower <> 'ALL' AND wltype <> 'ALL'").where(
+        "initiatives IS NULL OR initiatives <> 'ALL'"
+    )
+    assert leaves.where("initiatives IS NULL AND total_revenue > 0").count()
+    for c in sums:
+        assert leaves.agg(F.sum(c)).first()[0] == pytest.approx(whole.agg(F.sum(c)).first()[0])
