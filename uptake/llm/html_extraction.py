@@ -94,10 +94,11 @@ def _last(a: Sequence, b: Sequence) -> int:
 
 def candidate_lines(page: Sequence[Block]) -> tuple[bool, list[tuple[int, str]]]:
     """Whether a page marks its article, and its lines that may stay with their places: those of
-    the article or, without one, all that are not in a menu, a footer or the like."""
-    own = [(i, b) for i, b in enumerate(page) if not b.aside]
-    marked = any(b.article for _, b in own)
-    return marked, [(i, b.text) for i, b in own if b.article or not marked]
+    the article, as one, or all that are not in a menu, a footer or the like."""
+    article = [b.text for b in page if b.article and not b.aside]
+    if article:
+        return True, [(0, "\n".join(article))]
+    return False, [(i, b.text) for i, b in enumerate(page) if not b.aside]
 
 
 def kept_text(marked: Column, lines: Column, shared: Column) -> Column:
@@ -176,9 +177,8 @@ def nearest_pages(pages: DataFrame) -> DataFrame:
 def _page_key(id_col: str, url_col: str, html: Column) -> Column:
     """128 bits from all that a page's text depends on, and its id."""
     fields = (F.col(id_col), F.col(url_col), html)
-    return F.concat(
-        *[F.hex(F.xxhash64(F.lit(seed), *fields, F.col(url_col).isNull())) for seed in (1, 2)]
-    )
+    parts = [F.xxhash64(F.lit(seed), *fields, F.col(url_col).isNull()) for seed in (1, 2)]
+    return F.unhex(F.concat(*[F.lpad(F.hex(part), 16, "0") for part in parts]))
 
 
 def main_text(
@@ -201,7 +201,7 @@ def main_text(
 
     lines = (
         rows.select("key", host.alias("host"), path.alias("path"), "html")
-        .mapInArrow(_line_hashes, "key string, host string, path string, lines array<long>")
+        .mapInArrow(_line_hashes, "key binary, host string, path string, lines array<long>")
         .where("host <> ''")
         .dropDuplicates(["key"])
     )
@@ -212,7 +212,7 @@ def main_text(
         .join(lines.select("key", "lines"), "key")
         .join(lines.select(F.col("key").alias("other"), F.col("lines").alias("theirs")), "other")
         .select("key", "lines", F.col("theirs").alias("other"))
-        .mapInArrow(_align, "key string, shared array<int>")
+        .mapInArrow(_align, "key binary, shared array<int>")
     )
 
     line = T.StructType([T.StructField("place", T.IntegerType()), T.StructField("text", T.StringType())])
