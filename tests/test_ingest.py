@@ -194,6 +194,13 @@ def test_ingest_rejects_long_values(spark):
         I.catalog_ingest(long).collect()
 
 
+def test_a_record_of_too_many_rows_fails(spark, sf_dir):
+    rows = lens.keyed_sheet(spark, sf_dir)
+    assert I.fold_rows(rows, "no").count() > 0
+    with pytest.raises(PySparkException, match="more than 1 rows"):
+        I.fold_rows(rows, "no", most_rows=1).collect()
+
+
 def test_a_failed_load_leaves_the_old_rows(spark):
     path = scratch_path(spark, "table")
     I.recreate_table(spark.range(3), path)

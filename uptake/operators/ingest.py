@@ -20,6 +20,10 @@ from uptake.functions.text import clean_cell, is_blank, snake_case
 from uptake.sources.files import put_in_place
 
 
+# Rows of a sheet that one record may have.
+MOST_RECORD_ROWS = 1_000_000
+
+
 class Position(NamedTuple):
     file: str = "source_file"
     chunk: str = "source_block"
@@ -62,13 +66,18 @@ def clean_nulls(df: DataFrame, keep: Sequence[str] = POSITION) -> DataFrame:
 
 
 def fold_rows(
-    df: DataFrame, key: str, skip: Sequence[str] = ("id",), position: Position = POSITION
+    df: DataFrame,
+    key: str,
+    skip: Sequence[str] = ("id",),
+    position: Position = POSITION,
+    most_rows: int = MOST_RECORD_ROWS,
 ) -> DataFrame:
     """Merge rows with a blank key into the row with a key above them.
 
     The values of a column are joined by line breaks in row order; the key and the ``skip``
     columns keep the value of the keyed row. Rows above the first key stay as they are. A merged
-    cell is one value of the result, so a record has to fit in a row.
+    cell is one value of the result, so a record has to fit in a row: one of more than
+    ``most_rows`` rows fails the job, as a sheet with a single key at its top would.
     """
     place = F.struct(position.chunk, position.row)
     rows = carry_forward(
@@ -93,9 +102,14 @@ def fold_rows(
 
     single = {key, *skip, position.chunk, position.row}
     columns = [c for c in df.columns if c != position.file]
+    too_long = F.raise_error(F.lit(f"a record has more than {most_rows} rows")).cast("boolean")
     return (
         rows.groupBy(position.file, "_record")
-        .agg(*[first(c) if c in single else joined(c) for c in columns])
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            *[first(c) if c in single else joined(c) for c in columns],
+        )
+        .where(F.when(F.col("_rows") <= most_rows, F.lit(True)).otherwise(too_long))
         .select(*df.columns)
     )
 
