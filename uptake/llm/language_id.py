@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from uptake.llm.common import text_bytes, text_slices
-from uptake.llm.language_crf import Model, split_words, train
+from uptake.llm.common import runs, text_bytes, text_slices
+from uptake.llm.language_crf import Model, Words, split_words, train
 
 SAMPLE_DOCUMENTS = 600  # expected; the fit is on the driver
 MOST_SAMPLE_CHARACTERS = 20_000  # of one document of the sample
@@ -31,7 +31,10 @@ def has_letters(text: Column) -> Column:
 
 
 def fit(
-    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", documents: int = SAMPLE_DOCUMENTS
+    docs: DataFrame,
+    text_col: str = "text",
+    lang_col: str = "lang",
+    documents: int = SAMPLE_DOCUMENTS,
 ) -> Model:
     """Train on a sample of about ``documents`` different texts with a language.
 
@@ -53,6 +56,27 @@ def fit(
     return train(*text_bytes(texts), [r["lang"] for r in sample])
 
 
+_SEGMENT = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())])
+
+
+def _segments(words: Words, offsets: np.ndarray, lang: np.ndarray) -> pa.Array:
+    """The runs of words of one language in each text, as byte ranges."""
+    out = []
+    for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:], strict=True)):
+        begin, length = runs(lang[a:b])
+        out.append(
+            [
+                {
+                    "start": int(words.starts[a + s] - offsets[i]),
+                    "end": int(words.ends[a + s + n - 1] - offsets[i]),
+                    "lang": str(lang[a + s]),
+                }
+                for s, n in zip(begin, length, strict=True)
+            ]
+        )
+    return pa.array(out, pa.list_(_SEGMENT))
+
+
 def _predict(model: Model, segments: bool, schema: T.StructType, kept: list[str]) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
@@ -64,31 +88,15 @@ def _predict(model: Model, segments: bool, schema: T.StructType, kept: list[str]
             best = total.argmax(1)
             score = total[np.arange(len(best)), best] / np.maximum(count, 1)
             names = np.array([*model.labels, UNDETERMINED])
-            known = batch.column("letters").to_numpy(zero_copy_only=False).astype(bool) & (count > 0)
+            letters = batch.column("letters").to_numpy(zero_copy_only=False).astype(bool)
+            known = letters & (count > 0)
             columns = [
                 *[batch.column(c) for c in kept],
                 pa.array(names[np.where(known, best, -1)].tolist(), pa.string()),
                 pa.array(np.where(known, np.clip(score, 0, 1), 0.0)),
             ]
             if segments:
-                label, runs = found.argmax(1), []
-                for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:], strict=True)):
-                    cuts = np.flatnonzero(np.r_[True, label[a + 1 : b] != label[a : b - 1]]) if b > a else []
-                    stops = [*cuts[1:], b - a] if b > a else []
-                    runs.append(
-                        [
-                            (int(words.starts[a + s] - offsets[i]),
-                             int(words.ends[a + e - 1] - offsets[i]), names[label[a + s]])
-                            for s, e in zip(cuts, stops, strict=True)
-                        ]
-                    )
-                kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
-                columns.append(
-                    pa.array(
-                        [[{"start": s, "end": e, "lang": str(n)} for s, e, n in own] for own in runs],
-                        kind,
-                    )
-                )
+                columns.append(_segments(words, offsets, names[found.argmax(1)]))
             yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
     return rows

@@ -83,7 +83,10 @@ def base_spans(text: str) -> list[Span]:
 
 def entity(kind: str, value: str) -> int:
     """A number for a value: e-mail in lower case, otherwise its digits, parted as in an IP."""
-    plain = value.lower() if kind == "email" else re.sub(r"[^0-9.]" if kind == "ip" else "[^0-9]", "", value)
+    if kind == "email":
+        plain = value.lower()
+    else:
+        plain = re.sub("[^0-9.]" if kind == "ip" else "[^0-9]", "", value)
     return xxhash.xxh64_intdigest(f"{kind}:{plain}") - (1 << 63)
 
 
