@@ -11,28 +11,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uptake.llm.common import read, stored
+from uptake.llm.common import read, shipped, stored
 from uptake.llm.decontamination import leaks
 from uptake.llm.jaccard_join import keep_one
 from uptake.llm.language_id import UNDETERMINED, fit, held_out, identify
 from uptake.llm.packing import pack, tokenised_pieces
 from uptake.llm.sanitisation import disclosing_terms, sanitise, text_key
 
-LEAST_LANGUAGE_SCORE = 0.5  # a text with less in any one language is no text of a language
+LEAST_LANGUAGE_SCORE = 0.35  # with less, no language stands out from chance
 
 
+@shipped
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a predicted language that half their words or more are in."""
+    """Documents in which one language stands out; those without letters go as well."""
     model = fit(docs.where(~held_out("doc_id")))
     kept = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
     return identify(docs, model, carry=True).where(kept).select("row.*")
 
 
+@shipped
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near copies."""
     return keep_one(docs)
 
 
+@shipped
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item in them, in its words or re-parameterised."""
     keyed = docs.withColumn("_text_key", text_key(F.coalesce("text", F.lit(""))))
@@ -41,12 +44,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return keyed.join(leaky, "_text_key", "left_anti").select(docs.columns)
 
 
+@shipped
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data and words that disclose it generalised to their kind."""
     clean = sanitise(docs, disclosing_terms(docs))
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+@shipped
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents, packed into sequences of 1024."""
     pieces = tokenised_pieces(

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +16,42 @@ from pyspark.sql import functions as F
 from uptake.sources.files import scratch_path
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per application.
+
+    Operators that run Python in tasks import it there. An archive of its sources goes to
+    Spark's own file server, so nothing has to be installed on the executors.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = os.path.dirname(package)
+    archive = os.path.join(tempfile.mkdtemp(prefix="uptake-"), "uptake.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, root))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
+def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A function of a session and more that first gives the executors this package."""
+
+    @wraps(query)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        ship(spark)
+        return query(spark, *args)
+
+    return run
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

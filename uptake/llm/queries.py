@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uptake.llm.common import read
+from uptake.llm.common import read, shipped
 from uptake.llm.decontamination import leaks
 from uptake.llm.html_extraction import main_text
 from uptake.llm.jaccard_join import near_duplicate_classes
@@ -112,14 +112,17 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_packing": op1_packing,
-    "op2_topk": op2_topk,
-    "op3_warc": op3_warc,
-    "op4_license_scan": op4_license_scan,
-    "op5_sharding": op5_sharding,
-    "op6_html_extraction": op6_html_extraction,
-    "op7_jaccard_join": op7_jaccard_join,
-    "op8_decontamination": op8_decontamination,
-    "op9_language_id": op9_language_id,
-    "op10_pii": op10_pii,
+    query.__name__: shipped(query)
+    for query in (
+        op1_packing,
+        op2_topk,
+        op3_warc,
+        op4_license_scan,
+        op5_sharding,
+        op6_html_extraction,
+        op7_jaccard_join,
+        op8_decontamination,
+        op9_language_id,
+        op10_pii,
+    )
 }
