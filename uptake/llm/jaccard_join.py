@@ -6,7 +6,8 @@ similarity is 0.75 or more; classes are what links connect.
 1. *Sets.* Numpy cuts the texts of an Arrow batch into shingle numbers and deals them out by
    their leading bits. A row of this shuffle is a block of numbers, not one number.
 2. *Frequencies.* Each bucket counts in how many different texts a number occurs. Numbers of
-   one text cannot be in an overlap: they are dropped here and only counted.
+   one text cannot be in an overlap: they are dropped here and only counted. A number that many
+   texts of a task have is counted there, so a bucket gets one count per task for it.
 3. *Prefixes.* Per text, numbers are ordered from rare to frequent. Two texts that link share
    one among the first n - ceil(0.75 n) + 1, so only these become rows.
 4. *Tiles.* A tile is a shared prefix number within a band of set sizes; a band and the next
@@ -42,11 +43,23 @@ FLUSH_SHINGLES = 1 << 20
 NUMBER_BITS = 48  # of a shingle hash, besides the bucket
 _NUMBER = np.uint64((1 << NUMBER_BITS) - 1)
 
+#: A number that so many texts of one flush have is counted there, not sent once per text.
+FREQUENT = 16
+
+# Rows of the first shuffle: numbers of texts (COLD); counts of frequent numbers (HOT); which
+# texts have them (MEMBERS), which may go through any bucket.
+MEMBERS, HOT, COLD = 0, 1, 2
 _BLOCKS = pa.schema(
-    [("bucket", pa.int32())] + [(c, pa.binary()) for c in ("keys", "counts", "low", "high")]
+    [("bucket", pa.int32()), ("kind", pa.int32())]
+    + [(c, pa.binary()) for c in ("keys", "counts", "low", "high")]
+)
+_BLOCK_COLUMNS = "bucket int, kind int, keys binary, counts binary, low binary, high binary"
+_SHARED = pa.schema(
+    [("shard", pa.int32()), ("kind", pa.int32())]
+    + [(c, pa.binary()) for c in ("keys", "single", "kept", "numbers", "texts")]
 )
-_SHARED = (
-    "shard int, bucket int, keys binary, counts binary, kept binary, numbers binary, texts binary"
+_SHARED_COLUMNS = (
+    "shard int, kind int, keys binary, single binary, kept binary, numbers binary, texts binary"
 )
 _SETS = "key long, n int, shared int, numbers binary, bitmap binary, prefix array<long>"
 
@@ -83,25 +96,42 @@ def _blocks(bucket_bits: int):
         if not keys:
             return
         text = np.repeat(np.arange(len(keys)), [len(s) for s in sets])
-        numbers = np.concatenate(sets)
+        numbers, own = np.concatenate(sets), np.array(keys, np.int64)
+        order = np.argsort(numbers, kind="stable")
+        begin, texts = runs(numbers[order])
+        frequent = np.zeros(len(numbers), bool)
+        frequent[order] = np.repeat(texts >= FREQUENT, texts)
+        rows = {c: [] for c in _BLOCKS.names}
+
+        def add(bucket: int, kind: int, *values: np.ndarray) -> None:
+            rows["bucket"].append(bucket)
+            rows["kind"].append(kind)
+            for c, value in zip(_BLOCKS.names[2:], values, strict=False):
+                rows[c].append(value.tobytes())
+
+        if frequent.any():
+            names, counts = numbers[order][begin[texts >= FREQUENT]], texts[texts >= FREQUENT]
+            bucket = names >> np.uint64(64 - bucket_bits)
+            nothing = np.empty(0, np.uint8)
+            for a, n in zip(*runs(bucket), strict=True):
+                here = slice(a, a + n)
+                found = names[here], counts[here].astype(np.uint32)
+                add(int(bucket[a]), HOT, *found, nothing, nothing)
+            any_bucket = int(abs(keys[0])) % (1 << bucket_bits)
+            add(any_bucket, MEMBERS, own[text[frequent]], numbers[frequent], nothing, nothing)
+            text, numbers = text[~frequent], numbers[~frequent]
         bucket = (numbers >> np.uint64(64 - bucket_bits)).astype(np.uint32)
         order = np.argsort(bucket, kind="stable")
         bucket, text, numbers = bucket[order], text[order], numbers[order] & _NUMBER
         # A text's numbers in one bucket are neighbours now.
         first, counts = runs(bucket.astype(np.int64) * len(keys) + text)
-        own = np.array(keys, np.int64)[text[first]]
-        counts = counts.astype(np.uint32)
+        own, counts = own[text[first]], counts.astype(np.uint32)
         low, high = numbers.astype(np.uint32), (numbers >> np.uint64(32)).astype(np.uint16)
         begin, size = runs(bucket)
         places = np.searchsorted(first, np.r_[begin, len(bucket)])
-        rows = {c: [] for c in _BLOCKS.names}
         for i, (a, n) in enumerate(zip(begin.tolist(), size.tolist(), strict=True)):
-            here = slice(places[i], places[i + 1])
-            rows["bucket"].append(int(bucket[a]))
-            rows["keys"].append(own[here].tobytes())
-            rows["counts"].append(counts[here].tobytes())
-            rows["low"].append(low[a : a + n].tobytes())
-            rows["high"].append(high[a : a + n].tobytes())
+            here, all_here = slice(places[i], places[i + 1]), slice(a, a + n)
+            add(int(bucket[a]), COLD, own[here], counts[here], low[all_here], high[all_here])
         yield pa.RecordBatch.from_pydict(rows, schema=_BLOCKS)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,49 +161,116 @@ def _mask(bucket_bits: int) -> int:
     return ((1 << 64) - 1) ^ max(0, (1 << (64 - bucket_bits)) - (1 << NUMBER_BITS))
 
 
-def _joined(column: pd.Series, dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype)
+def _joined(blocks, dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(blocks), dtype)
+
+
+def _by_shard(
+    shards: int,
+    keys: np.ndarray,
+    single: np.ndarray,
+    kept: np.ndarray,
+    numbers: np.ndarray,
+    texts: np.ndarray,
+) -> Iterator[tuple]:
+    """The rows of the second shuffle: texts, how many numbers only they have, and the others."""
+    shard = keys.astype(np.uint64) % np.uint64(shards)
+    order = np.argsort(shard, kind="stable")
+    entries = np.argsort(np.repeat(shard, kept), kind="stable")
+    numbers, texts = numbers[entries], texts[entries]
+    keys, single, kept, shard = keys[order], single[order], kept[order], shard[order]
+    place = np.r_[0, np.cumsum(kept, dtype=np.int64)]
+    for a, n in zip(*runs(shard), strict=True):
+        here, own = slice(a, a + n), slice(place[a], place[a + n])
+        yield int(shard[a]), COLD, keys[here], single[here], kept[here], numbers[own], texts[own]
+
+
+def _bucket(
+    bucket: int, bits: int, shards: int, cold: list[dict], hot: list[dict]
+) -> Iterator[tuple]:
+    """The rows of one bucket for the second shuffle."""
+
+    def column(rows: list[dict], name: str, dtype) -> np.ndarray:
+        return _joined([r[name] for r in rows], dtype)
+
+    frequent, at = np.unique(column(hot, "keys", np.uint64), return_inverse=True)
+    counted = np.bincount(at, column(hot, "counts", np.uint32), len(frequent)).astype(np.int64)
+    keys, owner = np.unique(column(cold, "keys", np.int64), return_inverse=True)
+    owner = np.repeat(owner, column(cold, "counts", np.uint32))
+    numbers = column(cold, "low", np.uint32) | (
+        column(cold, "high", np.uint16).astype(np.uint64) << np.uint64(32)
+    )
+    numbers |= np.uint64(bucket) << np.uint64(64 - bits)
+
+    order = np.argsort(numbers)
+    begin, size = runs(numbers[order])
+    several = (size > 1) | np.isin(numbers[order][begin], frequent)
+    several = np.repeat(several, size)
+    single = np.bincount(owner[order[~several]], minlength=len(keys))
+    # A text met by several tasks has a number once: pairs are made distinct.
+    rest = order[several]
+    rest = rest[np.lexsort((owner[rest], numbers[rest]))]
+    number, text = numbers[rest], owner[rest]
+    new = np.ones(len(rest), bool)
+    new[1:] = (number[1:] != number[:-1]) | (text[1:] != text[:-1])
+    number, text = number[new], text[new]
+    begin, size = runs(number)
+    total = size.astype(np.int64)
+    if len(frequent):
+        place = np.searchsorted(frequent, number[begin])
+        place[place == len(frequent)] = 0
+        total += np.where(frequent[place] == number[begin], counted[place], 0)
+        everywhere = counted.copy()
+        both = np.isin(frequent, number[begin])
+        everywhere[both] += size[np.searchsorted(number[begin], frequent[both])]
+        none = np.empty(0, np.int64)
+        for shard in range(shards):
+            yield shard, HOT, none, none, none, frequent, everywhere.astype(np.uint32)
+    shared = np.repeat(total > 1, size)
+    single += np.bincount(text[~shared], minlength=len(keys))
+    frequency = np.repeat(total, size)[shared].astype(np.uint32)
+    number, text = number[shared], text[shared]
+    by_text = np.argsort(text, kind="stable")
+    kept = np.bincount(text, minlength=len(keys)).astype(np.uint32)
+    yield from _by_shard(
+        shards, keys, single.astype(np.uint32), kept, number[by_text], frequency[by_text]
+    )
 
 
-def _frequencies(shards: int):
-    """The numbers of one bucket that several texts have, and how many."""
+def _frequencies(bits: int, shards: int):
+    """In how many texts each number occurs, bucket by bucket, for rows sorted by bucket.
 
-    def count(rows: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = _joined(rows["keys"], np.int64), _joined(rows["counts"], np.uint32)
-        numbers = _joined(rows["low"], np.uint32) | (
-            _joined(rows["high"], np.uint16).astype(np.uint64) << np.uint64(32)
-        )
-        # A text met by several tasks has the same numbers in each block: the first one counts.
-        _, once = np.unique(keys, return_index=True)
-        first = np.zeros(len(keys), bool)
-        first[once] = True
-        numbers = numbers[np.repeat(first, counts)]
-        keys, counts = keys[first], counts[first]
-        order = np.argsort(numbers)
-        at, texts = runs(numbers[order])
-        frequency = np.empty(len(numbers), np.uint32)
-        frequency[order] = np.repeat(texts, texts)
-        shared = frequency > 1
-        owner = np.repeat(np.arange(len(keys)), counts)
-        kept = np.bincount(owner[shared], minlength=len(keys)).astype(np.uint32)
-        numbers, frequency = numbers[shared], frequency[shared]
-        shard = keys.astype(np.uint64) % np.uint64(shards)
-        order = np.argsort(shard, kind="stable")
-        entry_order = np.argsort(np.repeat(shard, kept), kind="stable")
-        numbers, frequency = numbers[entry_order], frequency[entry_order]
-        keys, counts, kept, shard = keys[order], counts[order], kept[order], shard[order]
-        place = np.r_[0, np.cumsum(kept, dtype=np.int64)]
-        out = {c: [] for c in ("shard", "bucket", "keys", "counts", "kept", "numbers", "texts")}
-        for a, n in zip(*runs(shard), strict=True):
-            here, entries = slice(a, a + n), slice(place[a], place[a + n])
-            out["shard"].append(int(shard[a]))
-            out["bucket"].append(int(rows["bucket"].iloc[0]))
-            out["keys"].append(keys[here].tobytes())
-            out["counts"].append(counts[here].tobytes())
-            out["kept"].append(kept[here].tobytes())
-            out["numbers"].append(numbers[entries].tobytes())
-            out["texts"].append(frequency[entries].tobytes())
-        return pd.DataFrame(out)
+    Frequent numbers come as counts, one per task and number, so no bucket gathers all texts of
+    a number; which texts have them only passes through.
+    """
+
+    def batch(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if rows:
+            columns = [list(c) for c in zip(*rows, strict=True)]
+            plain = columns[:2] + [[v.tobytes() for v in c] for c in columns[2:]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(plain, _SHARED, strict=True)], schema=_SHARED
+            )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, cold, hot = None, [], []
+        for block in batches:
+            for i in range(block.num_rows):
+                row = {c: block.column(c)[i].as_py() for c in _BLOCKS.names}
+                if row["bucket"] != bucket:
+                    if bucket is not None:
+                        yield from batch([*_bucket(bucket, bits, shards, cold, hot)])
+                    bucket, cold, hot = row["bucket"], [], []
+                if row["kind"] == MEMBERS:
+                    keys = np.frombuffer(row["keys"], np.int64)
+                    numbers = np.frombuffer(row["counts"], np.uint64)
+                    one, zero = np.ones(len(keys), np.uint32), np.zeros(len(keys), np.uint32)
+                    parts = _by_shard(shards, keys, zero, one, numbers, zero)
+                    yield from batch([(shard, MEMBERS, *part) for shard, _, *part in parts])
+                else:
+                    (hot if row["kind"] == HOT else cold).append(row)
+        if bucket is not None:
+            yield from batch([*_bucket(bucket, bits, shards, cold, hot)])
 
     return count
 
@@ -191,18 +288,26 @@ def _bitmap(numbers: np.ndarray, n: int) -> bytes:
 
 def _sets(rows: pd.DataFrame) -> pd.DataFrame:
     """Per text of one shard: its size, its shared numbers, and those in its prefix."""
-    blocks = rows.sort_values("bucket")
-    keys, counts = _joined(blocks["keys"], np.int64), _joined(blocks["counts"], np.uint32)
-    kept = _joined(blocks["kept"], np.uint32)
-    per_block = [len(b) // 8 for b in blocks["numbers"]]
-    bucket = np.repeat(blocks["bucket"].to_numpy(np.uint64), per_block)
-    numbers = _joined(blocks["numbers"], np.uint64) | (bucket << np.uint64(NUMBER_BITS))
-    frequency = _joined(blocks["texts"], np.uint32)
+    cold, members, hot = (rows[rows["kind"] == kind] for kind in (COLD, MEMBERS, HOT))
+    frequent = _joined(hot["numbers"], np.uint64)
+    counted = _joined(hot["texts"], np.uint32)
+    by_number = np.argsort(frequent)
+    of_members = _joined(members["numbers"], np.uint64)
+    place = by_number[np.searchsorted(frequent, of_members, sorter=by_number)]
+    keys = np.r_[_joined(cold["keys"], np.int64), _joined(members["keys"], np.int64)]
     names, text = np.unique(keys, return_inverse=True)
-    n = np.bincount(text, counts).astype(np.int64)
+    single = _joined(cold["single"], np.uint32)
+    n = np.bincount(text[: len(single)], single, len(names)).astype(np.int64)
+    kept = np.r_[_joined(cold["kept"], np.uint32), _joined(members["kept"], np.uint32)]
     owner = np.repeat(text, kept)
+    numbers = np.r_[_joined(cold["numbers"], np.uint64), of_members]
+    frequency = np.r_[_joined(cold["texts"], np.uint32), counted[place]]
     order = np.lexsort((numbers, frequency, owner))
     numbers, owner = numbers[order], owner[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (numbers[1:] != numbers[:-1]) | (owner[1:] != owner[:-1])
+    numbers, owner = numbers[new], owner[new]
+    n += np.bincount(owner, minlength=len(names))
     place = np.searchsorted(owner, np.arange(len(names) + 1))
     out = {c: [] for c in ("key", "n", "shared", "numbers", "bitmap", "prefix")}
     for i, key in enumerate(names.tolist()):
@@ -353,13 +458,12 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
     texts = docs.where(has_words(text)).select(
         _key(text, seed).alias("key"), F.concat(text, F.lit(" ")).alias("text")
     )
+    bits = buckets.bit_length() - 1
     sets = (
-        texts.mapInArrow(
-            _blocks(buckets.bit_length() - 1),
-            "bucket int, keys binary, counts binary, low binary, high binary",
-        )
-        .groupBy("bucket")
-        .applyInPandas(_frequencies(max(16, buckets // 2)), _SHARED)
+        texts.mapInArrow(_blocks(bits), _BLOCK_COLUMNS)
+        .repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_frequencies(bits, max(16, buckets // 2)), _SHARED_COLUMNS)
         .groupBy("shard")
         .applyInPandas(_sets, _SETS)
     )
@@ -410,7 +514,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows, classes, seed = _classes(docs, id_col, text_col)
     order = F.struct(F.col("least").isNull(), "least", "key")
     kept = classes.groupBy("root").agg(F.min_by(F.struct("key", "least"), order).alias("kept"))
-    kept = stored(kept.select(F.col("kept.key").alias("_key"), F.col("kept.least").alias("_id")), "kept")
+    kept = kept.select(F.col("kept.key").alias("_key"), F.col("kept.least").alias("_id"))
+    kept = stored(kept, "kept")
     keyed = docs.withColumns({"_key": _key(F.col(text_col), seed), "_id": F.col(id_col)})
     words = has_words(F.col(text_col))
     same = (keyed["_key"] == kept["_key"]) & keyed["_id"].eqNullSafe(kept["_id"])
