@@ -15,7 +15,7 @@ from uptake.operators.tur import tur_formulation
 from uptake.plans import lens
 from uptake.sources.files import scratch_path
 
-SNAPSHOT = ("strmonth", "extract_date")
+MONTH = ("strmonth",)
 
 _runs: dict[tuple[str, str], Extracts] = {}
 
@@ -28,14 +28,29 @@ class Extracts:
         self._stored: dict[str, DataFrame] = {}
 
     def _table(
-        self, name: str, build: Callable[[], DataFrame], partitions: tuple[str, ...] = SNAPSHOT
+        self, name: str, build: Callable[[], DataFrame], partitions: tuple[str, ...] = MONTH
     ) -> DataFrame:
-        """Partitioned by what the KPIs select, so that they read the snapshots they need."""
+        """Partitioned by month, which the KPIs select, and sorted by extract date within it.
+
+        All months of the lens are written at once, so a folder per extract date as well would
+        be hundreds of tiny files. Rows are dealt to a fixed number of tasks, so that the months
+        are not written one after the other. An extract has a row per offer (and border), so no
+        month is much larger than the others.
+        """
         if name not in self._stored:
             rows = build()
             path = scratch_path(self._spark, name)
-            clustered = rows.hint("rebalance", *partitions) if partitions else rows
-            clustered.write.partitionBy(*partitions).parquet(path)
+            tasks = int(self._spark.conf.get("spark.sql.shuffle.partitions"))
+            dealt = rows.repartition(tasks, *partitions) if partitions else rows
+            if "extract_date" in rows.columns:
+                dealt = dealt.sortWithinPartitions(*partitions, "extract_date")
+            # Tasks move their own files into place. A failed job may leave some behind, in a
+            # directory that nothing reads then.
+            (
+                dealt.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+                .partitionBy(*partitions)
+                .parquet(path)
+            )
             table = self._spark.read.schema(rows.schema).parquet(path)
             self._stored[name] = table.select(*rows.columns)
         return self._stored[name]
@@ -87,7 +102,6 @@ class Extracts:
         return self._table(
             "tur_formulation",
             lambda: tur_formulation(self.summary, self.wl_offer, self.taker_offer),
-            ("strmonth",),
         )
 
     def store_all(self) -> None:
