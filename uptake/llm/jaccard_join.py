@@ -43,6 +43,7 @@ FLUSH_SHINGLES = 1 << 20
 NUMBER_BITS = 48  # of a shingle hash, besides the bucket
 _NUMBER = np.uint64((1 << NUMBER_BITS) - 1)
 
+SALTS = 32  # tasks that name the members of one component
 #: A number that so many texts of one flush have is counted there, not sent once per text.
 FREQUENT = 16
 
@@ -494,8 +495,17 @@ def near_duplicate_classes(
     table gives no rows. Texts are processed whole, whatever their length.
     """
     rows, classes, _ = _classes(docs, id_col, text_col)
-    least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = classes.join(least, "root").select("key", "n", "component_id")
+    # The members of a large component meet its smallest id in several tasks.
+    least = (
+        classes.groupBy("root")
+        .agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("texts"))
+        .where("texts > 1")
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    )
+    salted = classes.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+    named = salted.join(least, ["root", "salt"], "left").select(
+        "key", "n", F.coalesce("component_id", "least").alias("component_id")
+    )
     return rows.join(named, "key", "left").select(
         "id",
         "key",
