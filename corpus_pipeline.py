@@ -16,7 +16,7 @@ from uptake.llm.decontamination import leaks
 from uptake.llm.jaccard_join import keep_one
 from uptake.llm.language_id import UNDETERMINED, fit, held_out, identify
 from uptake.llm.packing import pack, tokenised_pieces
-from uptake.llm.sanitisation import disclosing_terms, sanitise, text_key
+from uptake.llm.sanitisation import row_terms, sanitise, text_key
 
 LEAST_LANGUAGE_SCORE = 0.35  # with less, no language stands out from chance
 
@@ -47,7 +47,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 @shipped
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data and words that disclose it generalised to their kind."""
-    clean = sanitise(docs, disclosing_terms(docs))
+    clean = sanitise(docs, row_terms(docs))
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

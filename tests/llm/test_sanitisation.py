@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from uptake.llm.queries import op10_pii
 from uptake.llm.sanitisation import (
-    KINDS, base_spans, disclosing_terms, find_spans, generalised, sanitise,
+    KINDS, base_spans, disclosing_terms, find_spans, generalised, row_terms, sanitise,
 )
 
 SCHEMA = T.StructType(
@@ -141,3 +141,44 @@ def test_query_equals_the_definition(spark, sf_dir):
         assert [r[f"n_{k}"] for k in KINDS] == [sum(s[0] == k for s in spans) for k in KINDS]
         assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
         assert r["spans"].startswith(joined)
+
+
+def brute_row_terms(texts, alpha):
+    together, entities, rows = defaultdict(int), defaultdict(int), defaultdict(int)
+    for text in texts:
+        spans = base_spans(text)
+        own = {(kind, text[a:b].lower()) for kind, a, b in spans}
+        free = {w for x, y, w in words(text) if not any(x < b and y > a for _, a, b in spans)}
+        for t in {w for *_, w in words(text)}:
+            rows[t] += 1
+        for e in own:
+            entities[e] += 1
+            for t in free:
+                together[e, t] += 1
+    least = {e: (n / len(texts)) ** (1 - 1 / alpha) for e, n in entities.items()}
+    return {t for (e, t), n in together.items() if n / rows[t] >= least[e]}
+
+
+def test_words_of_rows_with_rare_values_equal_brute_force(spark):
+    far = " ".join(["common"] * 30)
+    texts = [*corpus(), f"Zoltan {far} one@mail.org two@mail.org", f"Zoltan {far}", "Odysseus"]
+    docs = spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)], SCHEMA)
+    for alpha in (1.0, 1.2, 4.0):
+        terms = brute_row_terms(texts, alpha)
+        assert "odysseus" not in terms and ("zoltan" in terms) == (alpha > 1)
+        for r in find_spans(docs, row_terms(docs, alpha=alpha)).collect():
+            text, spans = texts[r["id"]], base_spans(texts[r["id"]])
+            want = [(a, b) for a, b, w in words(text)
+                    if w in terms and not any(a < y and b > x for _, x, y in spans)]
+            assert [(s["start"], s["end"]) for s in r["terms"]] == want
+    with pytest.raises(ValueError):
+        row_terms(docs, alpha=0.5)
+    assert row_terms(docs.limit(0)).count() == 0
+
+
+def test_query_generalises_the_only_name_beside_a_value(spark, tmp_path):
+    texts = ["the mail of Wolfeschlegel is w@x.org", "the mail of nobody", "the mail is of nobody"]
+    docs = spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)], SCHEMA)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spans = {r["doc_id"]: r["spans"] for r in op10_pii(spark, str(tmp_path)).collect()}
+    assert spans == {0: "email:29:36,term:12:25", 1: "", 2: ""}

@@ -97,18 +97,19 @@ def text_slices(
 BITMAP_BITS = 1 << 22
 
 
-def bitmap_of(df: DataFrame, column: str) -> np.ndarray:
-    """A bit for the lower bits of every hash of a column, half a megabyte at any size.
+def bitmap_of(df: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
+    """A bit for the lower bits of every hash of a column, half a megabyte unless ``bits``, a
+    power of two, says otherwise.
 
     It is gathered in blocks of 4 KB. A word that is not in the bitmap is not in the column.
     """
-    bit = F.col(column).bitwiseAND(BITMAP_BITS - 1) + 1
+    bit = F.col(column).bitwiseAND(bits - 1) + 1
     blocks = (
         df.groupBy(F.bitmap_bucket_number(bit).alias("block"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
         .collect()
     )
-    whole = np.zeros(BITMAP_BITS // 8, np.uint8)
+    whole = np.zeros(bits // 8, np.uint8)
     for r in blocks:
         size = len(r["bits"])
         whole[(r["block"] - 1) * size : r["block"] * size] = np.frombuffer(r["bits"], np.uint8)
@@ -116,7 +117,7 @@ def bitmap_of(df: DataFrame, column: str) -> np.ndarray:
 
 
 def bits_set(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    bit = (hashes & np.uint64(BITMAP_BITS - 1)).astype(np.int64)
+    bit = (hashes & np.uint64(8 * len(bitmap) - 1)).astype(np.int64)
     return bitmap[bit >> 3] >> (bit & 7) & 1 > 0
 
 

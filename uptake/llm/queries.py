@@ -14,7 +14,7 @@ from uptake.llm.jaccard_join import near_duplicate_classes
 from uptake.llm.language_id import fit, held_out, identify
 from uptake.llm.licenses import license_matches, templates
 from uptake.llm.packing import pack, tokenised_pieces
-from uptake.llm.sanitisation import KINDS, disclosing_terms, find_spans
+from uptake.llm.sanitisation import KINDS, find_spans, row_terms
 from uptake.llm.sharding import shard_documents
 from uptake.llm.topk import top_k
 from uptake.llm.warc import read_archive, write_archive
@@ -93,7 +93,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    rows = find_spans(docs, disclosing_terms(docs))
+    rows = find_spans(docs, row_terms(docs))
 
     def joined(spans: Column) -> Column:
         return F.array_join(

@@ -5,11 +5,16 @@ protected entities. A corpus-wide co-occurrence then estimates what neighbouring
 the pointwise mutual information of a word t and an entity e is log(n(e,t) N / (n(e) n(t))) over
 rows, the information of the entity itself is log(N / n(e)). Words for which the first reaches
 1 / alpha of the second disclose the entity; with alpha = 1 these are words that never occur
-without it. Only words seen next to the entity in several different texts are judged, as one
-text is no evidence. Found values and disclosing words are generalised to their kind.
+without it. Found values and disclosing words are generalised to their kind.
 
-Counts cover all rows. Words are prefiltered by bitmaps of fixed size before they are shuffled,
-and counted per task before that, so frequent words and copies cost one row a task.
+``row_terms`` counts n(e,t) over whole rows and judges every value, also one of a single text;
+the registered query and the pipeline use it. ``disclosing_terms`` judges only words seen close
+to the entity in several different texts.
+
+Counts cover all rows. Words are prefiltered by bitmaps before they are shuffled, and counted
+per task before that, so frequent words and copies cost one row a task. A word can disclose an
+entity only if it is in at most n(e)^(1/alpha) N^(1 - 1/alpha) rows, so only such words meet the
+entities of their rows; entities of one text alone are judged alike, as one.
 """
 
 from __future__ import annotations
@@ -24,7 +29,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from uptake.llm.common import bitmap_of, bits_set, stored, text_bytes, text_slices
+from uptake.llm.common import (
+    BITMAP_BITS, bitmap_of, bits_set, power_of_two, stored, text_bytes, text_slices,
+)
 from uptake.llm.language_crf import Words, split_words
 
 KINDS = ("email", "ip", "card", "phone")
@@ -32,6 +39,11 @@ TERM = "term"
 NEIGHBOURS = 10  # words on either side of a value
 LEAST_TEXTS = 3
 ALPHA = 1.0
+ROW_ALPHA = 1.1  # of ``row_terms``
+HOT_SHARE = 1 / 256  # words in a larger share of the rows are dropped before a shuffle
+MOST_BITS = 1 << 28
+BITS_PER_TERM = 64
+UPPER = 32  # lower bits of a hash that the second bitmap skips
 
 # Runs are entered at their start only: a value that fails from there fails from inside as well.
 _EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
@@ -156,14 +168,16 @@ def _term_rows(bitmap: np.ndarray) -> Callable:
     return rows
 
 
-def _occurrences(bitmap: np.ndarray) -> Callable:
-    """Code-point ranges of the words of the bitmap that are no part of a value."""
+def _occurrences(bitmap: np.ndarray, upper: np.ndarray) -> Callable:
+    """Code-point ranges of the words of both bitmaps, that of the hashes and that of their upper
+    bits, that are no part of a value."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             data, offsets = text_bytes(batch.column("text"))
             words = split_words(data, offsets)
             at = np.flatnonzero(bits_set(bitmap, words.hashes))
+            at = at[bits_set(upper, words.hashes[at] >> np.uint64(UPPER))]
             if not len(at):
                 continue
             text = np.searchsorted(words.first, at, "right") - 1
@@ -233,6 +247,108 @@ def disclosing_terms(
     return stored(known.select("term").distinct(), "disclosing-terms")
 
 
+def _row_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different entities of each text."""
+    for batch in text_slices(batches):
+        keys, entities = [], []
+        for key, text in zip(*(batch.column(c).to_pylist() for c in ("key", "text")), strict=True):
+            own = {entity(kind, text[a:b]) for kind, a, b in base_spans(text)}
+            keys += [key] * len(own)
+            entities += own
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.string()), pa.array(entities, pa.int64())], names=["key", "entity"]
+        )
+
+
+def _row_words(hot: np.ndarray) -> Callable:
+    """The different words of each text with values, outside them and without the ``hot`` ones;
+    a text that a task has met before is left out."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = set()
+        for batch in text_slices(batches):
+            for key, text in zip(*(batch.column(c).to_pylist() for c in ("key", "text")), strict=True):
+                spans = () if key in met else base_spans(text)
+                if not spans:
+                    continue
+                met.add(key)
+                words = split_words(*text_bytes(pa.array([text + "\n"])))
+                free = _free_words(words, sorted(tuple(_byte_places(text, s[1:])) for s in spans))
+                terms = np.unique(words.hashes[free].view(np.int64))
+                terms = terms[~np.isin(terms, hot)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key] * len(terms), pa.string()), pa.array(terms)], names=["key", "term"]
+                )
+
+    return rows
+
+
+def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many rows of a slice each word occurs."""
+    for batch in text_slices(batches):
+        words = split_words(*text_bytes(batch.column("text")))
+        if not len(words.hashes):
+            continue
+        text = np.searchsorted(words.first, np.arange(len(words.hashes)), "right")
+        order = np.argsort(words.hashes, kind="stable")  # by text within a word
+        hashes, text = words.hashes[order], text[order]
+        begins = np.r_[True, hashes[1:] != hashes[:-1]]
+        counted = begins | np.r_[True, text[1:] != text[:-1]]
+        first = np.flatnonzero(begins)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hashes[first].view(np.int64)),
+             pa.array(np.add.reduceat(counted.astype(np.int64), first))],
+            names=["term", "rows"],
+        )
+
+
+def row_terms(docs: DataFrame, text_col: str = "text", alpha: float = ROW_ALPHA) -> DataFrame:
+    """The words, as hashes, that disclose an entity of the corpus: a table with ``term``.
+
+    As ``disclosing_terms``, but n(e,t) counts all rows that have both, wherever the word stands,
+    and every entity is judged, however few texts it is in.
+    """
+    if alpha < 1:
+        raise ValueError("alpha is 1 or more")
+    texts = _texts(docs, text_col)
+    with_values = texts.where(F.col("text").rlike(MAY_HAVE_VALUES))
+    total = max(1, docs.count())
+    values = with_values.mapInArrow(_row_values, "key string, entity long")
+    values = stored(values.groupBy("key", "entity").agg(F.count(F.lit(1)).alias("rows")), "row-values")
+    entities = values.groupBy("entity").agg(
+        F.sum("rows").alias("entity_rows"), F.count(F.lit(1)).alias("texts")
+    )
+    # Entities of one text alone have the same counts with every word: the first stands for all.
+    known = values.join(entities, "entity")
+    alone = known.where("texts = 1").groupBy("key", "rows", "entity_rows").agg(F.min("entity").alias("entity"))
+    columns = ["key", "entity", "rows", "entity_rows"]
+    known = known.where("texts > 1").select(columns).unionByName(alone.select(columns))
+    share = F.pow(F.col("entity_rows") / total, F.lit(1 - 1 / alpha))
+    known = known.withColumn("least", share)
+    known = stored(known.withColumn("most", F.col("entity_rows") / share + 1e-6), "row-entities")
+    most = known.agg(F.max("most")).first()[0] or 0.0
+
+    lines = texts.select(F.concat("text", F.lit("\n")).alias("text"))
+    counts = lines.mapInArrow(_word_rows, "term long, rows long").groupBy("term")
+    counts = stored(counts.agg(F.sum("rows").alias("term_rows")), "word-rows")
+    hot = counts.where(F.col("term_rows") > max(most, HOT_SHARE * total)).select("term").collect()
+    words = with_values.mapInArrow(
+        _row_words(np.array([r["term"] for r in hot], np.int64)), "key string, term long"
+    )
+    rare = words.join(counts.where(F.col("term_rows") <= most), "term").distinct()
+    together = (
+        rare.join(known, "key")
+        .where(F.col("term_rows") <= F.col("most"))
+        .groupBy("entity", "term")
+        .agg(
+            F.sum("rows").alias("together"), F.max("term_rows").alias("term_rows"),
+            F.max("least").alias("least"),
+        )
+    )
+    reached = F.col("together") / F.col("term_rows") >= F.col("least")
+    return stored(together.where(reached).select("term").distinct(), "disclosing-terms")
+
+
 def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many rows of a slice each entity occurs."""
     for batch in text_slices(batches):
@@ -268,8 +384,11 @@ def _base_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _term_spans(docs: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
     """``key`` of a text and the places of its disclosing words."""
     lines = _texts(docs, text_col).select("key", F.concat("text", F.lit("\n")).alias("text"))
+    bits = min(MOST_BITS, max(BITMAP_BITS, power_of_two(BITS_PER_TERM * terms.count())))
+    skipped = terms.select(F.shiftrightunsigned("term", UPPER).alias("upper"))
     found = lines.mapInArrow(
-        _occurrences(bitmap_of(terms, "term")), "key string, term long, start long, end long"
+        _occurrences(bitmap_of(terms, "term", bits), bitmap_of(skipped, "upper", bits)),
+        "key string, term long, start long, end long",
     )
     spans = found.join(terms, "term", "left_semi").select("key", "start", "end").distinct()
     span = F.struct(F.lit(TERM).alias("kind"), "start", "end")
