@@ -109,3 +109,34 @@ def test_query_gives_the_articles_of_the_given_pages(spark, sf_dir):
                  for p in re.split(r"</?(?:p|h1)>", article)]
         text = "\n".join(p for p in parts if p)
         assert got[page["page_id"]]["text"] == text and got[page["page_id"]]["n_chars"] == len(text)
+
+
+def test_shared_lines_of_marked_pages_go(spark):
+    page = "<nav>Menu</nav><article><p>Share this story<p>{}<p>{}<p>All rights reserved</article>"
+    teaser = "<article><p>See also</article><div><p>{}</div>"
+    rows = [
+        (1, "http://a.x/1", page.format("first text of one", "second text of one")),
+        (2, "http://a.x/2", page.format("first text of two", "second text of two")),
+        (3, "http://b.x/1", teaser.format("a long body in a division")),
+        (4, "http://b.x/2", teaser.format("another body, as long as that")),
+    ]
+    assert extract(spark, rows) == [
+        (1, rows[0][1], "first text of one\nsecond text of one"),
+        (2, rows[1][1], "first text of two\nsecond text of two"),
+        (3, rows[2][1], "a long body in a division"), (4, rows[3][1], "another body, as long as that"),
+    ]
+
+
+def test_near_copies_keep_their_article(spark):
+    body = [f"sentence {i} of the article that both pages carry" for i in range(6)]
+    site = "<p>Welcome" + "".join(f"<p>{b}" for b in body) + "<p>page {}<p>Imprint"
+    other = "<p>Welcome<p>something else that is long enough to be an article<p>Imprint"
+    rows = [(i, f"http://a.x/p/{i}", site.format(i)) for i in (1, 2, 3)]
+    rows += [(8, "http://a.x/q", other)]
+    rows += [(i, f"http://b.x/p/{i}", site.format(i)) for i in (4, 5)]
+    got = {r[0]: r[2].split("\n") for r in extract(spark, rows)}
+    for i in (1, 2, 3):
+        assert got[i] == [*body, f"page {i}"]
+    assert got[8] == ["something else that is long enough to be an article"]
+    for i in (4, 5):
+        assert got[i] == ["Welcome", *body, f"page {i}", "Imprint"]

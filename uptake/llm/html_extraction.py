@@ -2,10 +2,13 @@
 
 Pages of one host, in the order of their URL paths, have their nearest URLs next to them. The
 text lines of a page and of its nearest page are aligned by a longest common subsequence. Lines
-in the alignment come from the site, not from the page, and are deleted. Lines inside an article
-element belong to the page even if a copy shares them, and stay. Lines inside elements that are
-never part of an article, such as menus, footers and forms, go on every page; where a page marks
-its article, lines around it go as well.
+in the alignment come from the site, not from the page, and are deleted. Inside an article
+element they are so only if the page on the other side has them too, where the host has one, as
+articles quote each other. A nearest page that shares most of the text is a copy and tells nothing about the site:
+neighbours that are copies of each other form a run, and a page is compared with the nearest page
+outside its run, or keeps its lines if its host has none. Lines inside elements that are never
+part of an article, such as menus, footers and forms, go on every page; where an article element
+holds most of the other text, lines around it go as well.
 
 Only hashes of lines are shuffled to compare pages. Neighbours come from a range-partitioned
 order, so a host with any share of the pages is many tasks.
@@ -26,6 +29,9 @@ from uptake.llm.common import stored, text_slices
 from uptake.llm.html_blocks import Block, blocks
 
 TABLE_BITS = 1 << 28  # of one alignment table; larger ones are split
+TEASER = 0.5  # an article with less of the text outside menus and the like is a teaser
+COPY_TEXT = 0.9  # copies share that much of their text, or COPY_BOTH of text and lines
+COPY_BOTH = 0.75
 
 
 def _rows(a: Sequence, b: Sequence) -> list[int]:
@@ -94,51 +100,100 @@ def _last(a: Sequence, b: Sequence) -> int:
 
 def candidate_lines(page: Sequence[Block]) -> tuple[bool, list[tuple[int, str]]]:
     """Whether a page marks its article, and its lines that may stay with their places: those of
-    the article, as one, or all that are not in a menu, a footer or the like."""
-    article = [b.text for b in page if b.article and not b.aside]
-    if article:
-        return True, [(0, "\n".join(article))]
-    return False, [(i, b.text) for i, b in enumerate(page) if not b.aside]
+    the article or, without one or if it is a teaser, all that are not in a menu, a footer or the
+    like."""
+    body = [(i, b) for i, b in enumerate(page) if not b.aside]
+    article = [(i, b) for i, b in body if b.article]
+    if sum(len(b.text) for _, b in article) < TEASER * sum(len(b.text) for _, b in body):
+        article = []
+    return bool(article), [(i, b.text) for i, b in article or body]
 
 
-def kept_text(marked: Column, lines: Column, shared: Column) -> Column:
+def kept_text(lines: Column, shared: Column, copy: Column) -> Column:
     """The candidate lines without those shared with the nearest page, by line feeds.
 
-    A page that marks its article keeps all of them, and so does one that shares them all: it
-    is a copy, which tells nothing about its site.
+    A page that shares them all, or most of its text, is a copy, which tells nothing about its
+    site, and keeps them.
     """
     own = F.filter(lines, lambda b: ~F.coalesce(F.array_contains(shared, b["place"]), F.lit(False)))
-    stays = F.when(marked | (F.size(own) == 0), lines).otherwise(own)
+    stays = F.when(F.coalesce(copy, F.lit(False)) | (F.size(own) == 0), lines).otherwise(own)
     return F.array_join(F.transform(stays, lambda b: b["text"]), "\n")
 
 
 def _line_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whether the article is marked, hashes of all lines, and lengths of the candidate ones, 0
+    for others."""
     for batch in text_slices(batches, "html"):
-        lines = [
-            [xxhash.xxh64_intdigest(b.text) - (1 << 63) for b in blocks(html)]
-            for html in batch.column("html").to_pylist()
-        ]
+        marked, lines, sizes = [], [], []
+        for html in batch.column("html").to_pylist():
+            page = blocks(html)
+            lines.append([xxhash.xxh64_intdigest(b.text) - (1 << 63) for b in page])
+            size = [0] * len(page)
+            has_article, found = candidate_lines(page)
+            for i, text in found:
+                size[i] = len(text)
+            marked.append(has_article)
+            sizes.append(size)
         kept = [batch.column(c) for c in ("key", "host", "path")]
         yield pa.RecordBatch.from_arrays(
-            [*kept, pa.array(lines, pa.list_(pa.int64()))], names=["key", "host", "path", "lines"]
+            [*kept, pa.array(marked, pa.bool_()), pa.array(lines, pa.list_(pa.int64())),
+             pa.array(sizes, pa.list_(pa.int32()))],
+            names=["key", "host", "path", "marked", "lines", "sizes"],
         )
 
 
+def is_copy(shared: Sequence[int], own: Sequence[int], other: Sequence[int]) -> bool:
+    """Whether two pages with candidate lines of these lengths share most of both of them."""
+    both = [own[i] for i in shared if own[i]]
+    text = sum(both) / max(sum(own), sum(other), 1)
+    lines = len(both) / max(np.count_nonzero(own), np.count_nonzero(other), 1)
+    return text >= COPY_TEXT or min(text, lines) >= COPY_BOTH
+
+
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        pairs = zip(batch.column("lines").to_pylist(), batch.column("other").to_pylist(), strict=True)
-        shared = [common_lines(a, b) for a, b in pairs]
+        names = ("lines", "other", "sizes", "other_sizes", "second", "marked")
+        shared, copy = [], []
+        for a, b, own, other, second, marked in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+            places = common_lines(a, b)
+            copy.append(is_copy(places, own, other))
+            if marked:
+                known = {line for line, size in zip(b, other, strict=True) if size}
+                known &= known if second is None else set(second)
+                places = [i for i in places if a[i] in known]
+            shared.append(places)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("key"), pa.array(shared, pa.list_(pa.int32()))], names=["key", "shared"]
+            [batch.column("key"), pa.array(shared, pa.list_(pa.int32())), pa.array(copy, pa.bool_())],
+            names=["key", "shared", "copy"],
         )
 
 
-def nearest_pages(pages: DataFrame) -> DataFrame:
-    """Adds ``other``, the key of the nearest page, to rows of ``key``, ``host`` and ``path``.
+def _aligned(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """``key``, ``shared`` places and ``copy`` of rows of ``key``, ``other`` and ``second``; of a
+    page that marks its article only those that are candidates on the other page and on the
+    second, if there is one."""
+    own = lines.select("key", "lines", "sizes", "marked")
+    theirs = lines.select(
+        F.col("key").alias("other"), F.col("lines").alias("theirs"), F.col("sizes").alias("other_sizes")
+    )
+    body = F.filter("lines", lambda _, i: F.get("sizes", i) > 0)
+    witness = lines.select(F.col("key").alias("second"), body.alias("second_lines"))
+    return (
+        pairs.where("other IS NOT NULL")
+        .join(own, "key")
+        .withColumn("second", F.when(F.col("marked"), F.col("second")))
+        .join(theirs, "other")
+        .join(witness, "second", "left")
+        .select(
+            "key", "lines", "sizes", F.col("theirs").alias("other"), "other_sizes",
+            F.col("second_lines").alias("second"), "marked",
+        )
+        .mapInArrow(_align, "key binary, shared array<int>, copy boolean")
+    )
 
-    Nearest is the page before or after in the order of host and path with the longer common
-    start of the path, ties to the one before; null for the only page of a host.
-    """
+
+def _in_order(pages: DataFrame) -> DataFrame:
+    """Pages in range-partitioned order, with the ``path`` and ``key`` of their neighbours."""
     order = ["host", "path", "key"]
     rows = pages.select(*order).repartitionByRange(*order).withColumn("part", F.spark_partition_id())
     rows = stored(rows, "page-order")
@@ -150,14 +205,19 @@ def nearest_pages(pages: DataFrame) -> DataFrame:
         "part", "host", F.lag("last").over(across).alias("earlier"),
         F.lead("first").over(across).alias("later"),
     )
-    rows = (
+    return (
         rows.withColumn("before", F.lag(own).over(inside))
         .withColumn("after", F.lead(own).over(inside))
         .join(ends, ["part", "host"])
         .withColumn("before", F.coalesce("before", "earlier"))
         .withColumn("after", F.coalesce("after", "later"))
+        .drop("earlier", "later")
     )
 
+
+def _nearer(rows: DataFrame) -> DataFrame:
+    """``key`` and ``other``, the key of ``before`` or ``after``."""
+
     def alike(side: str) -> Column:
         """Length of the common start of two paths; -1 without a page on that side."""
         other = F.col(side)["path"]
@@ -174,6 +234,69 @@ def nearest_pages(pages: DataFrame) -> DataFrame:
     return rows.select("key", F.coalesce(nearest, F.col("before"))["key"].alias("other"))
 
 
+def nearest_pages(pages: DataFrame) -> DataFrame:
+    """Adds ``other``, the key of the nearest page, to rows of ``key``, ``host`` and ``path``.
+
+    Nearest is the page before or after in the order of host and path with the longer common
+    start of the path, ties to the one before; null for the only page of a host.
+    """
+    return _nearer(_in_order(pages))
+
+
+def nearest_other_pages(lines: DataFrame) -> DataFrame:
+    """As ``nearest_pages``, the nearest page outside the run of copies that a page is in, and
+    ``second``, the page outside the run on the other side; beyond the nearest one if that side
+    has none.
+
+    A run begins with a page that is no copy of the one before it.
+    """
+    rows = _in_order(lines)
+    pairs = rows.select(
+        "key", F.col("before")["key"].alias("other"), F.lit(None).cast("binary").alias("second")
+    )
+    copies = _aligned(pairs, lines).where("copy").select("key", "copy")
+    begin = F.struct("path", "key", "before")
+    rows = rows.join(copies, "key", "left").select(
+        "part", "host", "path", "key", F.when(F.col("copy").isNull(), begin).alias("begin")
+    )
+    rows = stored(rows, "page-runs")
+    inside = Window.partitionBy("part", "host").orderBy("path", "key")
+    back = Window.partitionBy("part", "host").orderBy(F.desc("path"), F.desc("key"))
+    ends = rows.groupBy("part", "host").agg(F.min("begin").alias("first"), F.max("begin").alias("last"))
+    across = Window.partitionBy("host").orderBy("part")
+    across_back = Window.partitionBy("host").orderBy(F.desc("part"))
+    before_this = (Window.unboundedPreceding, -1)
+    ends = ends.select(
+        "part", "host",
+        F.last("last", True).over(across.rowsBetween(*before_this)).alias("earlier"),
+        F.last("first", True).over(across_back.rowsBetween(*before_this)).alias("later"),
+    )
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = (
+        rows.withColumn("own", F.last("begin", True).over(upto))
+        .withColumn("next", F.last("begin", True).over(back.rowsBetween(*before_this)))
+        .join(ends, ["part", "host"])
+        .withColumn("own", F.coalesce("own", "earlier"))
+        .withColumn("next", F.coalesce("next", "later"))
+    )
+    after = F.when(F.col("next").isNotNull(), F.struct("next.path", "next.key"))
+    rows = rows.select("key", "path", F.col("own")["before"].alias("before"), after.alias("after"))
+    rows = stored(rows, "page-neighbours")
+    first, last = F.col("before")["key"], F.col("after")["key"]
+    beyond = rows.select(
+        F.col("key").alias("other"), first.alias("other_first"), last.alias("other_last")
+    )
+    sides = rows.select("key", first.alias("first"), last.alias("last"))
+    second = (
+        F.when(F.col("first").isNull(), F.col("other_last"))
+        .when(F.col("last").isNull(), F.col("other_first"))
+        .when(F.col("other") == F.col("first"), F.col("last"))
+        .otherwise(F.col("first"))
+    )
+    pairs = _nearer(rows).join(sides, "key").join(beyond, "other", "left")
+    return pairs.select("key", "other", second.alias("second"))
+
+
 def _page_key(id_col: str, url_col: str, html: Column) -> Column:
     """128 bits from all that a page's text depends on, and its id."""
     fields = (F.col(id_col), F.col(url_col), html)
@@ -201,26 +324,18 @@ def main_text(
 
     lines = (
         rows.select("key", host.alias("host"), path.alias("path"), "html")
-        .mapInArrow(_line_hashes, "key binary, host string, path string, lines array<long>")
+        .mapInArrow(_line_hashes, "key binary, host string, path string, marked boolean, lines array<long>, sizes array<int>")
         .where("host <> ''")
         .dropDuplicates(["key"])
     )
     lines = stored(lines, "page-lines")
-    shared = (
-        nearest_pages(lines)
-        .where("other IS NOT NULL")
-        .join(lines.select("key", "lines"), "key")
-        .join(lines.select(F.col("key").alias("other"), F.col("lines").alias("theirs")), "other")
-        .select("key", "lines", F.col("theirs").alias("other"))
-        .mapInArrow(_align, "key binary, shared array<int>")
-    )
+    shared = _aligned(nearest_other_pages(lines), lines)
 
     line = T.StructType([T.StructField("place", T.IntegerType()), T.StructField("text", T.StringType())])
     kept = ["key", "id", "url"]
     schema = T.StructType(
         [
             *rows.select(*kept).schema.fields,
-            T.StructField("marked", T.BooleanType()),
             T.StructField("lines", T.ArrayType(line)),
         ]
     )
@@ -228,13 +343,14 @@ def main_text(
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "html"):
-            found = [candidate_lines(blocks(html)) for html in batch.column("html").to_pylist()]
-            own = [[{"place": i, "text": t} for i, t in lines] for _, lines in found]
-            columns = [pa.array([m for m, _ in found], pa.bool_()), pa.array(own, kind)]
+            own = [
+                [{"place": i, "text": t} for i, t in candidate_lines(blocks(html))[1]]
+                for html in batch.column("html").to_pylist()
+            ]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), *columns], names=[*kept, "marked", "lines"]
+                [*(batch.column(c) for c in kept), pa.array(own, kind)], names=[*kept, "lines"]
             )
 
     parsed = rows.mapInArrow(parse, schema)
-    text = kept_text(F.col("marked"), F.col("lines"), F.col("shared"))
+    text = kept_text(F.col("lines"), F.col("shared"), F.col("copy"))
     return parsed.join(shared, "key", "left").select("id", "url", text.alias("text"))
