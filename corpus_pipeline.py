@@ -39,7 +39,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item in them, in its words or re-parameterised."""
     keyed = docs.withColumn("_text_key", text_key(F.coalesce("text", F.lit(""))))
-    leaky = leaks(keyed, read(spark, sf_dir, "benchmark"), id_col="_text_key")
+    leaky = leaks(keyed, read(spark, sf_dir, "benchmark"), id_col="_text_key", strict=False)
     leaky = leaky.select(F.col("id").alias("_text_key")).distinct()
     return keyed.join(leaky, "_text_key", "left_anti").select(docs.columns)
 

@@ -122,3 +122,18 @@ def test_given_documents_equal_brute_force(spark, sf_dir, cut):
     items = [(i, t[: int(len(t) * cut)]) for i, t in items]
     got = run(spark, [(*d, "", "") for d in docs], [(*i, "") for i in items])
     assert got == brute(docs, items) and len(got) > 2
+
+
+def test_values_may_become_equal_and_conflicts_cost_their_windows(spark):
+    item = (
+        "on a farm the old man picks 12 apples and the young man then picks 7 pears from the tall tree "
+        "by the river, while the dog that sleeps under the old cart in the yard eats 12 small bones"
+    )
+    equal = item.replace("12", "5").replace("7", "5")
+    mixed = item.replace("12 apples", "31 apples").replace("7", "8")
+    docs = [(1, equal, "", ""), (2, mixed, "", ""), (3, "a farm and a river", "", "")]
+    frames = spark.createDataFrame(docs, DOCS), spark.createDataFrame([(7, item, "")], ITEMS)
+    got = {r["id"]: (r["coverage"], r["exact"]) for r in leaks(*frames, strict=False).collect()}
+    assert set(got) == {1, 2} and got[1] == (1.0, False)
+    assert not got[2][1] and 0.5 < got[2][0] < 1
+    assert 1 not in {r["id"] for r in leaks(*frames).collect() if not r["exact"]}

@@ -6,7 +6,9 @@ are typed placeholders, so a question with other numbers and names has the same
 tokens are a window. Windows of the documents are hash-joined with those of the benchmark; a
 bitmap of fixed size, made from all benchmark windows, lets a task drop most of its windows
 before the join. A template match also needs consistent slots: along one alignment, equal values
-of the item stand for equal values of the document and different ones for different ones.
+of the item stand for equal values of the document; windows against the most frequent reading are
+left out. With ``strict`` an alignment with any conflict is, also if different values of the item
+stand for equal ones of the document.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -227,6 +229,25 @@ def _windows(texts: DataFrame, ids: list[str], widths=None, bitmap=None) -> Data
     return texts.mapInArrow(_cut(ids, widths, bitmap), schema)
 
 
+def _agreeing(found: Column) -> Column:
+    """The places of the windows (``place``, ``pairs``) in which every value of the item stands
+    for the value that it has most often along the alignment, ties to the larger hash."""
+    pairs = F.flatten(found["pairs"])
+    kinds = F.array_distinct(pairs)
+
+    def reading(value: Column) -> Column:
+        own = F.filter(kinds, lambda x: x["item"] == value)
+        counted = F.transform(
+            own, lambda x: F.struct(F.size(F.filter(pairs, lambda y: y == x)).alias("n"), x.alias("pair"))
+        )
+        return F.array_max(counted)["pair"]
+
+    read = F.transform(F.array_distinct(kinds["item"]), reading)
+    agreeing = F.filter(found, lambda w: F.size(F.array_except(w["pairs"], read)) == 0)
+    single = F.size(kinds) == F.size(F.array_distinct(kinds["item"]))
+    return F.array_distinct(F.when(single, found).otherwise(agreeing)["place"])
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -235,6 +256,7 @@ def leaks(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     coverage: float = COVERAGE,
+    strict: bool = True,
 ) -> DataFrame:
     """``id``, ``row``, ``item_id``, ``windows`` of the item, ``matched`` of them, ``coverage``
     and ``exact`` of every document row that has ``coverage`` of an item's windows or more.
@@ -275,16 +297,22 @@ def leaks(
         "id", "row", "item_id", "item", "kind", "place",
         (F.col("at") - F.col("place")).alias("shift"), pairs.alias("pairs"),
     )
-    aligned = hits.groupBy("id", "row", "item_id", "item", "kind", "shift").agg(
-        F.collect_set("place").alias("places"),
-        F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"),
-    )
-    kinds = F.size("pairs")
-    consistent = (kinds == F.size(F.array_distinct(F.col("pairs.item")))) & (
-        kinds == F.size(F.array_distinct(F.col("pairs.doc")))
-    )
+    along = hits.groupBy("id", "row", "item_id", "item", "kind", "shift")
+    if strict:
+        aligned = along.agg(
+            F.collect_set("place").alias("places"),
+            F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"),
+        )
+        kinds = F.size("pairs")
+        aligned = aligned.where(
+            (kinds == F.size(F.array_distinct(F.col("pairs.item"))))
+            & (kinds == F.size(F.array_distinct(F.col("pairs.doc"))))
+        )
+    else:
+        found_windows = along.agg(F.collect_list(F.struct("place", "pairs")).alias("found"))
+        aligned = found_windows.withColumn("places", _agreeing(F.col("found")))
     matched = (
-        aligned.where(consistent)
+        aligned
         .groupBy("id", "row", "item_id", "item", "kind")
         .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("matched"))
         .join(totals, ["item", "kind"])
