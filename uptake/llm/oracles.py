@@ -127,10 +127,37 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, scored.line
     ORDER BY 2 * shared::DOUBLE / together DESC, license, variant) = 1
 """
 
+# Escapes of the chat template: one more backslash after the first character of a control string.
+_CHAT_TEXT = r"""regexp_replace(regexp_replace(body,
+    '(<)(\\*(?:\|im_start\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|<SYS>>|</SYS>>))', '\1\\\2', 'g'),
+    '(\[)(\\*(?:INST\]|/INST\]))', '\1\\\2', 'g')"""
+_CHAT_ROLE = r"""replace(replace(replace(replace(who,
+    '\', '\\'), chr(10), '\n'), '<', '\l'), '[', '\b')"""
+CHAT_FORMAT = rf"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS who, coalesce(text, '') AS body FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), joined AS (
+    SELECT conv_id, count(*) AS n_turns,
+        string_agg(who || chr(10) || body || chr(10), '' ORDER BY turn NULLS FIRST, who, body) AS turns,
+        coalesce(string_agg(body, '' ORDER BY turn NULLS FIRST, who, body)
+            FILTER (who = 'assistant'), '') AS learned,
+        string_agg('<|im_start|>' || {_CHAT_ROLE} || chr(10) || {_CHAT_TEXT} || '<|im_end|>' || chr(10),
+            '') AS formatted
+    FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256,
+    CAST(length(learned) AS BIGINT) AS loss_chars, sha256(learned) AS loss_sha256,
+    CAST(length(formatted) AS BIGINT) AS formatted_chars
+FROM joined
+"""
+
 ORACLES: dict[str, str] = {
     "op2_topk": TOPK,
     "op3_warc": WARC,
     "op4_license_scan": LICENSE_SCAN,
     "op5_sharding": SHARDING,
     "op7_jaccard_join": JACCARD_JOIN,
+    "op13_chat_format": CHAT_FORMAT,
 }

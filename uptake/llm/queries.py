@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from uptake.llm.chat_format import format_chats, read_chats
 from uptake.llm.common import read, shipped
 from uptake.llm.decontamination import leaks
 from uptake.llm.html_extraction import main_text
@@ -111,6 +112,16 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame(
+        [(-1, 0, "user", control), (-1, 1, "assistant", control)],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    return read_chats(*format_chats(turns.unionByName(added))).withColumnRenamed("id", "conv_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: shipped(query)
     for query in (
@@ -124,5 +135,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_language_id,
         op10_pii,
+        op13_chat_format,
     )
 }
