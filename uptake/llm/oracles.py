@@ -65,10 +65,11 @@ FROM payloads JOIN firsts USING (payload)
 """
 
 # The check sum is computed byte by byte; its table of 256 numbers follows from the polynomial.
-SHARDING = """
+_CRC_TABLE = """SELECT list_transform(range(256), lambda b: list_reduce([CAST(b AS BIGINT)] || range(8)::BIGINT[],
+        lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t"""
+SHARDING = f"""
 WITH crc_table AS (
-    SELECT list_transform(range(256), lambda b: list_reduce([CAST(b AS BIGINT)] || range(8)::BIGINT[],
-        lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+    {_CRC_TABLE}
 ), sums AS (
     SELECT doc_id, xor(list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(
             range(1, 2 * strlen(coalesce(text, '')) + 1, 2),
@@ -153,11 +154,62 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256,
 FROM joined
 """
 
+PREFIX_TRIE = rf"""
+WITH crc_table AS (
+    {_CRC_TABLE}
+), turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, who, digest) AS pos,
+        [who, body] AS label, len(regexp_extract_all(body, '[^\x20\x09-\x0D]+')) AS words
+    FROM (SELECT *, coalesce(role, '') AS who, coalesce(text, '') AS body,
+        sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+        FROM conversations WHERE conv_id IS NOT NULL)
+), convs AS (
+    SELECT conv_id, max(pos) AS own, conv_id - conv_id % 20 AS base, xor(list_reduce(
+        [CAST(4294967295 AS BIGINT)] || list_transform(
+            range(1, 2 * strlen(CAST(conv_id AS VARCHAR)) + 1, 2),
+            lambda i: CAST(('0x' || substr(hex(CAST(conv_id AS VARCHAR)), i, 2)) AS BIGINT)),
+        lambda c, b: xor(c >> 8, t[1 + xor(c & 255, b)])), 4294967295) % 4 AS h
+    FROM turns, crc_table GROUP BY conv_id, t
+), lists AS (
+    SELECT conv_id, list(label ORDER BY pos) AS labels, list(words ORDER BY pos) AS words
+    FROM turns GROUP BY conv_id
+), whole AS (
+    SELECT c.conv_id, coalesce(b.labels[1:h], []) || o.labels[h + 1:] AS labels,
+        coalesce(b.words[1:h], []) || o.words[h + 1:] AS words
+    FROM convs c JOIN lists o ON c.conv_id = o.conv_id LEFT JOIN lists b ON c.base = b.conv_id
+), prefixes AS (
+    SELECT conv_id, d, labels[1:d] AS prefix, labels[1:d - 1] AS above,
+        CASE WHEN d = 0 THEN 0 ELSE words[d] END AS words, len(labels) = d AS ends
+    FROM whole, unnest(range(len(labels) + 1)) r(d)
+), nodes AS (
+    SELECT min(conv_id) AS conv_id, d, prefix, any_value(above) AS above, count(*) AS n,
+        any_value(words) AS words,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), ''))
+            AS ends_sha256
+    FROM prefixes GROUP BY d, prefix
+), children AS (
+    SELECT above, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL
+), totals AS (
+    SELECT prefix[1:r.d] AS prefix, r.d, count(*) FILTER (n_children IS NULL) AS n_leaves,
+        sum((n - 1) * words) AS saved
+    FROM nodes LEFT JOIN children ON prefix = children.above AND nodes.d = children.d,
+        unnest(range(nodes.d + 1)) r(d)
+    GROUP BY ALL
+)
+SELECT nodes.conv_id, CAST(nodes.d AS BIGINT) AS depth, parents.conv_id AS parent_conv_id,
+    nodes.n AS n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+    CAST(saved AS BIGINT) AS saved_tokens, nodes.ends_sha256
+FROM nodes JOIN totals ON nodes.prefix = totals.prefix AND nodes.d = totals.d
+    LEFT JOIN children ON nodes.prefix = children.above AND nodes.d = children.d
+    LEFT JOIN nodes parents ON nodes.d > 0 AND nodes.above = parents.prefix AND nodes.d - 1 = parents.d
+"""
+
 ORACLES: dict[str, str] = {
     "op2_topk": TOPK,
     "op3_warc": WARC,
     "op4_license_scan": LICENSE_SCAN,
     "op5_sharding": SHARDING,
     "op7_jaccard_join": JACCARD_JOIN,
+    "op11_prefix_trie": PREFIX_TRIE,
     "op13_chat_format": CHAT_FORMAT,
 }

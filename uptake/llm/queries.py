@@ -15,6 +15,7 @@ from uptake.llm.jaccard_join import near_duplicate_classes
 from uptake.llm.language_id import fit, held_out, identify
 from uptake.llm.licenses import license_matches, templates
 from uptake.llm.packing import pack, tokenised_pieces
+from uptake.llm.prefix_trie import ordered_turns, rebuilt, trie_nodes
 from uptake.llm.sanitisation import KINDS, find_spans, row_terms
 from uptake.llm.sharding import shard_documents
 from uptake.llm.topk import top_k
@@ -112,6 +113,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv")
+    shared = (F.crc32(conv.cast("string").cast("binary")) % 4).cast("long")
+    turns = ordered_turns(read(spark, sf_dir, "conversations"))
+    return trie_nodes(*rebuilt(turns, shared, conv - conv % 20, most=3))
+
+
 def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
@@ -135,6 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_language_id,
         op10_pii,
+        op11_prefix_trie,
         op13_chat_format,
     )
 }
