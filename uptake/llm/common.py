@@ -10,7 +10,7 @@ from functools import wraps
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uptake.sources.files import scratch_path
@@ -56,10 +56,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: later jobs start from the files."""
+def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back: later jobs start from the files.
+
+    Columns of ``partition_by`` become folders; a filter on them reads only its own.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -97,25 +100,32 @@ def text_slices(
 BITMAP_BITS = 1 << 22
 
 
-def bitmap_of(df: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
-    """A bit for the lower bits of every hash of a column, half a megabyte unless ``bits``, a
-    power of two, says otherwise.
+def bitmaps_of(df: DataFrame, column: str, bits: int, chosen: list[Column]) -> list[np.ndarray]:
+    """A bit for the lower bits of every hash of a column, in a bitmap for each condition of
+    ``chosen``; ``bits`` is a power of two, at least 2 ** 15.
 
-    It is gathered in blocks of 4 KB. A word that is not in the bitmap is not in the column.
+    They are gathered in blocks of 4 KB. A word that is not in the bitmap is not in the column.
     """
     bit = F.col(column).bitwiseAND(bits - 1) + 1
+    place = F.bitmap_bit_position(bit)
     blocks = (
         df.groupBy(F.bitmap_bucket_number(bit).alias("block"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+        .agg(*[F.bitmap_construct_agg(F.when(c, place)).alias(f"b{i}") for i, c in enumerate(chosen)])
         .collect()
     )
-    whole = np.zeros(bits // 8, np.uint8)
+    whole = [np.zeros(bits // 8, np.uint8) for _ in chosen]
     for r in blocks:
-        size = len(r["bits"])
-        whole[(r["block"] - 1) * size : r["block"] * size] = np.frombuffer(r["bits"], np.uint8)
+        for bitmap, part in zip(whole, r[1:], strict=True):
+            size = len(part)
+            bitmap[(r["block"] - 1) * size : r["block"] * size] = np.frombuffer(part, np.uint8)
     return whole
 
 
+def bitmap_of(df: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
+    """One bitmap of all hashes of a column, half a megabyte unless ``bits`` says otherwise."""
+    return bitmaps_of(df, column, bits, [F.lit(True)])[0]
+
+
 def bits_set(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     bit = (hashes & np.uint64(8 * len(bitmap) - 1)).astype(np.int64)
     return bitmap[bit >> 3] >> (bit & 7) & 1 > 0

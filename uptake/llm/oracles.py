@@ -154,6 +154,40 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256,
 FROM joined
 """
 
+COLLOCATIONS = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(
+        unnest(regexp_extract_all({_LOWER}, '[^.,;:!?\x0A-\x0D]+')), '[^\x20\x09]+') AS w
+    FROM documents
+), runs AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM pieces, unnest(range(1, 6)) s(k), unnest(range(1, len(w) - k + 2)) t(i)
+), counts AS (
+    SELECT lang, k, phrase, count(*) AS f FROM runs GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY lang
+), frequent AS (
+    SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE f >= 100
+), inside AS (
+    SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(f) AS most
+    FROM frequent, unnest(range(2, k)) s(m), unnest(range(1, k - m + 2)) t(i) GROUP BY ALL
+), cuts AS (
+    SELECT c.lang, c.phrase, c.f AS a, cut, l.f AS l, r.f AS r, n,
+        (1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f) AS score
+    FROM frequent c, unnest(range(1, c.k)) s(cut)
+        JOIN counts l ON c.lang = l.lang AND l.phrase = array_to_string(c.w[:cut], ' ')
+        JOIN counts r ON c.lang = r.lang AND r.phrase = array_to_string(c.w[cut + 1:], ' ')
+        JOIN totals ON c.lang = totals.lang
+    WHERE NOT EXISTS (SELECT 1 FROM inside x
+        WHERE x.lang = c.lang AND x.phrase = c.phrase AND 100 * x.most >= 100 * c.f)
+), best AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+    phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM best QUALIFY rank <= 2000
+"""
+
 PREFIX_TRIE = rf"""
 WITH crc_table AS (
     {_CRC_TABLE}
@@ -211,5 +245,6 @@ ORACLES: dict[str, str] = {
     "op5_sharding": SHARDING,
     "op7_jaccard_join": JACCARD_JOIN,
     "op11_prefix_trie": PREFIX_TRIE,
+    "op12_collocations": COLLOCATIONS,
     "op13_chat_format": CHAT_FORMAT,
 }

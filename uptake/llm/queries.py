@@ -15,6 +15,7 @@ from uptake.llm.jaccard_join import near_duplicate_classes
 from uptake.llm.language_id import fit, held_out, identify
 from uptake.llm.licenses import license_matches, templates
 from uptake.llm.packing import pack, tokenised_pieces
+from uptake.llm.phrases import collocations, count_phrases
 from uptake.llm.prefix_trie import ordered_turns, rebuilt, trie_nodes
 from uptake.llm.sanitisation import KINDS, find_spans, row_terms
 from uptake.llm.sharding import shard_documents
@@ -120,6 +121,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_nodes(*rebuilt(turns, shared, conv - conv % 20, most=3))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    phrases, totals = count_phrases(read(spark, sf_dir, "documents"))
+    return collocations(phrases, totals, most=2000)
+
+
 def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
@@ -144,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_language_id,
         op10_pii,
         op11_prefix_trie,
+        op12_collocations,
         op13_chat_format,
     )
 }
