@@ -13,8 +13,8 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tests.llm.test_decontamination import brute as brute_leaks
 from tests.llm.test_packing import check_laws, ids_of
-from tests.llm.test_sanitisation import brute_terms
-from uptake.llm.sanitisation import base_spans
+from tests.llm.test_sanitisation import brute_terms, words
+from uptake.llm.sanitisation import base_spans, generalised
 
 SF_DIR = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -73,14 +73,17 @@ def test_leaking_documents_go_and_others_stay(spark, stages):
 
 def test_personal_data_goes_and_clean_texts_stay(stages):
     before = {r["doc_id"]: r for r in stages[3]}
-    terms = brute_terms([r["text"] for r in stages[3]])
+    terms = brute_terms([r["text"] or "" for r in stages[3]])
     assert set(before) == {r["doc_id"] for r in stages[4]}
     changed = 0
     for r in stages[4]:
         old = before[r["doc_id"]]
-        assert not base_spans(r["text"]) and r["n_chars"] == len(r["text"])
-        if not base_spans(old["text"]) and not terms:
-            assert r["text"] == old["text"]
+        text = old["text"]
+        spans = base_spans(text)
+        spans += [("term", a, b) for a, b, w in words(text)
+                  if (text, w) in terms and not any(a < y and b > x for _, x, y in spans)]
+        assert r["text"] == generalised(text, spans) and r["n_chars"] == len(r["text"])
+        assert [r[c] for c in ("lang", "source")] == [old[c] for c in ("lang", "source")]
         changed += r["text"] != old["text"]
     assert changed
 
@@ -101,12 +104,14 @@ def test_odd_documents(spark):
         [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
          T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
          T.StructField("n_chars", T.LongType()), T.StructField("_key", T.StringType()),
-         T.StructField("score", T.StringType()), T.StructField("row", T.StringType())]
+         T.StructField("score", T.StringType()), T.StructField("row", T.StringType()),
+         *[T.StructField(c, T.StringType()) for c in ("key", "_id", "terms", "_text_key")]]
     )
     text = "the words of a text that is copied some times over"
     rows = [(None, text, "en", None, None, "", "", ""), (1, None, None, None, None, None, None, None),
             (2, "", "en", "s", 0, "", "", ""), (4, text, "en", "s", 9, "k", "s", "r")]
     rows += [(3, text, "en", "s", 9, "k", "s", "r")] * 4 + [(5, "word " * 50_000, "en", "", 1, "", "", "")]
+    rows = [(*r, f"key {r[0]}", "id", f"terms {r[0]}", "t") for r in rows]
     docs = spark.createDataFrame(rows, schema)
     for data, counts in ((docs, [7, 2, 2, 2]), (docs.limit(0), [0] * 4)):
         for (_, stage), count in zip(corpus_pipeline.STAGES, counts, strict=False):
@@ -117,3 +122,5 @@ def test_odd_documents(spark):
         assert corpus_pipeline.packing(spark, data, SF_DIR).count() == (0 if not count else 1 + 50_001 // 1024 + 1)
         if count:
             assert {r["doc_id"] for r in data.collect()} == {3, 5}
+            kept = {(*r[:4], *r[5:]) for r in data.collect()}  # n_chars is counted anew
+            assert kept <= {(*r[:4], *r[5:]) for r in rows}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 from collections import defaultdict
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from uptake.llm.queries import op10_pii
 from uptake.llm.sanitisation import (
-    KINDS, base_spans, disclosing_terms, find_spans, generalised, row_terms, sanitise,
+    ALPHA, CHANCE, KINDS, base_spans, disclosing_terms, entity, find_spans, generalised, sanitise,
 )
 
 SCHEMA = T.StructType(
@@ -53,21 +54,30 @@ def words(text):
     return [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[A-Za-z\x80-\U0010ffff]+", text)]
 
 
-def brute_terms(texts, least=3, near=10):
-    together, different, rows = defaultdict(int), defaultdict(set), defaultdict(int)
+def brute_terms(texts, alpha=ALPHA):
+    """(text, word) of the words that disclose an entity of the text."""
+    together, entities, rows, seen = defaultdict(int), defaultdict(int), defaultdict(int), defaultdict(set)
+    holders = defaultdict(set)
     for text in texts:
         spans = base_spans(text)
+        own = {entity(kind, text[a:b]) for kind, a, b in spans}
+        free = {w for x, y, w in words(text) if not any(x < b and y > a for _, a, b in spans)}
         for t in {w for *_, w in words(text)}:
             rows[t] += 1
-        own = [w for w in words(text) if not any(w[0] < b and w[1] > a for _, a, b in spans)]
-        pairs = set()
-        for kind, a, b in spans:
-            close = [w for w in own if w[1] <= a][-near:] + [w for w in own if w[0] >= b][:near]
-            pairs |= {((kind, text[a:b].lower()), w[2]) for w in close}
-        for pair in pairs:
-            together[pair] += 1
-            different[pair].add(text)
-    return {t for (e, t), n in together.items() if len(different[e, t]) >= least and n >= rows[t]}
+        for e in own:
+            entities[e] += 1
+            holders[e].add(text)
+            for t in free:
+                together[e, t] += 1
+                seen[e, t].add(text)
+    found, different = set(), len(set(texts))
+    limit = math.log(CHANCE / max(1, len(rows) * len(entities)))
+    for (e, t), n in together.items():
+        x, p = len(seen[e, t]), len(holders[e]) / different
+        rare = x * (math.log(p) + math.log(rows[t] / x) + 1) <= limit
+        if rare and n / rows[t] >= (entities[e] / len(texts)) ** (1 - 1 / alpha):
+            found |= {(text, t) for text in seen[e, t]}
+    return found
 
 
 def corpus():
@@ -83,24 +93,49 @@ def corpus():
         if i % 7 == 0:
             own.append("rare +1 (773) 555-3123 zebra")
         texts.append(" ".join(own))
-    return texts + texts[:9]
+    return [f"{t} once{chr(97 + i % 26)}{chr(97 + i // 26)}" for i, t in enumerate(texts)] + texts[:9]
 
 
-def test_disclosing_words_equal_brute_force(spark):
+@pytest.mark.parametrize("alpha", [1.0, 1.2, 4.0])
+def test_disclosing_words_equal_brute_force(spark, alpha):
     texts = corpus()
     docs = spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)], SCHEMA)
-    terms = brute_terms(texts)
-    assert {"gardener", "rare", "zebra"} <= terms and "orchid" not in terms
-    found = find_spans(docs, disclosing_terms(docs)).collect()
-    for r in found:
-        text = texts[r["id"]]
-        assert [(s["kind"], s["start"], s["end"]) for s in r["base"]] == base_spans(text)
-        spans = base_spans(text)
+    terms = brute_terms(texts, alpha)
+    found = {t for _, t in terms}
+    assert {"gardener", "rare", "zebra"} <= found and "once" not in found
+    assert ("orchid" in found) == (alpha > 1)
+    assert disclosing_terms(docs, alpha=alpha).count() == len(terms)
+    for r in find_spans(docs, disclosing_terms(docs, alpha=alpha)).collect():
+        text, spans = texts[r["id"]], base_spans(texts[r["id"]])
+        assert [(s["kind"], s["start"], s["end"]) for s in r["base"]] == spans
         want = [(a, b) for a, b, w in words(text)
-                if w in terms and not any(a < y and b > x for _, x, y in spans)]
+                if (text, w) in terms and not any(a < y and b > x for _, x, y in spans)]
         assert [(s["start"], s["end"]) for s in r["terms"]] == want
-    wider = disclosing_terms(docs, alpha=4.0)
-    assert wider.count() > disclosing_terms(docs).count()
+
+
+def test_planted_names_are_found_and_nothing_else(spark):
+    """Names that stand in a few texts, always with one value; every text has words of its own."""
+    rng = random.Random(9)
+    common = [f"c{chr(97 + i)}" for i in range(26)]
+    texts, planted = [], set()
+    for i in range(1500):
+        own = [f"u{''.join(rng.choice('abcdefgh') for _ in range(9))}" for _ in range(10)]
+        texts.append(" ".join([*own, *rng.choices(common, k=20)]))
+    for n in range(12):
+        name = "name" + "abcdefghijkl"[n] * 4
+        for i in rng.sample(range(1500), 5):
+            texts[i] += f" {name} p{n}@example.com"
+            planted.add((i, name))
+    docs = spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)], SCHEMA)
+    found = set()
+    for r in find_spans(docs, disclosing_terms(docs)).collect():
+        found |= {(r["id"], texts[r["id"]][s["start"] : s["end"]]) for s in r["terms"]}
+    assert found == planted
+
+
+def test_alpha_and_no_rows(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    assert disclosing_terms(docs).count() == 0
     with pytest.raises(ValueError):
         disclosing_terms(docs, alpha=0.5)
 
@@ -116,9 +151,9 @@ def test_generalised_texts(spark):
     clean = sanitise(docs, disclosing_terms(docs))
     assert clean.columns == docs.columns and clean.count() == len(rows)
     got = {r["doc_id"]: r["text"] for r in clean.collect() if r["terms"] == "keep"}
-    assert not any(base_spans(t) or "gardener" in t for t in got.values())
+    assert not any(base_spans(t) or "gardener" in t and "[" in t for t in got.values())
     assert sum("[email]" in t for t in got.values()) == sum("@" in t for t in texts)
-    assert all(got[i] == t for i, t in enumerate(texts) if not base_spans(t) and "zebra" not in t)
+    assert all(got[i] == t for i, t in enumerate(texts) if not base_spans(t))
     assert clean.where("text IS NULL").count() == 1
 
 
@@ -141,44 +176,3 @@ def test_query_equals_the_definition(spark, sf_dir):
         assert [r[f"n_{k}"] for k in KINDS] == [sum(s[0] == k for s in spans) for k in KINDS]
         assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
         assert r["spans"].startswith(joined)
-
-
-def brute_row_terms(texts, alpha):
-    together, entities, rows = defaultdict(int), defaultdict(int), defaultdict(int)
-    for text in texts:
-        spans = base_spans(text)
-        own = {(kind, text[a:b].lower()) for kind, a, b in spans}
-        free = {w for x, y, w in words(text) if not any(x < b and y > a for _, a, b in spans)}
-        for t in {w for *_, w in words(text)}:
-            rows[t] += 1
-        for e in own:
-            entities[e] += 1
-            for t in free:
-                together[e, t] += 1
-    least = {e: (n / len(texts)) ** (1 - 1 / alpha) for e, n in entities.items()}
-    return {t for (e, t), n in together.items() if n / rows[t] >= least[e]}
-
-
-def test_words_of_rows_with_rare_values_equal_brute_force(spark):
-    far = " ".join(["common"] * 30)
-    texts = [*corpus(), f"Zoltan {far} one@mail.org two@mail.org", f"Zoltan {far}", "Odysseus"]
-    docs = spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)], SCHEMA)
-    for alpha in (1.0, 1.2, 4.0):
-        terms = brute_row_terms(texts, alpha)
-        assert "odysseus" not in terms and ("zoltan" in terms) == (alpha > 1)
-        for r in find_spans(docs, row_terms(docs, alpha=alpha)).collect():
-            text, spans = texts[r["id"]], base_spans(texts[r["id"]])
-            want = [(a, b) for a, b, w in words(text)
-                    if w in terms and not any(a < y and b > x for _, x, y in spans)]
-            assert [(s["start"], s["end"]) for s in r["terms"]] == want
-    with pytest.raises(ValueError):
-        row_terms(docs, alpha=0.5)
-    assert row_terms(docs.limit(0)).count() == 0
-
-
-def test_query_generalises_the_only_name_beside_a_value(spark, tmp_path):
-    texts = ["the mail of Wolfeschlegel is w@x.org", "the mail of nobody", "the mail is of nobody"]
-    docs = spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)], SCHEMA)
-    docs.write.parquet(str(tmp_path / "documents.parquet"))
-    spans = {r["doc_id"]: r["spans"] for r in op10_pii(spark, str(tmp_path)).collect()}
-    assert spans == {0: "email:29:36,term:12:25", 1: "", 2: ""}

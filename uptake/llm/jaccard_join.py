@@ -526,8 +526,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     kept = classes.groupBy("root").agg(F.min_by(F.struct("key", "least"), order).alias("kept"))
     kept = kept.select(F.col("kept.key").alias("_key"), F.col("kept.least").alias("_id"))
     kept = stored(kept, "kept")
-    keyed = docs.withColumns({"_key": _key(F.col(text_col), seed), "_id": F.col(id_col)})
-    words = has_words(F.col(text_col))
-    same = (keyed["_key"] == kept["_key"]) & keyed["_id"].eqNullSafe(kept["_id"])
-    chosen = keyed.where(words).join(kept, same, "left_semi").dropDuplicates(["_key", "_id"])
-    return chosen.unionByName(keyed.where(~words)).select(docs.columns)
+    text, own = F.col(text_col), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    words = has_words(text)
+    keyed = docs.where(words).select(_key(text, seed).alias("key"), F.col(id_col).alias("id"), own)
+    same = (keyed["key"] == kept["_key"]) & keyed["id"].eqNullSafe(kept["_id"])
+    chosen = keyed.join(kept, same, "left_semi").dropDuplicates(["key", "id"]).select("row.*")
+    return chosen.unionByName(docs.where(~words))

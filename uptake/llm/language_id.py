@@ -16,6 +16,7 @@ from uptake.llm.language_crf import Model, Words, split_words, train
 
 SAMPLE_DOCUMENTS = 600  # expected; the fit is on the driver
 MOST_SAMPLE_CHARACTERS = 20_000  # of one document of the sample
+SLICE_BYTES = 1 << 20  # of text that is labelled at once
 FOLDS, HELD_OUT_FOLD = 5, 0
 UNDETERMINED = "und"
 
@@ -77,42 +78,80 @@ def _segments(words: Words, offsets: np.ndarray, lang: np.ndarray) -> pa.Array:
     return pa.array(out, pa.list_(_SEGMENT))
 
 
-def _predict(model: Model, segments: bool, schema: T.StructType, kept: list[str]) -> Callable:
+def _labelled(model: Model, text: pa.Array, letters: np.ndarray, segments: bool = False) -> list[pa.Array]:
+    """Language, score and confidence of texts that each end in a line feed; with ``segments``
+    also their runs of words of one language."""
+    data, offsets = text_bytes(text)
+    words = split_words(data, offsets)
+    found = model.label(words)
+    count = np.diff(words.first)
+
+    def means(values: np.ndarray) -> np.ndarray:
+        sums = np.vstack([np.zeros(values.shape[1]), np.cumsum(values, axis=0)])[words.first]
+        return np.diff(sums, axis=0) / np.maximum(count, 1)[:, None]
+
+    mean = means(found)
+    best = mean.argmax(1)
+    names = np.array([*model.labels, UNDETERMINED])
+    known = letters & (count > 0)
+    sure = means(found.max(1, keepdims=True))[:, 0]
+    numbers = (mean[np.arange(len(best)), best], sure)
+    out = [pa.array(names[np.where(known, best, -1)].tolist(), pa.string())]
+    out += [pa.array(np.where(known, np.clip(n, 0, 1), 0.0)) for n in numbers]
+    return out + ([_segments(words, offsets, names[found.argmax(1)])] if segments else [])
+
+
+def _predict(model: Model, segments: bool, schema: T.StructType) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
-            data, offsets = text_bytes(batch.column("text"))
-            words = split_words(data, offsets)
-            found = model.label(words)
-            sums = np.vstack([np.zeros(found.shape[1]), np.cumsum(found, axis=0)])[words.first]
-            total, count = np.diff(sums, axis=0), np.diff(words.first)
-            best = total.argmax(1)
-            score = total[np.arange(len(best)), best] / np.maximum(count, 1)
-            names = np.array([*model.labels, UNDETERMINED])
+        for batch in text_slices(batches, size=SLICE_BYTES):
             letters = batch.column("letters").to_numpy(zero_copy_only=False).astype(bool)
-            known = letters & (count > 0)
-            columns = [
-                *[batch.column(c) for c in kept],
-                pa.array(names[np.where(known, best, -1)].tolist(), pa.string()),
-                pa.array(np.where(known, np.clip(score, 0, 1), 0.0)),
-            ]
-            if segments:
-                columns.append(_segments(words, offsets, names[found.argmax(1)]))
-            yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+            columns = _labelled(model, batch.column("text"), letters, segments)
+            del columns[2]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], schema.fieldNames())
 
     return rows
 
 
+def _line(text: Column) -> Column:
+    """A text with letters, or an empty one, and a line feed."""
+    return F.concat(F.coalesce(F.when(has_letters(text), text), F.lit("")), F.lit("\n"))
+
+
+def language_of(text: Column, model: Model) -> Column:
+    """A structure of ``lang_pred``, ``score`` and ``confidence``, the mean over the words of the
+    probability of the likeliest language of each. Only the text goes to Python.
+
+    ``lang_pred`` and ``score`` are as in ``identify``; the confidence of ``und`` is 0.
+    """
+    kind = "lang_pred string, score double, confidence double"
+    names = ["lang_pred", "score", "confidence"]
+    if not model.labels:
+        return F.struct(F.lit(UNDETERMINED).alias(names[0]), *[F.lit(0.0).alias(n) for n in names[1:]])
+
+    def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            batch = pa.RecordBatch.from_arrays([texts], ["text"])
+            slices = []
+            for part in text_slices(iter([batch]), size=SLICE_BYTES):
+                lengths = np.diff(text_bytes(part.column("text"))[1])
+                columns = _labelled(model, part.column("text"), lengths > 1)
+                slices.append(pa.StructArray.from_arrays(columns, names))
+            empty = pa.array([], pa.struct([(names[0], pa.string()), *[(n, pa.float64()) for n in names[1:]]]))
+            yield pa.concat_arrays(slices or [empty])
+
+    label.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(label, kind)(_line(text))
+
+
 def identify(
     docs: DataFrame,
     model: Model,
     id_col: str = "doc_id",
     text_col: str = "text",
     segments: bool = False,
-    carry: bool = False,
 ) -> DataFrame:
     """``id``, ``lang_pred`` and ``score`` of every row; with ``segments`` also the runs of words
-    of one language, as byte ranges of the text; with ``carry`` also ``row``, a structure with
-    all columns of the row.
+    of one language, as byte ranges of the text.
 
     The score is the mean probability of the predicted language over the words; ties go to the
     first language in order. A null text, one without letters, and any text if nothing was
@@ -120,16 +159,11 @@ def identify(
     are each labelled. Only the text column is an input of a prediction.
     """
     text = F.col(text_col)
-    letters = has_letters(text)
     rows = docs.select(
-        F.col(id_col).alias("id"),
-        letters.alias("letters"),
-        F.concat(F.coalesce(F.when(letters, text), F.lit("")), F.lit("\n")).alias("text"),
-        *([F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")] if carry else []),
+        F.col(id_col).alias("id"), has_letters(text).alias("letters"), _line(text).alias("text")
     )
-    kept = ["id", "row"] if carry else ["id"]
     fields = [
-        *rows.select(*kept).schema.fields,
+        rows.schema["id"],
         T.StructField("lang_pred", T.StringType()),
         T.StructField("score", T.DoubleType()),
     ]
@@ -139,8 +173,8 @@ def identify(
     schema = T.StructType(fields)
     if not model.labels:
         undetermined = rows.select(
-            *kept, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score")
+            "id", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score")
         )
         none = F.array().cast(fields[-1].dataType).alias("segments")
         return undetermined.select("*", none) if segments else undetermined
-    return rows.mapInArrow(_predict(model, segments, schema, kept), schema)
+    return rows.mapInArrow(_predict(model, segments, schema), schema)

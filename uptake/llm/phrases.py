@@ -31,7 +31,7 @@ SHARDS = 4
 LEAST_COUNT = 100
 MOST_WORDS = 5
 NO_LANGUAGE = "und"
-WINDOW_BYTES = 4 << 20  # of text that is split into words at once
+WINDOW_BYTES = 2 << 20  # of text that is split into words at once
 MOST_BITS = 1 << 28  # of a bitmap, 32 MB
 PAIRS_PER_BIT = 24  # word occurrences; far fewer than the threshold share a hash by chance
 PAIR_BLOCK = 1 << 16
@@ -330,7 +330,8 @@ def count_phrases(
         raw = shard.mapInArrow(
             _scan(step < shards, filters, most_words), "lang string, k int, phrase string, n bigint"
         )
-        counts = raw.groupBy(key).agg(F.sum("n").alias("n"))
+        # Stored, as the words and the longer phrases each take theirs: texts are scanned once.
+        counts = stored(raw.groupBy(key).agg(F.sum("n").alias("n")), "shard-counts")
         counts = _active(counts, state, step, shards).withColumn("since", F.lit(None).cast("int"))
         if state is not None:
             counts = state.unionByName(counts).groupBy(key).agg(

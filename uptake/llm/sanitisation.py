@@ -1,24 +1,24 @@
 """Personal data: fixed patterns, and terms that give away a protected value.
 
 The base patterns find e-mail and IP addresses, card and phone numbers. Their values are the
-protected entities. A corpus-wide co-occurrence then estimates what neighbouring words reveal:
-the pointwise mutual information of a word t and an entity e is log(n(e,t) N / (n(e) n(t))) over
-rows, the information of the entity itself is log(N / n(e)). Words for which the first reaches
-1 / alpha of the second disclose the entity; with alpha = 1 these are words that never occur
-without it. Found values and disclosing words are generalised to their kind.
-
-``row_terms`` counts n(e,t) over whole rows and judges every value, also one of a single text;
-the registered query and the pipeline use it. ``disclosing_terms`` judges only words seen close
-to the entity in several different texts.
-
-Counts cover all rows. Words are prefiltered by bitmaps before they are shuffled, and counted
-per task before that, so frequent words and copies cost one row a task. A word can disclose an
-entity only if it is in at most n(e)^(1/alpha) N^(1 - 1/alpha) rows, so only such words meet the
-entities of their rows; entities of one text alone are judged alike, as one.
+protected entities. A corpus-wide co-occurrence then estimates what other words reveal of them: the
+pointwise mutual information of a word t and an entity e is log(n(e,t) N / (n(e) n(t))) over rows,
+the information of the entity itself is log(N / n(e)). A word discloses an entity if the first
+reaches 1 / alpha of the second, and if that is more than chance: a bound on the probability that
+so many different texts of the entity hold an independent word of the same frequency, times the
+number of words and entities of the corpus, is at most ``CHANCE``. A word seen with a value in one
+text only is never more than chance, as every text has words of its own. Found values, and
+disclosing words in texts that hold the entity, are generalised to their kind.
+
+Counts cover all rows. Words are counted per task before they are shuffled, so frequent words and
+copies cost one row a task. Only entities in enough texts for a significant pair, and words in at
+most n(e)^(1/alpha) N^(1 - 1/alpha) rows, meet; entities that are in the same texts have the same
+counts with every word and are judged as one.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterator, Sequence
 
@@ -36,10 +36,8 @@ from uptake.llm.language_crf import Words, split_words
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-NEIGHBOURS = 10  # words on either side of a value
-LEAST_TEXTS = 3
-ALPHA = 1.0
-ROW_ALPHA = 1.1  # of ``row_terms``
+ALPHA = 1.1
+CHANCE = 0.01  # expected number of pairs that pass by chance, at most
 HOT_SHARE = 1 / 256  # words in a larger share of the rows are dropped before a shuffle
 MOST_BITS = 1 << 28
 BITS_PER_TERM = 64
@@ -119,55 +117,6 @@ def _free_words(words: Words, taken: Sequence[tuple[int, int]]) -> np.ndarray:
     return free
 
 
-def _mentions(neighbours: int) -> Callable:
-    """Arrow batches of (key, text) to rows (key, entity, term, rows)."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
-            keys, entities, terms = [], [], []
-            for key, text in zip(*(batch.column(c).to_pylist() for c in ("key", "text")), strict=True):
-                spans = base_spans(text)
-                if not spans:
-                    continue
-                words = split_words(*text_bytes(pa.array([text + "\n"])))
-                ranges = [tuple(_byte_places(text, s[1:])) for s in spans]
-                free = _free_words(words, ranges)
-                own = set()
-                for (kind, a, b), (left, right) in zip(spans, ranges, strict=True):
-                    before = np.flatnonzero(free[: np.searchsorted(words.starts, left)])[-neighbours:]
-                    after = np.searchsorted(words.starts, right)
-                    near = np.r_[before, after + np.flatnonzero(free[after:])[:neighbours]]
-                    value = entity(kind, text[a:b])
-                    own |= {(value, t) for t in words.hashes[near].view(np.int64).tolist()}
-                for value, term in own:
-                    keys.append(key)
-                    entities.append(value)
-                    terms.append(term)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.string()), pa.array(entities, pa.int64()), pa.array(terms, pa.int64())],
-                names=["key", "entity", "term"],
-            )
-
-    return rows
-
-
-def _term_rows(bitmap: np.ndarray) -> Callable:
-    """In how many rows of a slice each word of the bitmap occurs."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
-            words = split_words(*text_bytes(batch.column("text")))
-            at = np.flatnonzero(bits_set(bitmap, words.hashes))
-            text = np.searchsorted(words.first, at, "right")
-            pairs = np.unique(np.stack([words.hashes[at], text.astype(np.uint64)]), axis=1)[0]
-            terms, count = np.unique(pairs, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(terms.view(np.int64)), pa.array(count.astype(np.int64))], names=["term", "rows"]
-            )
-
-    return rows
-
-
 def _occurrences(bitmap: np.ndarray, upper: np.ndarray) -> Callable:
     """Code-point ranges of the words of both bitmaps, that of the hashes and that of their upper
     bits, that are no part of a value."""
@@ -206,47 +155,6 @@ def _texts(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(text_key(text).alias("key"), text.alias("text"))
 
 
-def disclosing_terms(
-    docs: DataFrame,
-    text_col: str = "text",
-    alpha: float = ALPHA,
-    least_texts: int = LEAST_TEXTS,
-    neighbours: int = NEIGHBOURS,
-) -> DataFrame:
-    """The words, as hashes, that disclose an entity of the corpus: a table with ``term``.
-
-    ``alpha`` is at least 1; a larger one finds more words. ``least_texts`` different texts must
-    have the word next to the entity.
-    """
-    if alpha < 1:
-        raise ValueError("alpha is 1 or more")
-    texts = _texts(docs, text_col)
-    with_values = texts.where(F.col("text").rlike(MAY_HAVE_VALUES))
-    mentions = with_values.mapInArrow(_mentions(neighbours), "key string, entity long, term long")
-    by_text = mentions.groupBy("entity", "term", "key").agg(F.count(F.lit(1)).alias("rows"))
-    pairs = (
-        by_text.groupBy("entity", "term")
-        .agg(F.sum("rows").alias("together"), F.count(F.lit(1)).alias("texts"))
-        .where(F.col("texts") >= least_texts)
-    )
-    pairs = stored(pairs, "co-occurrence")
-    lines = texts.select(F.concat("text", F.lit("\n")).alias("text"))
-    rows = lines.mapInArrow(_term_rows(bitmap_of(pairs, "term")), "term long, rows long")
-    terms = rows.groupBy("term").agg(F.sum("rows").alias("rows"))
-    known = pairs.join(terms, "term")
-    if alpha > 1:
-        values = with_values.mapInArrow(_values, "entity long, rows long")
-        entities = values.groupBy("entity").agg(F.sum("rows").alias("entity_rows"))
-        total = docs.count()
-        reached = F.col("together") / F.col("rows") >= F.pow(
-            F.col("entity_rows") / total, F.lit(1 - 1 / alpha)
-        )
-        known = known.join(entities, "entity").where(reached)
-    else:
-        known = known.where(F.col("together") >= F.col("rows"))
-    return stored(known.select("term").distinct(), "disclosing-terms")
-
-
 def _row_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The different entities of each text."""
     for batch in text_slices(batches):
@@ -302,64 +210,65 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def row_terms(docs: DataFrame, text_col: str = "text", alpha: float = ROW_ALPHA) -> DataFrame:
-    """The words, as hashes, that disclose an entity of the corpus: a table with ``term``.
+def chance(texts: Column, entity_texts: Column, term_rows: Column, total_texts: int) -> Column:
+    """The logarithm of a bound on the probability that ``texts`` or more of the texts of an
+    independent word, at most ``term_rows``, are among those of the entity: (n choose x) p ** x
+    with (n choose x) <= (e n / x) ** x."""
+    return texts * (F.log(entity_texts / total_texts) + F.log(term_rows / texts) + 1)
 
-    As ``disclosing_terms``, but n(e,t) counts all rows that have both, wherever the word stands,
-    and every entity is judged, however few texts it is in.
-    """
+
+def disclosing_terms(docs: DataFrame, text_col: str = "text", alpha: float = ALPHA) -> DataFrame:
+    """The words, as hashes, that disclose an entity of their text: ``key`` (of the text) and
+    ``term``, each pair once. ``alpha`` is at least 1; a larger one finds more words."""
     if alpha < 1:
         raise ValueError("alpha is 1 or more")
     texts = _texts(docs, text_col)
     with_values = texts.where(F.col("text").rlike(MAY_HAVE_VALUES))
-    total = max(1, docs.count())
+    total, total_texts = docs.count(), max(1, texts.select("key").distinct().count())
     values = with_values.mapInArrow(_row_values, "key string, entity long")
     values = stored(values.groupBy("key", "entity").agg(F.count(F.lit(1)).alias("rows")), "row-values")
+    # Entities with the same set of texts: the first stands for all.
+    sums = [F.sum(F.xxhash64(F.lit(i), "key").cast("decimal(38,0)")).alias(f"s{i}") for i in (1, 2)]
     entities = values.groupBy("entity").agg(
-        F.sum("rows").alias("entity_rows"), F.count(F.lit(1)).alias("texts")
+        F.sum("rows").alias("entity_rows"), F.count(F.lit(1)).alias("texts"), *sums
     )
-    # Entities of one text alone have the same counts with every word: the first stands for all.
-    known = values.join(entities, "entity")
-    alone = known.where("texts = 1").groupBy("key", "rows", "entity_rows").agg(F.min("entity").alias("entity"))
-    columns = ["key", "entity", "rows", "entity_rows"]
-    known = known.where("texts > 1").select(columns).unionByName(alone.select(columns))
-    share = F.pow(F.col("entity_rows") / total, F.lit(1 - 1 / alpha))
-    known = known.withColumn("least", share)
-    known = stored(known.withColumn("most", F.col("entity_rows") / share + 1e-6), "row-entities")
-    most = known.agg(F.max("most")).first()[0] or 0.0
+    entities = entities.groupBy("s1", "s2", "entity_rows", "texts").agg(
+        F.min("entity").alias("entity"), F.count(F.lit(1)).alias("same")
+    )
+    entities = stored(entities.drop("s1", "s2"), "entities")
 
     lines = texts.select(F.concat("text", F.lit("\n")).alias("text"))
     counts = lines.mapInArrow(_word_rows, "term long, rows long").groupBy("term")
     counts = stored(counts.agg(F.sum("rows").alias("term_rows")), "word-rows")
+    tests = counts.count() * (entities.agg(F.sum("same")).first()[0] or 0)
+    limit = math.log(CHANCE / max(1, tests))
+    share = F.pow(F.col("entity_rows") / max(1, total), F.lit(1 - 1 / alpha))
+    able = chance(F.col("texts"), F.col("texts"), F.col("texts"), total_texts) <= limit
+    judged = entities.where(able).withColumn("least", share)
+    known = values.join(judged, "entity").select(
+        "key", "entity", "rows", "least", F.col("texts").alias("entity_texts"),
+        (F.col("entity_rows") / share + 1e-6).alias("most"),
+    )
+    known = stored(known, "row-entities")
+    most = known.agg(F.max("most")).first()[0] or 0.0
+
     hot = counts.where(F.col("term_rows") > max(most, HOT_SHARE * total)).select("term").collect()
-    words = with_values.mapInArrow(
+    of_interest = known.select("key").distinct()
+    words = with_values.join(of_interest, "key", "left_semi").mapInArrow(
         _row_words(np.array([r["term"] for r in hot], np.int64)), "key string, term long"
     )
     rare = words.join(counts.where(F.col("term_rows") <= most), "term").distinct()
-    together = (
-        rare.join(known, "key")
-        .where(F.col("term_rows") <= F.col("most"))
-        .groupBy("entity", "term")
-        .agg(
-            F.sum("rows").alias("together"), F.max("term_rows").alias("term_rows"),
-            F.max("least").alias("least"),
-        )
-    )
+    pairs = stored(rare.join(known, "key").where(F.col("term_rows") <= F.col("most")), "row-pairs")
+    together = pairs.groupBy("entity", "term").agg(
+        F.sum("rows").alias("together"), F.count(F.lit(1)).alias("texts"),
+        F.max("term_rows").alias("term_rows"), F.max("least").alias("least"),
+        F.max("entity_texts").alias("entity_texts"),
+    )
     reached = F.col("together") / F.col("term_rows") >= F.col("least")
-    return stored(together.where(reached).select("term").distinct(), "disclosing-terms")
-
-
-def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many rows of a slice each entity occurs."""
-    for batch in text_slices(batches):
-        found: dict[int, int] = {}
-        for text in batch.column("text").to_pylist():
-            for value in {entity(kind, text[a:b]) for kind, a, b in base_spans(text)}:
-                found[value] = found.get(value, 0) + 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())],
-            names=["entity", "rows"],
-        )
+    significant = chance(F.col("texts"), F.col("entity_texts"), F.col("term_rows"), total_texts) <= limit
+    disclosed = together.where(reached & significant).select("entity", "term")
+    found = pairs.join(disclosed, ["entity", "term"]).select("key", "term").distinct()
+    return stored(found, "disclosing-terms")
 
 
 _SPAN = T.StructType(
@@ -383,16 +292,18 @@ def _base_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _term_spans(docs: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
     """``key`` of a text and the places of its disclosing words."""
-    lines = _texts(docs, text_col).select("key", F.concat("text", F.lit("\n")).alias("text"))
+    texts = _texts(docs, text_col).where(F.col("text").rlike(MAY_HAVE_VALUES))
+    lines = texts.select("key", F.concat("text", F.lit("\n")).alias("text"))
     bits = min(MOST_BITS, max(BITMAP_BITS, power_of_two(BITS_PER_TERM * terms.count())))
     skipped = terms.select(F.shiftrightunsigned("term", UPPER).alias("upper"))
     found = lines.mapInArrow(
         _occurrences(bitmap_of(terms, "term", bits), bitmap_of(skipped, "upper", bits)),
         "key string, term long, start long, end long",
     )
-    spans = found.join(terms, "term", "left_semi").select("key", "start", "end").distinct()
+    spans = found.join(terms, ["key", "term"], "left_semi").select("key", "start", "end").distinct()
     span = F.struct(F.lit(TERM).alias("kind"), "start", "end")
-    return spans.groupBy("key").agg(F.array_sort(F.collect_list(span)).alias("terms"))
+    spans = spans.groupBy("key").agg(F.array_sort(F.collect_list(span)).alias("terms"))
+    return stored(spans, "term-spans")  # so a join with many copies of a text can be split
 
 
 def find_spans(
@@ -432,27 +343,28 @@ def generalised(text: str, spans: Sequence[Span]) -> str:
 def sanitise(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
     """All rows and columns, values and disclosing words of the text generalised to their kind.
 
-    A null text stays null.
+    A null text stays null. Other columns may have any names.
     """
-    marked = docs.withColumn("_key", text_key(F.coalesce(F.col(text_col), F.lit("")))).join(
-        _term_spans(docs, terms, text_col).withColumnsRenamed({"key": "_key", "terms": "_terms"}),
-        "_key",
-        "left",
-    )
-
-    columns = docs.columns
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            place = batch.schema.get_field_index(text_col)
-            texts = []
-            own = zip(batch.column(text_col).to_pylist(), batch.column("_terms").to_pylist(), strict=True)
-            for text, terms in own:
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    text = F.col(text_col)
+    keyed = docs.select(text_key(F.coalesce(text, F.lit(""))).alias("key"), text.alias("text"), row)
+    marked = keyed.join(_term_spans(docs, terms, text_col), "key", "left")
+
+    def clean(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, terms in batches:
+            out = []
+            for text, own in zip(texts.to_pylist(), terms.to_pylist(), strict=True):
                 if text is not None:
-                    found = [(s["kind"], s["start"], s["end"]) for s in terms or ()]
+                    found = [(s["kind"], s["start"], s["end"]) for s in own or ()]
                     text = generalised(text, base_spans(text) + found)
-                texts.append(text)
-            texts = pa.array(texts, batch.schema.field(place).type)
-            yield batch.set_column(place, batch.schema.field(place), texts).select(columns)
-
-    return marked.mapInArrow(rows, docs.schema)
+                out.append(text)
+            yield pa.array(out, pa.string())
+
+    clean.__annotations__ = {
+        "batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]
+    }
+    with_values = F.when(F.col("text").rlike(MAY_HAVE_VALUES), F.col("text"))
+    text = F.coalesce(F.arrow_udf(clean, "string")(with_values, F.col("terms")), F.col("text"))
+    return marked.select(
+        *[(text if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns]
+    )
