@@ -14,19 +14,18 @@ from pyspark.sql import functions as F
 from uptake.llm.common import read, shipped, stored
 from uptake.llm.decontamination import leaks
 from uptake.llm.jaccard_join import keep_one
-from uptake.llm.language_id import UNDETERMINED, fit, held_out, identify
+from uptake.llm.language_id import UNDETERMINED, fit, held_out, language_of
 from uptake.llm.packing import pack, tokenised_pieces
-from uptake.llm.sanitisation import row_terms, sanitise, text_key
+from uptake.llm.sanitisation import disclosing_terms, sanitise, text_key
 
-LEAST_LANGUAGE_SCORE = 0.35  # with less, no language stands out from chance
+LEAST_CONFIDENCE = 0.5  # mean over the words of the probability of their likeliest language
 
 
 @shipped
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which one language stands out; those without letters go as well."""
-    model = fit(docs.where(~held_out("doc_id")))
-    kept = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return identify(docs, model, carry=True).where(kept).select("row.*")
+    """Documents whose words have a language, one or several; those without letters go as well."""
+    found = language_of(F.col("text"), fit(docs.where(~held_out("doc_id"))))
+    return docs.where((found["lang_pred"] != UNDETERMINED) & (found["confidence"] >= LEAST_CONFIDENCE))
 
 
 @shipped
@@ -38,16 +37,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 @shipped
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item in them, in its words or re-parameterised."""
-    keyed = docs.withColumn("_text_key", text_key(F.coalesce("text", F.lit(""))))
-    leaky = leaks(keyed, read(spark, sf_dir, "benchmark"), id_col="_text_key", strict=False)
-    leaky = leaky.select(F.col("id").alias("_text_key")).distinct()
-    return keyed.join(leaky, "_text_key", "left_anti").select(docs.columns)
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    keyed = docs.select(text_key(F.coalesce("text", F.lit(""))).alias("key"), "text", row)
+    leaky = leaks(keyed, read(spark, sf_dir, "benchmark"), id_col="key", strict=False)
+    leaky = leaky.select(F.col("id").alias("key")).distinct()
+    return keyed.join(leaky, "key", "left_anti").select("row.*")
 
 
 @shipped
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data and words that disclose it generalised to their kind."""
-    clean = sanitise(docs, row_terms(docs))
+    clean = sanitise(docs, disclosing_terms(docs))
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
