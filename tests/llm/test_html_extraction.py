@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from html import unescape
 
+import pytest
 from pyspark.sql import types as T
 
 from uptake.llm import html_extraction
@@ -140,3 +142,43 @@ def test_near_copies_keep_their_article(spark):
     assert got[8] == ["something else that is long enough to be an article"]
     for i in (4, 5):
         assert got[i] == ["Welcome", *body, f"page {i}", "Imprint"]
+
+
+ARTICLE = [f"sentence {i} of an article that says something of its own" for i in range(8)]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="wrap no-sidebar">{}</div>', '<article class="post comments-open">{}</article>',
+        '<article class="post">{}</article>', '<div class="search-results">{}</div>',
+        '<div class="sidebar layout">{}</div>', '<noscript>{}</noscript>', '<object>{}</object>',
+        '<section class="related">{}</section>', '<div id="has-comments" class="header-image">{}</div>',
+    ],
+)
+def test_names_of_elements_lose_no_article(spark, page):
+    body = "".join(f"<p>{line}</p>" for line in ARTICLE)
+    notice = '<p class="notice-period">The notice period is a month.</p>'
+    menu = '<nav>Home</nav><div class="cookie-banner">We use cookies</div>'
+    html = f"<html><body>{menu}{page.format(body + notice)}<footer>End</footer></body></html>"
+    df = spark.createDataFrame([(1, "http://a.org/x", html)], "page_id long, url string, html string")
+    text = main_text(df).first()["text"]
+    assert text == "\n".join([*ARTICLE, "The notice period is a month."])
+
+
+def test_small_asides_by_name_still_go(spark):
+    body = "".join(f"<p>{line}</p>" for line in ARTICLE)
+    names = ["ad", "site-footer", "cookie-notice", "comments", "share-buttons", "nav_menu", "adBanner ad-slot"]
+    asides = "".join(f'<div class="{n}">Aside {n}</div>' for n in names)
+    html = f"<div>{asides}{body}{asides}</div>"
+    df = spark.createDataFrame([(1, "http://a.org/x", html)], "page_id long, url string, html string")
+    assert main_text(df).first()["text"] == "\n".join(ARTICLE)
+
+
+def test_long_urls_are_compared_in_time(spark):
+    long = "p" * 40_000
+    rows = [(i, f"http://a.org/{long}{i:03}", f"<p>shared</p><p>own {i}</p>") for i in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    start = time.perf_counter()
+    assert {r["id"]: r["text"] for r in main_text(df).collect()} == {i: f"own {i}" for i in range(6)}
+    assert time.perf_counter() - start < 60

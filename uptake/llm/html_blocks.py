@@ -20,8 +20,8 @@ CLOSED_BY_A_BLOCK = frozenset(("p", "dt", "dd", "li"))
 
 # What a page has around its article, by tag, role and the words of class and id.
 ASIDE_TAGS = frozenset(
-    """aside button dialog footer form head iframe menu nav noembed noframes noscript object
-    script select style svg template textarea title xmp""".split()
+    """aside button dialog footer form head iframe menu nav noembed noframes script select style svg
+    template textarea title xmp""".split()
 )
 ASIDE_ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu navigation search".split()
@@ -33,14 +33,30 @@ ASIDE_WORDS = frozenset(
     related replies respond search share sharing sidebar signup skip social sponsor sponsored
     subscribe toolbar widget widgets""".split()
 )
+COMMENT_WORDS = frozenset(("comment", "comments"))
 HEADER_WORDS = frozenset(("header", "masthead"))
 ARTICLE_TAGS = frozenset(("article", "main"))
+# A name such as no-sidebar or comments-open says something of the page around it.
+NOT_BEFORE = frozenset("has have is no not with without".split())
+NOT_AFTER = frozenset("closed disabled enabled image none off on open period results".split())
+MOST_OF_PAGE = 0.5  # of a page's text: an element with more is no aside, whatever its names
 
 _NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""[\s/]*([^\s=>/]+)(?:\s*=\s*(?:(["'])|([^\s>]*)))?""")
 _WORD = re.compile(r"[a-z]+")
 
 
+def _names(attributes: dict[str, str], words: frozenset[str]) -> bool:
+    """Whether a class or id has one of the words, other than after NOT_BEFORE or before
+    NOT_AFTER."""
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
+        parts = ["", *_WORD.findall(name), ""]
+        for before, word, after in zip(parts, parts[1:], parts[2:], strict=False):
+            if word in words and before not in NOT_BEFORE and after not in NOT_AFTER:
+                return True
+    return False
+
+
 class Block(NamedTuple):
     text: str
     aside: bool  # in a menu, header, footer, advert, form and the like
@@ -71,19 +87,21 @@ def _attributes(html: str, at: int, closed: set[str]) -> tuple[dict[str, str], i
 
 
 def _kind(tag: str, attributes: dict[str, str], in_article: bool) -> str | None:
-    """"aside", "article" or None for an element that changes nothing."""
+    """"aside" by tag or role, "named" for an aside by class or id, "article", or None for an
+    element that changes nothing."""
     if tag in ("html", "body"):
         return None
     if tag in ASIDE_TAGS:
         return "aside"
-    words = set(_WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
     role = attributes.get("role", "").lower().strip()
     if tag in ARTICLE_TAGS or role in ("main", "article"):
-        return "aside" if words & {"comment", "comments"} else "article"
-    if words & ASIDE_WORDS or role in ASIDE_ROLES or "hidden" in attributes:
-        return "aside"
-    if not in_article and (tag == "header" or words & HEADER_WORDS):
+        return "named" if _names(attributes, COMMENT_WORDS) else "article"
+    if role in ASIDE_ROLES or "hidden" in attributes:
         return "aside"
+    if _names(attributes, ASIDE_WORDS):
+        return "named"
+    if not in_article and (tag == "header" or _names(attributes, HEADER_WORDS)):
+        return "aside" if tag == "header" else "named"
     return None
 
 
@@ -91,9 +109,12 @@ def blocks(html: str) -> list[Block]:
     """The non-empty text blocks of a page in order, whatever the state of its markup.
 
     Character references are decoded and white space becomes one space. Comments, scripts and
-    styles are no text.
+    styles are no text. An element that is an aside by its names only, and holds most of the
+    text outside the other asides, is none, unless the page has an article elsewhere.
     """
-    out: list[Block] = []
+    out: list[tuple[str, bool, bool, tuple[int, ...]]] = []
+    named: list[int] = []  # the open asides by name
+    sizes: list[int] = []  # text in each aside by name
     held: list[str] = []
     open_parts: list[list] = []  # [tag, kind, elements of that tag open inside]
     asides = articles = 0
@@ -104,13 +125,17 @@ def blocks(html: str) -> list[Block]:
             text = " ".join(unescape("".join(held)).split())
             held.clear()
             if text:
-                out.append(Block(text, asides > 0, articles > 0))
+                out.append((text, asides > 0, articles > 0, tuple(named)))
+                for i in named if not asides else ():
+                    sizes[i] += len(text)
 
     def leave(n: int) -> None:
         nonlocal asides, articles
         for _, kind, _ in open_parts[n:]:
             asides -= kind == "aside"
             articles -= kind == "article"
+            if kind == "named":
+                named.pop()
         del open_parts[n:]
 
     at, size = 0, len(html)
@@ -167,7 +192,16 @@ def blocks(html: str) -> list[Block]:
             open_parts.append([tag, kind, 1])
             asides += kind == "aside"
             articles += kind == "article"
+            if kind == "named":
+                named.append(len(sizes))
+                sizes.append(0)
         elif open_parts and open_parts[-1][0] == tag:
             open_parts[-1][2] += 1
     flush()
-    return out
+    marked = any(article and not aside and not within for _, aside, article, within in out)
+    most = MOST_OF_PAGE * sum(len(text) for text, aside, _, _ in out if not aside)
+    small = [marked or size <= most for size in sizes]
+    return [
+        Block(text, aside or any(small[i] for i in within), article)
+        for text, aside, article, within in out
+    ]

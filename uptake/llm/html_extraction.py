@@ -16,6 +16,7 @@ order, so a host with any share of the pages is many tasks.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -30,6 +31,7 @@ from uptake.llm.html_blocks import Block, blocks
 
 TABLE_BITS = 1 << 28  # of one alignment table; larger ones are split
 TEASER = 0.5  # an article with less of the text outside menus and the like is a teaser
+ROWS = 256  # pages whose texts are put together at once
 COPY_TEXT = 0.9  # copies share that much of their text, or COPY_BOTH of text and lines
 COPY_BOTH = 0.75
 
@@ -109,15 +111,27 @@ def candidate_lines(page: Sequence[Block]) -> tuple[bool, list[tuple[int, str]]]
     return bool(article), [(i, b.text) for i, b in article or body]
 
 
-def kept_text(lines: Column, shared: Column, copy: Column) -> Column:
-    """The candidate lines without those shared with the nearest page, by line feeds.
+def kept_text(lines: str, places: Sequence[int], shared: Sequence[int] | None, copy: bool | None) -> str:
+    """The candidate lines, joined by line feeds, without those shared with the nearest page.
 
     A page that shares them all, or most of its text, is a copy, which tells nothing about its
     site, and keeps them.
     """
-    own = F.filter(lines, lambda b: ~F.coalesce(F.array_contains(shared, b["place"]), F.lit(False)))
-    stays = F.when(F.coalesce(copy, F.lit(False)) | (F.size(own) == 0), lines).otherwise(own)
-    return F.array_join(F.transform(stays, lambda b: b["text"]), "\n")
+    if copy or not shared or not places:
+        return lines
+    gone = set(shared)
+    own = [text for i, text in zip(places, lines.split("\n"), strict=True) if i not in gone]
+    return "\n".join(own) if own else lines
+
+
+def _kept_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ("lines", "places", "shared", "copy")
+    for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
+        rows = zip(*(batch.column(c).to_pylist() for c in names), strict=True)
+        texts = [kept_text(zlib.decompress(lines).decode(), *rest) for lines, *rest in rows]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("url"), pa.array(texts, pa.string())], ["id", "url", "text"]
+        )
 
 
 def _line_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,14 +235,17 @@ def _nearer(rows: DataFrame) -> DataFrame:
     def alike(side: str) -> Column:
         """Length of the common start of two paths; -1 without a page on that side."""
         other = F.col(side)["path"]
-        n = F.least(F.length("path"), F.length(other))
-        same = F.transform(
-            F.sequence(F.lit(0), n),
-            lambda i: F.when(
-                F.substring(F.col("path"), F.lit(1), i) == F.substring(other, F.lit(1), i), i
-            ).otherwise(-1),
-        )
-        return F.coalesce(F.array_max(same), F.lit(-1))
+        n = F.when(other.isNotNull(), F.least(F.length("path"), F.length(other)))
+
+        def longer(length: Column, step: Column) -> Column:
+            """A further step if the starts still agree: the length is found bit by bit."""
+            to = length + step
+            agree = F.substring(F.col("path"), F.lit(1), to) == F.substring(other, F.lit(1), to)
+            return F.when((to <= n) & agree, to).otherwise(length)
+
+        steps = F.array(*[F.lit(1 << i) for i in reversed(range(31))])
+        same = F.aggregate(steps, F.lit(0), longer)
+        return F.when(n.isNotNull(), same).otherwise(-1)
 
     nearest = F.when(alike("before") >= alike("after"), F.col("before")).otherwise(F.col("after"))
     return rows.select("key", F.coalesce(nearest, F.col("before"))["key"].alias("other"))
@@ -331,26 +348,31 @@ def main_text(
     lines = stored(lines, "page-lines")
     shared = _aligned(nearest_other_pages(lines), lines)
 
-    line = T.StructType([T.StructField("place", T.IntegerType()), T.StructField("text", T.StringType())])
     kept = ["key", "id", "url"]
     schema = T.StructType(
         [
             *rows.select(*kept).schema.fields,
-            T.StructField("lines", T.ArrayType(line)),
+            T.StructField("places", T.ArrayType(T.IntegerType())),
+            T.StructField("lines", T.BinaryType()),
         ]
     )
-    kind = pa.list_(pa.struct([("place", pa.int32()), ("text", pa.string())]))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "html"):
-            own = [
-                [{"place": i, "text": t} for i, t in candidate_lines(blocks(html))[1]]
-                for html in batch.column("html").to_pylist()
-            ]
+            places, lines = [], []
+            for html in batch.column("html").to_pylist():
+                own = candidate_lines(blocks(html))[1]
+                places.append([i for i, _ in own])
+                # Texts go through one shuffle only, which is made smaller by this.
+                lines.append(zlib.compress("\n".join(t for _, t in own).encode(), 3))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(own, kind)], names=[*kept, "lines"]
-            )
+                [
+                    *(batch.column(c) for c in kept),
+                    pa.array(places, pa.list_(pa.int32())), pa.array(lines, pa.binary()),
+                ],
+                names=schema.fieldNames(),
+            )
 
     parsed = rows.mapInArrow(parse, schema)
-    text = kept_text(F.col("lines"), F.col("shared"), F.col("copy"))
-    return parsed.join(shared, "key", "left").select("id", "url", text.alias("text"))
+    out = T.StructType([*schema.fields[1:3], T.StructField("text", T.StringType())])
+    return parsed.join(shared, "key", "left").mapInArrow(_kept_texts, out)
