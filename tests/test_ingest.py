@@ -230,3 +230,10 @@ def test_chunks_of_the_sheet_follow_its_rows(spark, sf_dir):
 def test_other_formats_are_rejected(spark):
     with pytest.raises(ValueError):
         read_sheet(spark, "/nowhere/book.xlsx")
+
+
+def test_a_long_record_fails_before_its_cells_are_gathered(spark):
+    plan = I.fold_rows(spark.createDataFrame([("f", 1, 1, "k", "v")], "source_file string, "
+        "source_block int, source_row int, status_division string, v string"), "status_division",
+        most_rows=1)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("collect_list") < plan.index("raise_error")  # plans list the last step first

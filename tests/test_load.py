@@ -12,7 +12,9 @@ from uptake.operators.extract import campaign_summary_extract
 from uptake.plans import lens
 from uptake.plans.queries import RUN_DATE
 from uptake.sources import jdbc
-from uptake.sources.files import read_csv, read_table, scratch_path, write_csv
+from uptake.sources.files import (
+    put_in_place, read_csv, read_table, repair, scratch_path, write_csv,
+)
 from uptake.sources.schemas import EXTRACTS, SYNC_KEYS
 
 APRIL, MAY = date(2026, 4, 1), date(2026, 5, 1)
@@ -303,3 +305,16 @@ def test_scratch_is_shared_folder(spark):
     assert one != two
     if root:
         assert one.startswith(root)
+
+
+@pytest.mark.parametrize("reload", [False, True])
+def test_a_load_stopped_between_its_renames_is_repaired(spark, tmp_path, reload):
+    path = tmp_path / "table"
+    spark.range(3).write.parquet(str(path))
+    path.rename(f"{path}-replaced-{'0' * 31}f")  # the second rename never came
+    if reload:
+        spark.range(5).write.parquet(str(tmp_path / "staged"))
+        put_in_place(spark, str(tmp_path / "staged"), str(path))
+    assert read_table(spark, str(path)).count() == (5 if reload else 3)
+    assert [p.name for p in tmp_path.iterdir()] == ["table"]
+    assert not repair(spark, str(path)) and not repair(spark, str(tmp_path / "none"))

@@ -90,6 +90,12 @@ def fold_rows(
     )
     # Rows above the first key are records of their own.
     rows = rows.withColumn("_record", F.coalesce("_record", "_place"))
+    # Sizes first: a record that is too long fails before its cells are gathered.
+    key_of = [position.file, "_record"]
+    too_long = F.raise_error(F.lit(f"a record has more than {most_rows} rows")).cast("boolean")
+    sizes = rows.groupBy(*key_of).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = sizes.where(F.when(F.col("_rows") <= most_rows, F.lit(True)).otherwise(too_long))
+    rows = rows.join(sizes, key_of)
 
     def first(c: str) -> Column:
         return F.min_by(c, "_place").alias(c)
@@ -102,14 +108,9 @@ def fold_rows(
 
     single = {key, *skip, position.chunk, position.row}
     columns = [c for c in df.columns if c != position.file]
-    too_long = F.raise_error(F.lit(f"a record has more than {most_rows} rows")).cast("boolean")
     return (
-        rows.groupBy(position.file, "_record")
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            *[first(c) if c in single else joined(c) for c in columns],
-        )
-        .where(F.when(F.col("_rows") <= most_rows, F.lit(True)).otherwise(too_long))
+        rows.groupBy(*key_of)
+        .agg(*[first(c) if c in single else joined(c) for c in columns])
         .select(*df.columns)
     )
 

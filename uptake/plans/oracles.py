@@ -507,6 +507,47 @@ _BODIES = {
               INTO NAME column_name VALUE max_length)""",
     "catalog_ingest": INGESTED,
     "catalog_reload": INGESTED,
+    "taker_last_contact": """SELECT t.msisdn, t.offer_id, t.take_date, w.start_date AS contact_date,
+        w.contact_offer, CAST(t.take_date - w.start_date AS INTEGER) AS days_since
+        FROM taker t ASOF LEFT JOIN (
+            SELECT msisdn_wl, start_date, MAX(offer_id) AS contact_offer FROM wl GROUP BY ALL
+        ) w ON t.msisdn = w.msisdn_wl AND t.take_date >= w.start_date""",
+    "takers_in_campaign": """SELECT c.offer_id, c.campaign_id, c.start_date, c.end_date,
+        c.communication_channel, COUNT(*) AS takers, COUNT(DISTINCT t.msisdn) AS uni_taker,
+        CAST(SUM(t.trx) AS BIGINT) AS trx
+        FROM taker t JOIN campaign c
+            ON t.offer_id = c.offer_id AND t.take_date BETWEEN c.start_date AND c.end_date
+        GROUP BY ALL""",
+    "reach_by_period": """WITH hashed AS (
+            SELECT start_date, md5(CAST(msisdn_wl AS VARCHAR)) AS h FROM wl
+        ), ranked AS (
+            SELECT unnest(['day', 'month', 'all']) AS level,
+                unnest([start_date, CAST(date_trunc('month', start_date) AS DATE), NULL]) AS period,
+                substr(h, 1, 3) AS register, CAST('0x' || substr(h, 4, 13) AS BIGINT) AS rest
+            FROM hashed
+        ), registers AS (
+            SELECT level, period, register,
+                MAX(CASE WHEN rest > 0 THEN 53 - length(bin(rest)) ELSE 53 END) AS rank
+            FROM ranked GROUP BY ALL
+        ), sums AS (
+            SELECT level, period, COUNT(*) AS met,
+                0.7213::DOUBLE / (1 + 1.079::DOUBLE / 4096) * 4096 * 4096
+                    / (4096 - COUNT(*) + SUM(pow(2.0::DOUBLE, -rank))) AS raw
+            FROM registers GROUP BY ALL
+        )
+        SELECT level, period, CAST(round(CASE WHEN raw <= 10240 AND met < 4096
+            THEN 4096::DOUBLE * ln(4096::DOUBLE / (4096 - met)) ELSE raw END) AS BIGINT) AS reach
+        FROM sums""",
+    "whitelist_changes": """WITH counted AS (
+            SELECT strmonth, offer_id, msisdn_wl, msisdn_delivered,
+                SUM(CASE WHEN d_date = last_day(strmonth) THEN 1 ELSE -1 END) AS n
+            FROM wl_offer GROUP BY ALL HAVING n <> 0
+        )
+        SELECT strmonth, offer_id, msisdn_wl, msisdn_delivered,
+            CASE WHEN n > 0 THEN 'added' ELSE 'removed' END AS change,
+            CAST(abs(n) AS BIGINT) AS copies,
+            MAX(n) OVER k * MIN(n) OVER k < 0 AS updated
+        FROM counted WINDOW k AS (PARTITION BY strmonth, offer_id)""",
 }
 
 ORACLES = {name: with_ctes(body) for name, body in _BODIES.items()}

@@ -14,12 +14,15 @@ from uptake.functions.dates import with_run_dates
 from uptake.operators import (
     border,
     catalog,
+    changes,
     extract,
     ingest,
     load,
+    reach,
     snapshots,
     summary,
     taker,
+    temporal,
     top_level,
     tur,
     whitelist,
@@ -699,3 +702,63 @@ def catalog_reload(spark, d):
     ingest.recreate_table(table, path)
     ingest.recreate_table(spark.read.parquet(path), path)
     return spark.read.parquet(path)
+
+
+# Time, sketches and changes
+
+
+@query
+def taker_last_contact(spark, d):
+    """Every taker with the last contact of the subscriber on or before the day of taking."""
+    takers = lens.taker(spark, d).select("msisdn", "offer_id", "take_date")
+    contacts = lens.whitelist(spark, d).select(
+        F.col("msisdn_wl").alias("msisdn"), "start_date", F.col("start_date").alias("contact_date"),
+        F.col("offer_id").alias("contact_offer"),
+    )
+    found = temporal.as_of_join(
+        takers, contacts, ["msisdn"], "take_date", "start_date", ["contact_date", "contact_offer"]
+    )
+    return found.withColumn("days_since", F.datediff("take_date", "contact_date"))
+
+
+@query
+def takers_in_campaign(spark, d):
+    """Takers whose day lies in a campaign of the offer, per campaign."""
+    campaigns = lens.campaigns(spark, d).select(
+        "offer_id", "campaign_id", "start_date", "end_date", "communication_channel"
+    )
+    takers = lens.taker(spark, d).select("offer_id", "msisdn", "take_date", "trx")
+    inside = temporal.interval_join(
+        takers, campaigns, ["offer_id"], "take_date", "start_date", "end_date"
+    )
+    return inside.groupBy(campaigns.columns).agg(
+        F.count(F.lit(1)).alias("takers"), F.countDistinct("msisdn").alias("uni_taker"),
+        F.sum("trx").alias("trx"),
+    )
+
+
+@query
+def reach_by_period(spark, d):
+    """Reach of each day, month and all time, merged from stored sketches of the days."""
+    contacts = lens.whitelist(spark, d).withColumnRenamed("start_date", "day")
+    days = reach.reach_sketch(contacts, ["day"], "msisdn_wl")
+    path = scratch_path(spark, "reach")
+    days.write.parquet(path)
+    days = spark.read.parquet(path)
+    periods = {"day": F.col("day"), "month": F.trunc("day", "month"), "all": F.lit(None).cast("date")}
+    levels = F.array(
+        *[F.struct(F.lit(n).alias("level"), p.alias("period")) for n, p in periods.items()]
+    )
+    periods = days.select(F.inline(levels), "register", "rank")
+    merged = reach.merge_sketches(periods, ["level", "period"])
+    return reach.reach_estimate(merged, ["level", "period"])
+
+
+@query
+def whitelist_changes(spark, d):
+    """Rows per offer that differ between the two extracts of each month."""
+    rows = extracts(spark, d).wl_offer
+    columns = ["strmonth", "offer_id", "msisdn_wl", "msisdn_delivered"]
+    newest = F.col("d_date") == F.last_day("strmonth")
+    old, new = rows.where(~newest).select(columns), rows.where(newest).select(columns)
+    return changes.snapshot_changes(old, new, ["strmonth", "offer_id"])

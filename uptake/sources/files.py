@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     """A catalog table by name, or a Parquet directory by path."""
     if "/" in name_or_path:
+        repair(spark, name_or_path)
         return spark.read.parquet(name_or_path)
     return spark.table(name_or_path)
 
@@ -50,12 +51,29 @@ def drop_scratch(spark: SparkSession) -> None:
     files.delete(location, True)
 
 
+def repair(spark: SparkSession, path: str) -> bool:
+    """Bring back the table at ``path`` if a load was stopped between its two renames.
+
+    Then nothing is at ``path`` and the old directory stands aside, complete. Readers by path and
+    the next load call this; it does nothing where the table exists. True if it did something.
+    """
+    files, target = _file_system(spark, path)
+    if files.exists(target):
+        return False
+    aside = files.globStatus(
+        spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}-replaced-{'[0-9a-f]' * 32}")
+    )
+    old = sorted((s.getModificationTime(), s.getPath().toString()) for s in aside or ())
+    return bool(old) and files.rename(spark._jvm.org.apache.hadoop.fs.Path(old[-1][1]), target)
+
+
 def put_in_place(spark: SparkSession, staged: str, path: str) -> None:
     """Make a complete staged directory the table at ``path``.
 
     The old directory is moved aside and removed last, so that at every moment one complete
-    copy exists.
+    copy exists; ``repair`` finds it if this is stopped half-way.
     """
+    repair(spark, path)
     files, new = _file_system(spark, staged)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}-replaced-{uuid.uuid4().hex}")
