@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from uptake.llm.common import bitmaps_of, bits_set, power_of_two, stored, text_bytes
 from uptake.llm.shingles import mix, powers
 
-SHARDS = 4
+SHARDS = 3
 LEAST_COUNT = 100
 MOST_WORDS = 5
 NO_LANGUAGE = "und"
@@ -402,7 +402,7 @@ def collocations(phrases: DataFrame, totals: DataFrame, most: int) -> DataFrame:
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     return (
         best.select("lang", "phrase", "a", "best.l", "best.r", "n", "best.score")
-        .withColumn("rank", F.row_number().over(order).cast("long"))
+        .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= most)
-        .select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+        .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
     )
