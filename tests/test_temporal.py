@@ -10,7 +10,7 @@ import pytest
 
 from uptake.operators.changes import apply_changes, snapshot_changes
 from uptake.operators.reach import merge_sketches, reach_estimate, reach_sketch
-from uptake.operators.temporal import as_of_join, interval_join
+from uptake.operators.temporal import as_of_join, day_sessions, interval_join
 
 DAY = date(2024, 1, 1)
 
@@ -114,3 +114,14 @@ def test_changes_count_copies_and_give_the_new_snapshot(spark):
     }
     assert Counter(map(tuple, apply_changes(a, changes).collect())) == Counter(new)
     assert snapshot_changes(a, a, ["k"]).count() == snapshot_changes(a.limit(0), a.limit(0), ["k"]).count() == 0
+
+
+def test_sessions_end_at_the_gap(spark):
+    days = [0, 0, 6, 13, 21, 28, 36, None]
+    rows = [("a", day(n)) for n in days] + [(None, day(1)), (None, day(2)), ("b", day(5))]
+    got = day_sessions(spark.createDataFrame(rows, "k string, d date"), ["k"], "d", 7)
+    assert {tuple(r) for r in got.collect()} == {
+        ("a", day(0), day(13), 3, 4), ("a", day(21), day(28), 2, 2), ("a", day(36), day(36), 1, 1),
+        (None, day(1), day(2), 2, 2), ("b", day(5), day(5), 1, 1),
+    }
+    assert day_sessions(got.selectExpr("k", "first_day AS d").limit(0), ["k"], "d", 7).count() == 0

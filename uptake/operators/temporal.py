@@ -91,3 +91,26 @@ def interval_join(
         .where(F.col(day).between(F.col(start), F.col(end)))
         .drop("_level", "_bucket")
     )
+
+
+def day_sessions(df: DataFrame, by: Sequence[str], day: str, gap_days: int) -> DataFrame:
+    """Runs of rows per key of which no two neighbours are more than ``gap_days`` days apart: ``by``,
+    ``first_day``, ``last_day``, ``days`` (different ones) and ``rows``.
+
+    Rows are counted per key and day before they are brought together, so a key has a row per day
+    at most, whatever its share. A null key is a key; rows without a day are left out.
+    """
+    daily = (
+        df.where(F.col(day).isNotNull())
+        .groupBy(*by, F.col(day).cast("date").alias("_day"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    at = F.col("_day").cast("timestamp_ntz")
+    return (
+        daily.groupBy(*by, F.session_window(at, f"{gap_days} days").alias("_session"))
+        .agg(
+            F.min("_day").alias("first_day"), F.max("_day").alias("last_day"),
+            F.count(F.lit(1)).alias("days"), F.sum("_rows").alias("rows"),
+        )
+        .drop("_session")
+    )

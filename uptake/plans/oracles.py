@@ -538,6 +538,17 @@ _BODIES = {
         SELECT level, period, CAST(round(CASE WHEN raw <= 10240 AND met < 4096
             THEN 4096::DOUBLE * ln(4096::DOUBLE / (4096 - met)) ELSE raw END) AS BIGINT) AS reach
         FROM sums""",
+    "contact_sessions": """WITH daily AS (
+            SELECT msisdn_wl AS msisdn, start_date, COUNT(*) AS n FROM wl GROUP BY ALL
+        ), begun AS (
+            SELECT *, CASE WHEN start_date - lag(start_date) OVER k <= 14 THEN 0 ELSE 1 END AS begins
+            FROM daily WINDOW k AS (PARTITION BY msisdn ORDER BY start_date)
+        ), numbered AS (
+            SELECT *, SUM(begins) OVER (PARTITION BY msisdn ORDER BY start_date) AS session FROM begun
+        )
+        SELECT msisdn, MIN(start_date) AS first_day, MAX(start_date) AS last_day, COUNT(*) AS days,
+            CAST(SUM(n) AS BIGINT) AS rows
+        FROM numbered GROUP BY msisdn, session""",
     "whitelist_changes": """WITH counted AS (
             SELECT strmonth, offer_id, msisdn_wl, msisdn_delivered,
                 SUM(CASE WHEN d_date = last_day(strmonth) THEN 1 ELSE -1 END) AS n

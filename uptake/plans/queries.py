@@ -762,3 +762,10 @@ def whitelist_changes(spark, d):
     newest = F.col("d_date") == F.last_day("strmonth")
     old, new = rows.where(~newest).select(columns), rows.where(newest).select(columns)
     return changes.snapshot_changes(old, new, ["strmonth", "offer_id"])
+
+
+@query
+def contact_sessions(spark, d):
+    """Runs of contacts of a subscriber with at most 14 days between neighbours."""
+    contacts = lens.whitelist(spark, d).select(F.col("msisdn_wl").alias("msisdn"), "start_date")
+    return temporal.day_sessions(contacts, ["msisdn"], "start_date", 14)
