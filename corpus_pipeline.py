@@ -39,7 +39,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents without a benchmark item in them, in its words or re-parameterised."""
     row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
     keyed = docs.select(text_key(F.coalesce("text", F.lit(""))).alias("key"), "text", row)
-    leaky = leaks(keyed, read(spark, sf_dir, "benchmark"), id_col="key", strict=False)
+    leaky = leaks(keyed, read(spark, sf_dir, "benchmark"), id_col="key")
     leaky = leaky.select(F.col("id").alias("key")).distinct()
     return keyed.join(leaky, "key", "left_anti").select("row.*")
 
