@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import types as T
@@ -24,65 +24,108 @@ QUESTION = (
 )
 
 
+SINGLE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+TOKEN = re.compile(f"%|[{SINGLE}]|(?:[A-Za-z0-9]|(?=[\x80-\U0010ffff])[^{SINGLE}]|(?<=[0-9])[.,](?=[0-9]))+")
+
+
+def lower(c):
+    low = c.lower()
+    same = len(low) == 1 and len(low.encode()) == len(c.encode()) and c < "\u2000"
+    return low if same else c
+
+
 def tokens(text):
-    """Plain tokens; template tokens and values."""
+    """Plain, template and opening tokens with their values and whether they are single characters."""
     found, end = [], 0
-    for m in re.finditer(r"%|(?:[A-Za-z0-9\x80-\U0010ffff]|(?<=[0-9])[.,](?=[0-9]))+", text):
+    for m in TOKEN.finditer(text):
         stop = not found or re.search(r"[.!?:\n\r]", text[end : m.start()])
-        found.append((m[0].lower() if m[0].isascii() else m[0].lower(), m[0][0], bool(stop)))
+        found.append(("".join(map(lower, m[0])), m[0][0], bool(stop), bool(re.match(f"[{SINGLE}]", m[0]))))
         end = m.end()
-    template = []
-    for i, (word, head, stop) in enumerate(found):
-        number = head in "0123456789"
-        if i and found[i - 1][1] in "0123456789" and word in UNITS:
-            template.append(["<unit>", word])
-        elif number:
-            template.append(["<number>", word])
-        elif head.isupper() and not stop:
-            if template and template[-1][0] == "<name>":
-                template[-1][1] += " " + word
+    streams = [[[w, None, single] for w, *_, single in found]]
+    for opening in (False, True):
+        own = []
+        for i, (word, head, stop, single) in enumerate(found):
+            if i and found[i - 1][1] in "0123456789" and word in UNITS:
+                own.append(["<unit>", word, False])
+            elif head in "0123456789":
+                own.append(["<number>", word, False])
+            elif lower(head) != head and (opening or not stop):
+                if own and own[-1][0] == "<name>":
+                    own[-1][1] += " " + word
+                else:
+                    own.append(["<name>", word, False])
             else:
-                template.append(["<name>", word])
-        else:
-            template.append([word, None])
-    return [[w, None] for w, *_ in found], template
+                own.append([word, None, single])
+        streams.append(own)
+    return streams
 
 
-def windows(own, width):
+def windows(own, width, kind):
     for a in range(len(own) - width + 1):
         part = own[a : a + width]
-        slots = [v for _, v in part if v is not None]
-        if width - len(slots) >= min(5, width - 1):
-            yield a, tuple(t for t, _ in part), slots
+        slots = [v for _, v, _ in part if v is not None]
+        narrow = width < 3 or width < 8 and any(single for *_, single in part)
+        if narrow and len(own) != width:
+            continue
+        if not kind or width - len(slots) >= (5 if width > 8 else (width + 1) // 2):
+            yield a, tuple(t for t, *_ in part), slots
+
+
+def longest(numbers):
+    best = 0
+    for n in numbers:
+        length = 0
+        while n + length in numbers:
+            length += 1
+        best = max(best, length)
+    return best
 
 
 def brute(docs, items, coverage=0.5):
     out = []
-    for doc_id, text, *_ in docs:
-        both = tokens(text or "")
-        for item_id, item, *_ in items:
+    split = [(doc_id, tokens(text or ""), {}) for doc_id, text, *_ in docs]
+    for item_id, item, *_ in items:
+        streams = tokens(item or "")
+        wanted = []
+        for kind, own in enumerate(streams):
+            if not own or kind == 1 and not any(v for _, v, _ in own) or kind == 2 and own == streams[1]:
+                continue
+            width = min(8, len(own))
+            mine = list(windows(own, width, kind))
+            if kind and len(own) > 8 and 2 * len(mine) < len(own) - 7:
+                width = min(16, len(own))
+                mine = list(windows(own, width, kind))
+            first = {}
+            for a, w, s in mine:
+                first.setdefault(w, (a, s))
+            wanted.append((kind, width, {w: (n, a, s) for n, (w, (a, s)) in enumerate(first.items(), 1)}))
+        for doc_id, theirs, cut in split:
             best = None
-            for kind, own in enumerate(tokens(item or "")):
-                width = min(8, len(own))
-                if width < 3 or kind and not any(v for _, v in own):
-                    continue
-                mine = list({w: (a, w, s) for a, w, s in reversed(list(windows(own, width)))}.values())
-                place = defaultdict(list)
-                for a, window, slots in mine:
-                    place[window].append((a, slots))
-                aligned = defaultdict(lambda: (set(), set()))
-                for b, window, slots in windows(both[kind], width):
-                    for a, theirs in place.get(window, ()):
-                        aligned[b - a][0].add(a)
-                        aligned[b - a][1].update(zip(theirs, slots, strict=True))
-                hit = set()
-                for places, pairs in aligned.values():
-                    if len(pairs) == len({x for x, _ in pairs}) == len({y for _, y in pairs}):
-                        hit |= places
-                if mine and len(hit) >= coverage * len(mine):
-                    best = max(best or (0,), (len(hit) / len(mine), kind == 0, len(hit), len(mine)))
+            for kind, width, mine in wanted:
+                aligned = defaultdict(list)
+                if (kind, width) not in cut:
+                    cut[kind, width] = defaultdict(list)
+                    for b, window, slots in windows(theirs[kind], width, kind):
+                        cut[kind, width][window].append((b, slots))
+                for window, (n, a, own) in mine.items():
+                    for b, slots in cut[kind, width].get(window, ()):
+                        aligned[b - a].append((n, list(zip(own, slots, strict=True))))
+                hit, run = set(), 0
+                for found in aligned.values():
+                    readings = defaultdict(Counter)
+                    for _, pairs in found:
+                        for x, y in pairs:
+                            readings[x][y] += 1
+                    ties = [c for c in readings.values() if list(c.values()).count(max(c.values())) > 1]
+                    assert not ties, "the larger hash decides, which is not done here"
+                    read = {x: c.most_common(1)[0][0] for x, c in readings.items()}
+                    places = {n for n, pairs in found if all(read[x] == y for x, y in pairs)}
+                    hit |= places
+                    run = max(run, longest(places))
+                if mine and (len(hit) >= coverage * len(mine) or run + width - 1 >= 20):
+                    best = max(best or (0,), (len(hit) / len(mine), kind == 0, len(hit), len(mine), run))
             if best:
-                out.append((doc_id, item_id, best[3], best[2], best[0], best[1]))
+                out.append((doc_id, item_id, best[3], best[2], best[0], best[1], best[4]))
     return sorted(out, key=str)
 
 
@@ -93,14 +136,37 @@ def run(spark, docs, items):
 
 def test_parameters_may_change_but_only_consistently(spark):
     changed = QUESTION.replace("12", "47").replace("Anna Miller", "Eva").replace("Tom", "Jo")
-    mixed = QUESTION.replace("12", "47", 1)
     docs = [(1, f"x y {QUESTION} z", "", ""), (2, f"So it is\n{changed.replace('3.5 kg', '9 miles')}", "", ""),
-            (3, mixed, "", ""), (4, QUESTION.upper(), "", ""), (5, "Nothing of that kind at all here.", "", "")]
+            (4, QUESTION.upper(), "", ""), (5, "Nothing of that kind at all here.", "", "")]
     items = [(7, QUESTION, "")]
     got = run(spark, docs, items)
     assert got == brute(docs, items)
-    exact = {r[0]: r[5] for r in got}
-    assert exact == {1: True, 2: False, 3: True, 4: True} or exact == {1: True, 2: False, 4: True}
+    assert {r[0]: r[5] for r in got} == {1: True, 2: False, 4: True}
+
+
+CHINESE = "从前有一位老农夫住在河边的小村子里，他每天早上都去田里种菜。"
+FORTY = " ".join(f"word{c}" for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMN")
+DENSE = "add 2 and 3 to 4 then 5 and 6 to 7 gives 27 or 28"
+RUSSIAN = "вчера утром старый мастер Иван продал сорок яблок своей соседке Марии за малую цену"
+NAMED = "Bob has 3 pears. Bob eats 2 pears."
+
+
+@pytest.mark.parametrize(
+    "item, leaking, clean",
+    [
+        (CHINESE, f"参见：{CHINESE}完", "从前有一位老农夫去城里卖菜。"),
+        ("天气很好", "天气很好", "今天天气很好，我们走吧"),
+        (FORTY, "so " + " ".join(FORTY.split()[7:27]) + " and", " ".join(FORTY.split()[7:26])),
+        (NAMED, "Ann has 7 pears. Ann eats 5 pears.", "Ann likes 7 figs. Joe eats 5 nuts."),
+        (DENSE, "add 9 and 8 to 1 then 7 and 5 to 6 gives 36 or 37", "9 8 1 7 5 6 36 37 40 41 42 43 44 45"),
+        (RUSSIAN, RUSSIAN.replace("Иван", "Пётр").replace("Марии", "Анне"), "старый мастер продал сорок яблок"),
+        ("two words", "Two words!", "there are two words here"),
+    ],
+)
+def test_what_is_copied_is_found(spark, item, leaking, clean):
+    docs = [(1, leaking, "", ""), (2, clean, "", "")]
+    got = run(spark, docs, [(7, item, "")])
+    assert got == brute(docs, [(7, item)]) and [r[0] for r in got] == [1]
 
 
 def test_odd_rows_equal_brute_force(spark):
@@ -108,9 +174,11 @@ def test_odd_rows_equal_brute_force(spark):
         (None, QUESTION, "a", "b"), (1, None, None, None), (2, "", "", ""), (3, "one two three", "", ""),
         (3, "one two three", "", ""), (4, "word " * 300_000 + QUESTION, "", ""), (5, "a b", "", ""),
         (6, "Été à Ünter den 5 % of ÉTÉ", "", ""), (7, "one two THREE four, one two three!", "", ""),
+        (8, "Ǆ ẞ İ ſ Ωmega Ъ Ầ ầ 𠀀𠀁 ไทย 5% 😀", "", ""), (None, "ไทย", "", ""),
     ]
     items = [(1, QUESTION, ""), (1, QUESTION, ""), (2, None, ""), (3, "", ""), (4, "a b", ""),
-             (5, "One two three", ""), (None, "été à ünter den 7 %", ""), (8, "word " * 20, "")]
+             (5, "One two three", ""), (None, "été à ünter den 7 %", ""), (8, "word " * 20, ""), (9, "ไทย", ""),
+             (10, "ǆ ß i̇ s ωmega ъ ầ Ầ 𠀀𠀁 ไทย 6% 😀", "")]
     assert run(spark, docs, items) == brute(docs, items)
     assert run(spark, docs, []) == [] and run(spark, [], items) == []
 
@@ -133,7 +201,6 @@ def test_values_may_become_equal_and_conflicts_cost_their_windows(spark):
     mixed = item.replace("12 apples", "31 apples").replace("7", "8")
     docs = [(1, equal, "", ""), (2, mixed, "", ""), (3, "a farm and a river", "", "")]
     frames = spark.createDataFrame(docs, DOCS), spark.createDataFrame([(7, item, "")], ITEMS)
-    got = {r["id"]: (r["coverage"], r["exact"]) for r in leaks(*frames, strict=False).collect()}
+    got = {r["id"]: (r["coverage"], r["exact"]) for r in leaks(*frames).collect()}
     assert set(got) == {1, 2} and got[1] == (1.0, False)
     assert not got[2][1] and 0.5 < got[2][0] < 1
-    assert 1 not in {r["id"] for r in leaks(*frames).collect() if not r["exact"]}
