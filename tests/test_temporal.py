@@ -10,7 +10,13 @@ import pytest
 
 from uptake.operators.changes import apply_changes, snapshot_changes
 from uptake.operators.reach import merge_sketches, reach_estimate, reach_sketch
-from uptake.operators.temporal import as_of_join, day_sessions, interval_join
+from uptake.operators.temporal import (
+    as_of_join,
+    day_sessions,
+    days_since_last,
+    interval_join,
+    rolling_reach,
+)
 
 DAY = date(2024, 1, 1)
 
@@ -125,3 +131,35 @@ def test_sessions_end_at_the_gap(spark):
         (None, day(1), day(2), 2, 2), ("b", day(5), day(5), 1, 1),
     }
     assert day_sessions(got.selectExpr("k", "first_day AS d").limit(0), ["k"], "d", 7).count() == 0
+
+
+@pytest.mark.parametrize("days", [1, 7, 500])
+def test_rolling_reach_equals_the_definition(spark, days):
+    rng = random.Random(days)
+    rows = [(rng.choice(["a", "b", None]), day(rng.choice([None, *range(60)])), rng.choice(["m", "m", "n", "o", None]))
+            for _ in range(300)]
+    got = rolling_reach(spark.createDataFrame(rows, "k string, d date, m string"), ["k"], "d", "m", days)
+    want = set()
+    for k, d in {(k, d) for k, d, _ in rows if d}:
+        frame = [m for key, at, m in rows if key == k and at and d - timedelta(days) < at <= d]
+        want.add((k, d, len({m for m in frame if m is not None}), len(frame)))
+    assert Counter(map(tuple, got.collect())) == Counter(want)
+    assert rolling_reach(got.selectExpr("k", "d", "reach AS m").limit(0), ["k"], "d", "m", days).count() == 0
+
+
+def test_frames_of_a_hot_key_hold_no_members(spark):
+    df = spark.range(10_000).selectExpr("1 AS k", "date_add('2024-01-01', CAST(id % 30 AS int)) AS d", "id AS m")
+    reach = rolling_reach(df, ["k"], "d", "m", 7)
+    windows = [line for line in reach._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window [" in line]
+    assert any("_member" in line for line in windows) and len(windows) == 2
+    assert {r["d"].day: r["reach"] for r in reach.collect()}[30] == sum(10_000 // 30 + (i < 10_000 % 30) for i in range(23, 30))
+
+
+def test_days_since_last(spark):
+    rows = [("a", day(n)) for n in (5, 0, 5, 12, None)] + [(None, day(1)), (None, day(4)), ("b", day(2))]
+    got = days_since_last(spark.createDataFrame(rows, "k string, d date"), ["k"], "d")
+    assert {tuple(r) for r in got.collect()} == {
+        ("a", day(0), 1, None), ("a", day(5), 2, 5), ("a", day(12), 1, 7),
+        (None, day(1), 1, None), (None, day(4), 1, 3), ("b", day(2), 1, None),
+    }
+    assert days_since_last(got.select("k", "d").limit(0), ["k"], "d").count() == 0

@@ -1,10 +1,10 @@
-"""Joins by time: the last row before, and the ranges around, a point in time."""
+"""Joins by time (the last row before, the ranges around a point), sessions, frames of days."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from uptake.functions.ordered import carry_forward
@@ -114,3 +114,59 @@ def day_sessions(df: DataFrame, by: Sequence[str], day: str, gap_days: int) -> D
         )
         .drop("_session")
     )
+
+
+def rolling_reach(
+    df: DataFrame, by: Sequence[str], day: str, member: str, days: int
+) -> DataFrame:
+    """``by``, ``day``, ``reach`` (different members seen on that day or the ``days`` - 1 days before
+    it) and ``rows`` (in the same frame), for every day on which ``by`` has a row.
+
+    A member's rows are one per day first. Each such day reaches ``days`` days ahead, or until the
+    member's next one; the ends are summed per key and day and added up in order. So no frame holds
+    members: a key has two rows per day of the calendar, a member one per day, whatever their
+    share. A null key is a key; rows without a day are left out, null members are not counted.
+    """
+    daily = (
+        df.where(F.col(day).isNotNull())
+        .groupBy(*by, F.col(day).cast("date").alias("_day"), F.col(member).alias("_member"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    upcoming = F.lead("_day").over(Window.partitionBy(*by, "_member").orderBy("_day"))
+    until = F.least(F.date_add("_day", days), upcoming)  # the least of those that are not null
+    daily = daily.withColumns({"_until": until, "_end": F.date_add("_day", days)})
+    one, none = F.col("_member").isNotNull().cast("long"), F.lit(0).cast("long")
+
+    def change(at: str, members: Column, rows: Column) -> Column:
+        own = F.lit(at == "_day")
+        return F.struct(
+            F.col(at).alias("_at"), members.alias("_one"), rows.alias("_n"), own.alias("_own")
+        )
+
+    ends = F.array(
+        change("_day", one, F.col("_rows")), change("_until", -one, none), change("_end", none, -F.col("_rows"))
+    )
+    changes = (
+        daily.select(*by, F.inline(ends))
+        .groupBy(*by, "_at")
+        .agg(F.sum("_one").alias("_one"), F.sum("_n").alias("_n"), F.max("_own").alias("_own"))
+    )
+    so_far = Window.partitionBy(*by).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    summed = changes.withColumns({"reach": F.sum("_one").over(so_far), "rows": F.sum("_n").over(so_far)})
+    return summed.where("_own").select(*by, F.col("_at").alias(day), "reach", "rows")
+
+
+def days_since_last(df: DataFrame, by: Sequence[str], day: str) -> DataFrame:
+    """``by``, ``day``, ``rows`` of that day and ``days_since`` the key's last earlier day, null for
+    the first one.
+
+    A key has a row per day before it is put in order. A null key is a key; rows without a day are
+    left out.
+    """
+    daily = (
+        df.where(F.col(day).isNotNull())
+        .groupBy(*by, F.col(day).cast("date").alias("_day"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    last = F.lag("_day").over(Window.partitionBy(*by).orderBy("_day"))
+    return daily.select(*by, F.col("_day").alias(day), "rows", F.datediff("_day", last).alias("days_since"))

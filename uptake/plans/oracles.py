@@ -559,6 +559,31 @@ _BODIES = {
             CAST(abs(n) AS BIGINT) AS copies,
             MAX(n) OVER k * MIN(n) OVER k < 0 AS updated
         FROM counted WINDOW k AS (PARTITION BY strmonth, offer_id)""",
+    "offer_rolling_reach": """WITH daily AS (
+            SELECT offer_id, start_date AS day, list(DISTINCT msisdn_wl) AS members, COUNT(*) AS n
+            FROM wl GROUP BY ALL
+        )
+        SELECT a.offer_id, a.day,
+            CAST(length(list_distinct(flatten(list(b.members)))) AS BIGINT) AS reach,
+            CAST(SUM(b.n) AS BIGINT) AS rows
+        FROM daily a JOIN daily b ON a.offer_id = b.offer_id AND b.day BETWEEN a.day - 6 AND a.day
+        GROUP BY a.offer_id, a.day""",
+    "days_since_contact": """SELECT msisdn_wl AS msisdn, start_date, COUNT(*) AS rows,
+            start_date - lag(start_date) OVER (PARTITION BY msisdn_wl ORDER BY start_date) AS days_since
+        FROM wl GROUP BY msisdn_wl, start_date""",
+    "taker_windows": """WITH placed AS (
+            SELECT offer_id, trx, DATE '1970-01-01'
+                + CAST(7 * ((take_date - DATE '1970-01-01') // 7 - before) AS INTEGER) AS first_day
+            FROM taker, (SELECT unnest([0, 1]) AS before)
+        )
+        SELECT first_day, first_day + 14 AS end_day, offer_id, COUNT(*) AS rows,
+            CAST(SUM(trx) AS BIGINT) AS trx
+        FROM placed GROUP BY ALL""",
+    "first_touch_credit": """SELECT last_day(start_date) AS month_end, offer_id,
+            COUNT(msisdn_wl) AS subscribers
+        FROM (SELECT *, row_number() OVER (PARTITION BY last_day(start_date), msisdn_wl
+                                           ORDER BY start_date, offer_id) AS place FROM wl)
+        WHERE place = 1 GROUP BY ALL""",
 }
 
 ORACLES = {name: with_ctes(body) for name, body in _BODIES.items()}

@@ -31,12 +31,14 @@ from uptake.plans import lens
 from uptake.plans.extracts import extracts
 from uptake.sources.files import read_csv, read_sheet, scratch_path, write_csv
 from uptake.sources.schemas import EXTRACTS
+from uptake.streaming import periods
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_DATE = date(2001, 9, 3)
 DATA_DATE = date(2001, 9, 1)
 NOW = datetime(2001, 8, 20, 12, 0, 0)
+STREAM_SPLIT = date(1995, 1, 1)
 TAG_IDS = [101, 103, 201, 202, 998, 301, 302, 999]
 
 QUERIES: dict[str, Query] = {}
@@ -769,3 +771,58 @@ def contact_sessions(spark, d):
     """Runs of contacts of a subscriber with at most 14 days between neighbours."""
     contacts = lens.whitelist(spark, d).select(F.col("msisdn_wl").alias("msisdn"), "start_date")
     return temporal.day_sessions(contacts, ["msisdn"], "start_date", 14)
+
+
+@query
+def offer_rolling_reach(spark, d):
+    """Subscribers that an offer contacted within seven days, for each day with a contact."""
+    contacts = lens.whitelist(spark, d).select("offer_id", F.col("start_date").alias("day"), "msisdn_wl")
+    return temporal.rolling_reach(contacts, ["offer_id"], "day", "msisdn_wl", 7)
+
+
+@query
+def days_since_contact(spark, d):
+    contacts = lens.whitelist(spark, d).select(F.col("msisdn_wl").alias("msisdn"), "start_date")
+    return temporal.days_since_last(contacts, ["msisdn"], "start_date")
+
+
+# Streams
+
+
+def _in_two_runs(spark, rows, day, result_of):
+    """A stream's result after a run over the older files and one, from the checkpoint, over all."""
+    files, path, checkpoint = (scratch_path(spark, n) for n in ("arrivals", "closed", "state"))
+    newer = F.col(day) >= F.lit(STREAM_SPLIT)
+    for arrived in (rows.where(~newer), rows.where(newer)):
+        arrived.write.mode("append").parquet(files)
+        result = result_of(spark.readStream.schema(rows.schema).parquet(files))
+        periods.advance(result, path, checkpoint)
+    return periods.so_far(spark, result, path, checkpoint)
+
+
+@query
+def taker_windows(spark, d):
+    """Takers per offer in windows of 14 days that begin every 7 days."""
+    takers = lens.taker(spark, d).select("offer_id", "take_date", "trx")
+    groups = _in_two_runs(
+        spark, takers, "take_date",
+        lambda stream: periods.windowed(stream, "take_date", ["offer_id"], 14, 7, 10, ["trx"]),
+    )
+    return groups.select(
+        periods.utc_day(F.col("period.start")).alias("first_day"),
+        periods.utc_day(F.col("period.end")).alias("end_day"), "offer_id", "rows", "trx",
+    )
+
+
+@query
+def first_touch_credit(spark, d):
+    """Subscribers per month and the offer that touched them first, kept as state."""
+    contacts = lens.whitelist(spark, d).select("msisdn_wl", "start_date", "offer_id")
+    touched = _in_two_runs(
+        spark, contacts, "start_date",
+        lambda stream: periods.first_touch(stream, "start_date", ["msisdn_wl"], "offer_id"),
+    )
+    month_end = periods.utc_day(F.col("month_end")).alias("month_end")
+    return touched.groupBy(month_end, F.col("first.offer_id").alias("offer_id")).agg(
+        F.count("msisdn_wl").alias("subscribers")
+    )
