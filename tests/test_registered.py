@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from tests.compare import connect, difference
-from uptake.plans.extracts import extracts
+from uptake.plans.extracts import Extracts, extracts
 from uptake.plans.oracles import ORACLES
 from uptake.plans.queries import QUERIES
 
@@ -58,6 +58,23 @@ def test_extracts_follow_from_facts_joined_once(spark, sf_dir):
         assert not any("lineitem" in f or "orders" in f for f in days.inputFiles())
 
 
+def test_a_large_month_of_an_extract_is_several_tasks(spark, sf_dir):
+    """Several files of one month, and several small months in one task."""
+    months = spark.range(0, 2_000_000, 1, 8).selectExpr(
+        "date_add('2024-01-01', CAST(IF(id < 1900000, 0, 31 * (id % 3)) AS int)) AS strmonth", "id * 7 AS v"
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "1m")
+    try:
+        table = Extracts(spark, sf_dir)._table("months", lambda: months)
+        files = [f.split("strmonth=")[1].split("/") for f in table.inputFiles()]
+    finally:
+        spark.conf.unset(key)
+    january = [name for month, name in files if month == "2024-01-01"]
+    assert len(january) > 2 and len({month for month, _ in files}) == 3
+    assert table.count() == 2_000_000
+
+
 def test_initiatives_sum_to_the_total(spark):
     """Campaigns without an initiative included."""
     rows = QUERIES["top_main_level_l1"](spark, "/root/testdata/sf0.01").persist()

@@ -33,24 +33,16 @@ class Extracts:
         """Partitioned by month, which the KPIs select, and sorted by extract date within it.
 
         All months of the lens are written at once, so a folder per extract date as well would
-        be hundreds of tiny files. Rows are dealt to a fixed number of tasks, so that the months
-        are not written one after the other. An extract has a row per offer (and border), so no
-        month is much larger than the others.
+        be hundreds of tiny files. Rows are brought together by month with a rebalance, which
+        puts several small months into one task and splits a large one over many.
         """
         if name not in self._stored:
             rows = build()
             path = scratch_path(self._spark, name)
-            tasks = int(self._spark.conf.get("spark.sql.shuffle.partitions"))
-            dealt = rows.repartition(tasks, *partitions) if partitions else rows
+            dealt = rows.hint("rebalance", *partitions) if partitions else rows
             if "extract_date" in rows.columns:
                 dealt = dealt.sortWithinPartitions(*partitions, "extract_date")
-            # Tasks move their own files into place. A failed job may leave some behind, in a
-            # directory that nothing reads then.
-            (
-                dealt.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-                .partitionBy(*partitions)
-                .parquet(path)
-            )
+            dealt.write.partitionBy(*partitions).parquet(path)
             table = self._spark.read.schema(rows.schema).parquet(path)
             self._stored[name] = table.select(*rows.columns)
         return self._stored[name]
