@@ -97,35 +97,83 @@ _TEMPLATE_ROWS = ", ".join(
     f"('{name}', {i}, '{text}')" for name, own in TEMPLATES.items() for i, text in enumerate(own)
 )
 LICENSE_SCAN = rf"""
-WITH parts AS (
-    SELECT doc_id, 0 AS line, text AS part FROM documents WHERE contains(text, chr(10))
-    UNION ALL
+WITH RECURSIVE lines AS (
     SELECT doc_id, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line,
-        unnest(string_split(text, chr(10))) AS part
+        unnest(string_split(text, chr(10))) AS text
     FROM documents WHERE text IS NOT NULL
 ), templates(license, variant, text) AS (VALUES {_TEMPLATE_ROWS}
 ), units AS (
-    SELECT doc_id, line, NULL AS license, NULL AS variant, part AS text FROM parts
-    UNION ALL SELECT NULL, NULL, license, variant, text FROM templates
+    SELECT doc_id, line, 0 AS piece, CAST(NULL AS VARCHAR) AS license, CAST(NULL AS INT) AS variant,
+        text
+    FROM lines
+    UNION ALL SELECT doc_id, 0, 0, NULL, NULL, text FROM documents WHERE contains(text, chr(10))
+    UNION ALL
+    SELECT doc_id, line, unnest(range(1, len(p) + 1)), NULL, NULL, unnest(p) FROM (
+        SELECT *, string_split(
+            regexp_replace(text, '([.!?;:])[ \t]+', '\1' || chr(1), 'g'), chr(1)) AS p
+        FROM lines)
+    UNION ALL SELECT NULL, NULL, NULL, license, variant, text FROM templates
 ), split AS (
     SELECT * EXCLUDE text, list_filter(string_split_regex({_LOWER}, '[\x00-/:-`\{{-\x7F]+'),
         lambda w: w <> '') AS w
     FROM units
+), known AS (
+    SELECT license, variant, CASE WHEN len(w) = 1 THEN w
+        ELSE list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) END AS s
+    FROM split WHERE license IS NOT NULL AND len(w) > 0
+), pieces AS (
+    SELECT doc_id, line, w, row_number() OVER (PARTITION BY doc_id ORDER BY line, piece) AS piece,
+        sum(len(w)) OVER (PARTITION BY doc_id, line) AS total
+    FROM split WHERE piece > 0 AND len(w) > 0
+), vocabulary AS (
+    SELECT DISTINCT unnest(w) AS word FROM split WHERE license IS NOT NULL
+), edges AS (
+    SELECT p.doc_id, p.piece FROM pieces p WHERE w[1] IN (FROM vocabulary)
+        OR w[-1] IN (FROM vocabulary) OR list_has_any([w[i] || ' ' || w[i + 1]
+            FOR i IN range(1, len(w))], (SELECT flatten(list(s)) FROM known))
+), runs AS (
+    SELECT doc_id, piece AS first, piece AS last, line, line AS last_line, total, w
+    FROM pieces SEMI JOIN edges USING (doc_id, piece)
+    WHERE len(w) <= (SELECT max(floor(len(s) * 1.5)) + 1 FROM known)
+    UNION ALL
+    SELECT r.doc_id, first, p.piece, r.line, p.line, r.total, r.w || p.w
+    FROM runs r JOIN pieces p ON p.doc_id = r.doc_id AND p.piece = r.last + 1
+    WHERE len(r.w) + len(p.w) <= (SELECT max(floor(len(s) * 1.5)) + 1 FROM known)
+), compared AS (
+    SELECT doc_id, first, last, line, last_line, line = last_line AND total = len(w) AS is_line, w
+    FROM runs
+    UNION ALL SELECT doc_id, NULL, NULL, line, line, false, w
+    FROM split WHERE piece = 0 AND len(w) > 0
 ), sets AS (
-    SELECT * EXCLUDE w, CASE WHEN len(w) = 1 THEN w
+    SELECT * EXCLUDE w, len(w) AS n, CASE WHEN len(w) = 1 THEN w
         ELSE list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) END AS s
-    FROM split WHERE len(w) > 0
+    FROM compared
 ), scored AS (
-    SELECT d.doc_id, d.line, t.license, t.variant,
-        len(list_intersect(d.s, t.s)) AS shared, len(d.s) + len(t.s) AS together
-    FROM sets d JOIN sets t ON d.doc_id IS NOT NULL AND t.license IS NOT NULL
-        AND 2 * least(len(d.s), len(t.s)) >= 0.8::DOUBLE * (len(d.s) + len(t.s)) - 1e-6::DOUBLE
+    SELECT d.* EXCLUDE s, license, variant, len(list_intersect(d.s, t.s)) AS shared,
+        len(d.s) + len(t.s) AS together
+    FROM sets d JOIN known t
+    ON 2 * least(len(d.s), len(t.s)) >= 0.8::DOUBLE * (len(d.s) + len(t.s)) - 1e-6::DOUBLE
+), matched AS (
+    SELECT *, 2 * shared::DOUBLE / together AS dice FROM scored WHERE 2 * shared >= 0.8::DOUBLE * together
+), own_best AS (
+    SELECT * FROM matched a WHERE a.first IS NULL OR NOT EXISTS (
+        SELECT 1 FROM matched b
+        WHERE b.doc_id = a.doc_id AND b.license = a.license AND b.variant = a.variant
+            AND b.first <= a.last AND b.last >= a.first
+            AND (-b.dice, b.n, b.first, b.last) < (-a.dice, a.n, a.first, a.last))
+), best AS (
+    SELECT * FROM own_best a WHERE NOT EXISTS (
+        SELECT 1 FROM own_best b
+        WHERE b.doc_id = a.doc_id
+            AND (b.first <= a.last AND b.last >= a.first
+                OR b.first IS NULL AND a.first IS NULL AND b.line = a.line)
+            AND (-b.dice, b.n, coalesce(b.first, 0), coalesce(b.last, 0), b.license, b.variant)
+                < (-a.dice, a.n, coalesce(a.first, 0), coalesce(a.last, 0), a.license, a.variant))
 )
-SELECT doc_id, CAST(line AS INTEGER) AS line, license, variant, CAST(shared AS INTEGER) AS shared,
-    2 * shared::DOUBLE / together AS dice
-FROM scored WHERE 2 * shared >= 0.8::DOUBLE * together
-QUALIFY row_number() OVER (PARTITION BY doc_id, scored.line
-    ORDER BY 2 * shared::DOUBLE / together DESC, license, variant) = 1
+SELECT doc_id, CAST(line AS INTEGER) AS line, CAST(last_line AS INTEGER) AS last_line,
+    CAST(first AS INTEGER) AS first_piece, CAST(last AS INTEGER) AS last_piece, license, variant,
+    CAST(shared AS INTEGER) AS shared, dice
+FROM best WHERE NOT is_line
 """
 
 # Escapes of the chat template: one more backslash after the first character of a control string.
