@@ -158,39 +158,35 @@ def needles(known: DataFrame, threshold: float) -> list[str] | None:
     return chosen
 
 
-def _pieces(text: Column, widest: int, hit: Callable[[Column], Column]) -> Column:
-    """The pieces of a text that have words: ``line``, ``total`` (words of that line), ``n``
-    (words of the piece), ``own`` (its words; null if it is longer than any run) and ``hit``."""
+def _pieces(text: Column, widest: int, anchors: list[str] | None) -> Column:
+    """The pieces of a text that have words: ``line``, ``begins`` and ``ends`` (that line), ``n``
+    (words), ``own`` (the words; null if they are more than any run has) and ``hit``."""
     lines = F.transform(
         F.split(text, "\n", -1),
         lambda part, i: F.struct(
             (i + 1).alias("line"),
-            F.size(words(part)).alias("total"),
-            F.split(F.regexp_replace(part, PIECE_END, "$1\u0001"), "\u0001").alias("parts"),
+            F.filter(
+                F.transform(F.split(F.regexp_replace(part, PIECE_END, "$1\u0001"), "\u0001"), words),
+                lambda own: F.size(own) > 0,
+            ).alias("pieces"),
         ),
     )
-    cut = F.transform(
-        lines,
-        lambda one: F.transform(
-            one["parts"],
-            lambda part: F.struct(
-                one["line"].alias("line"),
-                one["total"].alias("total"),
-                words(part).alias("own"),
-                hit(part).alias("hit"),
+    known = F.array(*[F.lit(w) for w in anchors or []])
+    return F.flatten(
+        F.transform(
+            lines,
+            lambda one: F.transform(
+                one["pieces"],
+                lambda own, i: F.struct(
+                    one["line"].alias("line"),
+                    (i == 0).alias("begins"),
+                    (i == F.size(one["pieces"]) - 1).alias("ends"),
+                    F.size(own).alias("n"),
+                    F.when(F.size(own) <= widest, own).alias("own"),
+                    (F.lit(True) if anchors is None else F.arrays_overlap(own, known)).alias("hit"),
+                ),
             ),
-        ),
-    )
-    worded = F.filter(F.flatten(cut), lambda piece: F.size(piece["own"]) > 0)
-    return F.transform(
-        worded,
-        lambda piece: F.struct(
-            piece["line"].alias("line"),
-            piece["total"].alias("total"),
-            F.size(piece["own"]).alias("n"),
-            F.when(F.size(piece["own"]) <= widest, piece["own"]).alias("own"),
-            piece["hit"].alias("hit"),
-        ),
+        )
     )
 
 
@@ -209,12 +205,13 @@ def _units(docs: DataFrame, id_col: str, text_col: str, widest: int, anchors: li
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).alias("id"),
         F.col(text_col).alias("text"),
-        _pieces(F.col(text_col), widest, may_match).alias("pieces"),
+        _pieces(F.col(text_col), widest, anchors).alias("pieces"),
     )
     lines = F.split("text", "\n", -1)
     parts = F.concat(F.array(F.when(F.size(lines) > 1, F.col("text"))), lines)
     none = F.lit(None)
-    block = "struct<line:int,part:string,base:int,near:array<struct<line:int,total:int,n:int,own:array<string>,hit:boolean>>>"
+    pieces = "array<struct<line:int,begins:boolean,ends:boolean,n:int,own:array<string>,hit:boolean>>"
+    block = f"struct<line:int,part:string,base:int,near:{pieces}>"
     as_lines = F.transform(
         parts, lambda part, i: F.struct(i.alias("line"), part.alias("part"), none, none).cast(block)
     )
@@ -226,17 +223,14 @@ def _units(docs: DataFrame, id_col: str, text_col: str, widest: int, anchors: li
             F.slice("pieces", b * BLOCK + 1, BLOCK + widest - 1).alias("near"),
         ).cast(block),
     )
-    wanted = F.filter(
-        F.concat(
-            F.filter(as_lines, lambda u: may_match(u["part"])),
-            F.filter(as_blocks, lambda u: F.exists(u["near"], lambda piece: piece["hit"])),
-        ),
-        lambda u: u.isNotNull(),
+    with_hits = F.filter(as_blocks, lambda u: F.exists(u["near"], lambda piece: piece["hit"]))
+    units = texts.select("row", "id", F.explode(F.concat(as_lines, with_hits)).alias("u"))
+    units = units.select("row", "id", "u.*").where(
+        F.col("base").isNotNull() | may_match(F.col("part"))
     )
-    units = texts.select("row", "id", F.explode(wanted).alias("u")).select("row", "id", "u.*")
 
     # One row per line, or per piece of a block with the pieces that may follow it in a run.
-    start = "struct<first:int,near:array<struct<line:int,total:int,n:int,own:array<string>,hit:boolean>>>"
+    start = f"struct<first:int,near:{pieces}>"
     starts = F.transform(
         F.sequence(F.lit(1), F.least(F.size("near"), F.lit(BLOCK))),
         lambda i: F.struct(F.col("base") + i, F.slice("near", i, widest)).cast(start),
@@ -269,11 +263,11 @@ def _units(docs: DataFrame, id_col: str, text_col: str, widest: int, anchors: li
         (F.col("first") + F.col("n") - 1).alias("last"),
         F.when(is_run, F.element_at("run", 1)["line"]).otherwise(F.col("line")).alias("line"),
         F.when(is_run, F.element_at("run", -1)["line"]).otherwise(F.col("line")).alias("last_line"),
-        F.when(is_run, F.element_at("run", 1)["total"]).alias("total"),
+        (F.element_at("run", 1)["begins"] & F.element_at("run", -1)["ends"]).alias("whole_lines"),
         F.when(is_run, joined).otherwise(words(F.col("part"))).alias("words"),
     )
-    one_line = (F.col("line") == F.col("last_line")) & (F.col("total") == F.size("words"))
-    return runs.withColumn("is_line", F.coalesce(one_line, F.lit(False))).drop("total")
+    one_line = is_run & (F.col("line") == F.col("last_line")) & F.col("whole_lines")
+    return runs.withColumn("is_line", one_line).drop("whole_lines")
 
 
 def _winners(matches: DataFrame, by: list[str]) -> DataFrame:
