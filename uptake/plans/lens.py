@@ -419,3 +419,12 @@ def keyed_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source_block",
         "source_row",
     )
+
+
+def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes of each application as a JSON object, cut off in every fiftieth row."""
+    fields = F.struct(
+        F.col("vendor_name").alias("vendor"), F.col("tag_category").alias("category"), "status"
+    )
+    text = F.when(F.col("id") % 50 == 0, F.lit('{"vendor": ')).otherwise(F.to_json(fields))
+    return catalogue(spark, sf_dir).select("id", text.alias("attributes"))

@@ -538,6 +538,12 @@ _BODIES = {
         SELECT level, period, CAST(round(CASE WHEN raw <= 10240 AND met < 4096
             THEN 4096::DOUBLE * ln(4096::DOUBLE / (4096 - met)) ELSE raw END) AS BIGINT) AS reach
         FROM sums""",
+    "attribute_counts": """SELECT key, value, COUNT(*) AS apps FROM (
+            SELECT unnest(['vendor', 'category', 'status']) AS key,
+                unnest([vendor_name, tag_category, status]) AS value
+            FROM app WHERE id % 50 <> 0
+        ) WHERE value IS NOT NULL GROUP BY ALL
+        UNION ALL SELECT NULL, NULL, COUNT(*) FROM app WHERE id % 50 = 0 HAVING COUNT(*) > 0""",
     "contact_sessions": """WITH daily AS (
             SELECT msisdn_wl AS msisdn, start_date, COUNT(*) AS n FROM wl GROUP BY ALL
         ), begun AS (

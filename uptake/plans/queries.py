@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from uptake.functions.constants import TOWERS
 from uptake.functions.dates import with_run_dates
 from uptake.operators import (
+    attributes,
     border,
     catalog,
     changes,
@@ -766,6 +767,11 @@ def whitelist_changes(spark, d):
     return changes.snapshot_changes(old, new, ["strmonth", "offer_id"])
 
 
+@query
+def attribute_counts(spark, d):
+    return attributes.attribute_counts(lens.attributes(spark, d), "attributes")
+
+
 @query
 def contact_sessions(spark, d):
     """Runs of contacts of a subscriber with at most 14 days between neighbours."""
